@@ -1,0 +1,5 @@
+"""No streaming operators: the workload is a daily batch.
+
+Its only incremental mechanism, the high-water mark, is in
+``siltstone.operators.incremental``.
+"""
