@@ -216,6 +216,7 @@ def run(
     location: str,
     as_of: dt.datetime,
     window: tuple[str, str] | None = None,
+    specs: Iterable[DatasetSpec] | None = None,
     tag: str | None = None,
     full_refresh: bool = False,
     empty_target: str = "nothing",
@@ -228,7 +229,7 @@ def run(
     configure(spark, *([location] if fs.exists(landed) else []))
     layers = Layers(spark, root)
     layers.ensure()
-    ingest(layers, location, as_of, window=window)
+    ingest(layers, location, as_of, specs, window=window)
     gate(layers, source_checks(layers, as_of), as_of)
     frames = register_silver(layers)
     staged = [
