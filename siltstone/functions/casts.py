@@ -16,10 +16,14 @@ def _col(c: Column | str) -> Column:
 
 
 def to_ntz(c: Column | str) -> Column:
-    """Text to timestamp without zone: the zone suffix is dropped, not applied."""
-    return F.regexp_replace(F.trim(_col(c).cast("string")), _ZONE_AFTER_TIME, "$1").cast(
-        "timestamp_ntz"
-    )
+    """Text to timestamp without zone: the zone suffix is dropped, not applied.
+
+    Spark's cast does that by itself except for times without seconds; only those (and
+    what is no timestamp at all, which fails) go through the pattern.
+    """
+    text = F.trim(_col(c).cast("string"))
+    stripped = F.regexp_replace(text, _ZONE_AFTER_TIME, "$1")
+    return F.coalesce(text.try_cast("timestamp_ntz"), stripped.cast("timestamp_ntz"))
 
 
 def to_bool(c: Column | str) -> Column:

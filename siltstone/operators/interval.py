@@ -20,11 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.exprs import epoch_micros
+from siltstone.session import use_checkpoint_dir
 
 # Rows per side of one block of an interval join: a task never pairs more than
 # BLOCK_ROWS x BLOCK_ROWS rows for one key.
 BLOCK_ROWS = 4096
 
+# The table of occupied cells is broadcast up to this many rows, joined by key beyond.
+BROADCAST_ROWS = 100_000
+
 # Cells of one level make up 2**LEVEL_BITS cells of the level below.
 LEVEL_BITS = 2
 
@@ -33,11 +37,6 @@ def _micros(delta: dt.timedelta) -> int:
     return delta // dt.timedelta(microseconds=1)
 
 
-def _floor_div(c: Column, width: int) -> Column:
-    """Integer floor division, also right for times before 1970."""
-    return F.call_function("div", c - F.pmod(c, F.lit(width)), F.lit(width))
-
-
 def _counted(df: DataFrame, block_rows: int) -> DataFrame:
     """Full copies of a row as one row with ``_copies``, in chunks of ``block_rows``.
 
@@ -53,8 +52,30 @@ def _counted(df: DataFrame, block_rows: int) -> DataFrame:
     )
 
 
-def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*(F.col(f"`{c}`").alias(prefix + c) for c in df.columns))
+def _cell_grid(lu: Column, left: DataFrame, ru: Column, right: DataFrame, bits: int, reach: int, block: int):
+    """One row per cell both sides touch: the right side's extremes, blocks per side.
+
+    Its size follows the time span, not the rows. Written to the checkpoint folder, since
+    both sides need it and its row count decides how they get it.
+    """
+    rcells = right.groupBy(F.shiftright(ru, bits).alias("_cell")).agg(
+        F.count(F.lit(1)).alias("_nr"), F.min(ru).alias("_first"), F.max(ru).alias("_last")
+    )
+    starts = left.groupBy(F.shiftright(lu, bits).alias("_cell0")).agg(F.count(F.lit(1)).alias("_nl"))
+    lcells = (
+        starts.select(F.explode(F.sequence(F.col("_cell0"), F.col("_cell0") + reach)).alias("_cell"), "_nl")
+        .groupBy("_cell")
+        .agg(F.sum("_nl").alias("_nl"))
+    )
+    grid = rcells.join(lcells, "_cell").select(
+        "_cell",
+        "_first",
+        "_last",
+        F.ceil(F.col("_nl") / block).alias("_rows"),
+        F.ceil(F.col("_nr") / block).alias("_cols"),
+    )
+    use_checkpoint_dir(left.sparkSession)
+    return grid.checkpoint()
 
 
 def interval_join(
@@ -66,12 +87,15 @@ def interval_join(
     after: dt.timedelta,
     how: str = "left",
     block_rows: int = BLOCK_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join on ``right_ts BETWEEN left_ts - before AND left_ts + after``.
 
     A right row has one time cell, a left row visits the few cells its window touches,
-    so each pair meets in exactly one cell. Cells are half a window wide: at least two
-    thirds of the rows that meet are real pairs, and work follows the result's size.
+    so each pair meets in exactly one cell. Cells are at most half a window wide: two
+    thirds or more of the rows that meet are real pairs, and work follows the result's
+    size. A cell's first and last right time tell exactly whether a left row finds a
+    partner there; one that finds none anywhere keeps a single copy with nulls.
 
     A crowded cell is cut into a grid of blocks of at most ``block_rows`` rows per side.
     Its left rows are spread over the grid's rows and its right rows over the columns,
@@ -84,78 +108,74 @@ def interval_join(
     clash = set(left.columns) & set(right.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    lower, upper = _micros(before), _micros(after)
-    width = max(1, (lower + upper) // 2)
-
-    lu = epoch_micros(left_ts)
-    visits = (
-        _counted(left.where(F.col(left_ts).isNotNull()), block_rows)
-        .withColumnRenamed("_chunk", "_lchunk")
-        .withColumnRenamed("_copies", "_lcopies")
-        .withColumn("_lu", lu)
-        .withColumn(
-            "_cell",
-            F.explode(
-                F.sequence(_floor_div(F.col("_lu") - lower, width), _floor_div(F.col("_lu") + upper, width))
-            ),
+    lower, span = _micros(before), _micros(before) + _micros(after)
+    bits = max(0, (span // 2).bit_length() - 1)
+    reach = (span >> bits) + 1
+
+    start = epoch_micros(left_ts) - F.lit(lower)
+    grid = _cell_grid(start, left, epoch_micros(right_ts), right, bits, reach, block_rows)
+    small = grid.count() <= broadcast_rows
+
+    def sized(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    # For each start cell the occupied cells within reach: at most reach + 1 of them.
+    around = (
+        grid.select(
+            F.explode(F.sequence(F.col("_cell") - reach, F.col("_cell"))).alias("_cell0"),
+            F.struct("_cell", "_first", "_last", "_rows", "_cols").alias("_c"),
         )
+        .groupBy("_cell0")
+        .agg(F.collect_list("_c").alias("_cells"))
     )
-    placed = (
-        _counted(right.where(F.col(right_ts).isNotNull()), block_rows)
-        .withColumnRenamed("_chunk", "_rchunk")
-        .withColumnRenamed("_copies", "_rcopies")
-        .withColumn("_ru", epoch_micros(right_ts))
-        .withColumn("_cell", _floor_div(F.col("_ru"), width))
-    )
-
-    # One small row per occupied cell; the join with it also drops visits to cells
-    # without any partner, because a cell's extremes decide that exactly.
-    lcells = visits.groupBy("_cell").agg(F.count(F.lit(1)).alias("_nl"))
-    rcells = placed.groupBy("_cell").agg(
-        F.count(F.lit(1)).alias("_nr"), F.min("_ru").alias("_first"), F.max("_ru").alias("_last")
-    )
-    grid = rcells.join(lcells, "_cell").select(
-        "_cell",
-        "_first",
-        "_last",
-        F.ceil(F.col("_nl") / block_rows).alias("_rows"),
-        F.ceil(F.col("_nr") / block_rows).alias("_cols"),
-    )
-    hits = visits.join(grid, "_cell").where(
-        (F.col("_last") >= F.col("_lu") - lower) & (F.col("_first") <= F.col("_lu") + upper)
+    lsalt = F.xxhash64(*(F.col(f"`{c}`") for c in left.columns))
+    visits = (
+        left.withColumn("_a", start)
+        .withColumn("_cell0", F.shiftright("_a", bits))
+        .join(sized(around), "_cell0", "left")
+        .select(
+            *left.columns,
+            "_a",
+            F.explode_outer(
+                F.filter("_cells", lambda c: (c["_last"] >= F.col("_a")) & (c["_first"] <= F.col("_a") + span))
+            ).alias("_c"),
+        )
     )
-
-    lsalt = F.xxhash64(*(F.col(f"`{c}`") for c in left.columns), "_lchunk")
-    rsalt = F.xxhash64(*(F.col(f"`{c}`") for c in right.columns), "_rchunk")
-    lblocks = hits.select(
+    lblocks = visits.select(
         *left.columns,
-        "_lcopies",
-        "_lu",
-        "_cell",
-        F.pmod(lsalt, F.col("_rows")).alias("_row"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cols") - 1)).alias("_column"),
+        "_a",
+        F.col("_c._cell").alias("_cell"),
+        # rows without a partner are spread by the whole salt
+        F.coalesce(F.pmod(lsalt, F.col("_c._rows")), lsalt).alias("_row"),
+        F.explode_outer(F.sequence(F.lit(0).cast("long"), F.col("_c._cols") - 1)).alias("_column"),
     )
-    rblocks = placed.join(grid.select("_cell", "_rows", "_cols"), "_cell").select(
-        *right.columns,
-        "_rcopies",
-        "_ru",
-        "_cell",
-        F.pmod(rsalt, F.col("_cols")).alias("_column"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rows") - 1)).alias("_row"),
-    )
-    pairs = lblocks.join(rblocks, ["_cell", "_row", "_column"]).where(
-        F.col("_ru").between(F.col("_lu") - lower, F.col("_lu") + upper)
+    rsalt = F.xxhash64(*(F.col(f"`{c}`") for c in right.columns), "_chunk")
+    rblocks = (
+        _counted(right, block_rows)
+        .withColumn("_u", epoch_micros(right_ts))
+        .withColumn("_rcell", F.shiftright("_u", bits))
+        .join(sized(grid.select(F.col("_cell").alias("_rcell"), "_rows", "_cols")), "_rcell")
+        .select(
+            *right.columns,
+            "_u",
+            "_copies",
+            "_rcell",
+            F.pmod(rsalt, F.col("_cols")).alias("_rcolumn"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rows") - 1)).alias("_rrow"),
+        )
     )
-    copies = F.col("_lcopies") * F.col("_rcopies")
-    inner = pairs.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(
-        *left.columns, *right.columns
+    met = (
+        (F.col("_cell") == F.col("_rcell"))
+        & (F.col("_row") == F.col("_rrow"))
+        & (F.col("_column") == F.col("_rcolumn"))
+        & F.col("_u").between(F.col("_a"), F.col("_a") + span)
     )
-    if how == "inner":
-        return inner
-    matched = hits.select(F.col(left_ts).alias("_matched_ts")).distinct()
-    alone = left.join(matched, F.col(left_ts) == F.col("_matched_ts"), "left_anti")
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    return inner.unionByName(alone.select(*left.columns, *nulls))
+    pairs = lblocks.join(rblocks, met, how)
+    if how == "left":
+        # a visited block may hold none of the row's partners: that is no missing partner
+        pairs = pairs.where(F.col("_cell").isNull() | F.col("_u").isNotNull())
+    copies = F.sequence(F.lit(1).cast("long"), F.coalesce("_copies", F.lit(1)))
+    return pairs.withColumn("_copy", F.explode(copies)).select(*left.columns, *right.columns)
 
 
 def interval_aggregate(
@@ -190,8 +210,7 @@ def interval_aggregate(
 
     levels = F.explode(F.sequence(F.lit(0), F.lit(top)))
     instants = (
-        right.where(F.col(right_ts).isNotNull())
-        .groupBy(epoch_micros(right_ts).alias("_u"))
+        right.groupBy(epoch_micros(right_ts).alias("_u"))
         .agg(*(first[fn](F.col(c)).alias(name) for name, (fn, c) in aggregates.items()))
     )
     cells = (
@@ -204,8 +223,7 @@ def interval_aggregate(
     # At a level the window holds the whole cells [lo, hi); those inside the next level's
     # whole cells [lo_up, hi_up) are left to that level.
     windows = (
-        left.where(F.col(left_ts).isNotNull())
-        .select(F.col(left_ts))
+        left.select(left_ts)
         .distinct()
         .withColumn("_a", epoch_micros(left_ts) - F.lit(lower))
         .withColumn("_b", epoch_micros(left_ts) + F.lit(upper + 1))

@@ -27,7 +27,7 @@ IMPACT_WINDOW = dt.timedelta(days=7)
 def solar_risk(launches: DataFrame, solar: DataFrame) -> DataFrame:
     """Event count and top speed in the 24 hours up to a launch, per launch id.
 
-    Launches without any event are absent; joining back restores them.
+    Both are null for a launch without any event.
     """
     windows = interval_aggregate(
         launches,
@@ -40,7 +40,7 @@ def solar_risk(launches: DataFrame, solar: DataFrame) -> DataFrame:
     )
     return (
         launches.select("launch_id", "launch_at_utc")
-        .join(windows, "launch_at_utc")
+        .join(windows, "launch_at_utc", "left")
         .groupBy("launch_id")
         .agg(
             F.sum("_events").alias("solar_events_count"),

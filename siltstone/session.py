@@ -76,5 +76,11 @@ def work_dir(spark: SparkSession) -> str:
     return configured
 
 
+def use_checkpoint_dir(spark: SparkSession) -> None:
+    """Make ``checkpoint()`` usable where the cluster names no folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(work_dir(spark))
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/siltstone/{label}-{uuid.uuid4().hex}"
