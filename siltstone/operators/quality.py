@@ -24,11 +24,69 @@ RECENT_WITHIN = dt.timedelta(days=1)
 LAUNCH_STATUSES = ("success", "failure", "partial")
 
 
-def _report(df: DataFrame, name: str, failing: Column, on_failure: str = "fail") -> DataFrame:
-    return df.agg(failing.cast("bigint").alias("failing_rows")).select(
-        F.lit(name).alias("check_name"),
-        "failing_rows",
-        F.when(F.col("failing_rows") > 0, on_failure).otherwise("pass").alias("status"),
+@dataclass(frozen=True)
+class Measure:
+    """A check that is one aggregate over a frame: its failing rows, or two limits."""
+
+    name: str
+    failing: Column
+    on_failure: str = "fail"
+    # a second aggregate: failing beyond it as well has this status
+    beyond: Column | None = None
+    on_beyond: str = "error"
+
+    def _result(self) -> Column:
+        failing = self.failing.cast("bigint")
+        status = F.when(failing > 0, self.on_failure).otherwise("pass")
+        if self.beyond is not None:
+            status = F.when(self.beyond, self.on_beyond).otherwise(status)
+        return F.struct(
+            F.lit(self.name).alias("check_name"), failing.alias("failing_rows"), status.alias("status")
+        )
+
+
+def measure(df: DataFrame, *measures: Measure) -> DataFrame:
+    """All the measures of a frame in one pass over it."""
+    results = df.agg(F.array(*(m._result() for m in measures)).alias("results"))
+    return results.select(F.explode("results").alias("r")).select("r.*")
+
+
+def nulls_in(name: str, column: str, severity: str = "fail") -> Measure:
+    return Measure(name, F.count_if(F.col(column).isNull()), severity)
+
+
+def false_rows(name: str, condition: Column) -> Measure:
+    """Rows for which the condition is false; unknown does not count."""
+    return Measure(name, F.count_if(~condition))
+
+
+def no_value(name: str, column: str) -> Measure:
+    return Measure(name, F.when(F.count(column) == 0, 1).otherwise(0))
+
+
+def newest_older_than(name: str, column: str, as_of: dt.datetime, within: dt.timedelta) -> Measure:
+    """A column without any value passes, like every comparison with null here; use
+    ``stale`` or ``no_value`` to catch that."""
+    limit = F.lit(as_of - within).cast("timestamp_ntz")
+    return Measure(name, F.when(F.max(column) < limit, 1).otherwise(0))
+
+
+def stale(
+    name: str,
+    column: str,
+    as_of: dt.datetime,
+    warn_after: dt.timedelta = WARN_AFTER,
+    error_after: dt.timedelta = ERROR_AFTER,
+) -> Measure:
+    """Age of the newest value against two limits; no value at all is an error."""
+    warn = F.lit(as_of - warn_after).cast("timestamp_ntz")
+    error = F.lit(as_of - error_after).cast("timestamp_ntz")
+    newest = F.max(column)
+    return Measure(
+        name,
+        F.when(newest >= warn, 0).otherwise(1),
+        "warn",
+        beyond=F.coalesce(newest < error, F.lit(True)),
     )
 
 
@@ -38,39 +96,33 @@ def unique(df: DataFrame, name: str, *columns: str) -> DataFrame:
     repeated = (
         df.where(present).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     )
-    return _report(repeated, name, F.count(F.lit(1)))
+    return no_rows(repeated, name)
 
 
 def not_null(df: DataFrame, name: str, column: str, severity: str = "fail") -> DataFrame:
-    return _report(df, name, F.count_if(F.col(column).isNull()), severity)
+    return measure(df, nulls_in(name, column, severity))
 
 
 def expression_is_true(df: DataFrame, name: str, condition: Column) -> DataFrame:
-    """Failing rows: the condition is false; unknown does not count as failing."""
-    return _report(df, name, F.count_if(~condition))
+    return measure(df, false_rows(name, condition))
 
 
 def accepted_values(df: DataFrame, name: str, column: str, values: tuple[str, ...]) -> DataFrame:
     """Failing rows: distinct values outside the list; null is ignored."""
     outside = df.where(F.col(column).isNotNull() & ~F.col(column).isin(*values))
-    return _report(outside.select(column).distinct(), name, F.count(F.lit(1)))
+    return no_rows(outside.select(column).distinct(), name)
 
 
 def at_least_one(df: DataFrame, name: str, column: str) -> DataFrame:
     """Fails when the column holds no value at all."""
-    return _report(df, name, F.when(F.count(column) == 0, 1).otherwise(0))
+    return measure(df, no_value(name, column))
 
 
 def recency(
     df: DataFrame, name: str, column: str, as_of: dt.datetime, within: dt.timedelta = RECENT_WITHIN
 ) -> DataFrame:
-    """Fails when the newest value is older than ``as_of - within``.
-
-    A column without any value passes, like every comparison with null here; use
-    ``freshness`` or ``at_least_one`` to catch that.
-    """
-    limit = F.lit(as_of - within).cast("timestamp_ntz")
-    return _report(df, name, F.when(F.max(column) < limit, 1).otherwise(0))
+    """Fails when the newest value is older than ``as_of - within``."""
+    return measure(df, newest_older_than(name, column, as_of, within))
 
 
 def freshness(
@@ -81,22 +133,12 @@ def freshness(
     warn_after: dt.timedelta = WARN_AFTER,
     error_after: dt.timedelta = ERROR_AFTER,
 ) -> DataFrame:
-    """Age of the newest value against two limits; no value at all is an error."""
-    warn = F.lit(as_of - warn_after).cast("timestamp_ntz")
-    error = F.lit(as_of - error_after).cast("timestamp_ntz")
-    return df.agg(F.max(column).alias("newest")).select(
-        F.lit(name).alias("check_name"),
-        F.when(F.col("newest") >= warn, 0).otherwise(1).cast("bigint").alias("failing_rows"),
-        F.when(F.col("newest") >= warn, "pass")
-        .when(F.col("newest") >= error, "warn")
-        .otherwise("error")
-        .alias("status"),
-    )
+    return measure(df, stale(name, column, as_of, warn_after, error_after))
 
 
 def no_rows(failures: DataFrame, name: str) -> DataFrame:
     """A query for offending rows: any row is a failure."""
-    return _report(failures, name, F.count(F.lit(1)))
+    return measure(failures, Measure(name, F.count(F.lit(1))))
 
 
 def same_day_before(

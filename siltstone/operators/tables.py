@@ -213,10 +213,12 @@ class Layers:
 
     def alert(self, at, dataset: str, message: str, severity: str = "CRITICAL") -> None:
         row = self.spark.createDataFrame([(at, severity, dataset, message)], self.AUDIT_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/audit")
+        # a folder of its own: alerts of datasets loaded side by side must not collide
+        row.coalesce(1).write.parquet(f"{self.root}/audit/{uuid.uuid4().hex}")
 
     def alerts(self) -> DataFrame:
         hpath, fs = hadoop_path(self.spark, f"{self.root}/audit")
         if not fs.exists(hpath):
             return self.spark.createDataFrame([], self.AUDIT_SCHEMA)
-        return self.spark.read.schema(self.AUDIT_SCHEMA).parquet(f"{self.root}/audit")
+        reader = self.spark.read.schema(self.AUDIT_SCHEMA).option("recursiveFileLookup", True)
+        return reader.parquet(f"{self.root}/audit")

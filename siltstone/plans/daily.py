@@ -136,16 +136,26 @@ def select_facts(tag: str | None = None) -> list[Fact]:
 
 
 def source_checks(layers: Layers, as_of: dt.datetime) -> DataFrame:
-    """Freshness, recency, keys of the raw tables."""
+    """Freshness, recency, keys of the raw tables; a table never loaded is an error."""
     checks = []
     for spec in datasets().values():
-        raw = layers.table("raw", spec.name).read()
+        stored = layers.table("raw", spec.name)
+        if not stored.exists():
+            row = [(f"loaded_{spec.name}", 1, "error")]
+            checks.append(layers.spark.createDataFrame(row, "check_name string, failing_rows long, status string"))
+            continue
+        raw = stored.read()
         key = spec.id_column or "activityID"
-        checks += [
-            quality.freshness(raw, f"freshness_{spec.name}", "ingestion_timestamp", as_of),
-            quality.recency(raw, f"recency_{spec.name}", "ingestion_timestamp", as_of),
-            quality.not_null(raw, f"not_null_{spec.name}", key),
-        ]
+        checks.append(
+            quality.measure(
+                raw,
+                quality.stale(f"freshness_{spec.name}", "ingestion_timestamp", as_of),
+                quality.newest_older_than(
+                    f"recency_{spec.name}", "ingestion_timestamp", as_of, quality.RECENT_WITHIN
+                ),
+                quality.nulls_in(f"not_null_{spec.name}", key),
+            )
+        )
         if spec.id_column:
             checks.append(quality.unique(raw, f"unique_{spec.name}", key))
     return quality.union_checks(checks)
