@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.exprs import epoch_micros
-from siltstone.session import use_checkpoint_dir
+from siltstone.session import require_utc, use_checkpoint_dir
 
 # Rows per side of one block of an interval join: a task never pairs more than
 # BLOCK_ROWS x BLOCK_ROWS rows for one key.
@@ -108,6 +108,7 @@ def interval_join(
     clash = set(left.columns) & set(right.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
+    require_utc(left.sparkSession)
     lower, span = _micros(before), _micros(before) + _micros(after)
     bits = max(0, (span // 2).bit_length() - 1)
     reach = (span >> bits) + 1
@@ -198,6 +199,7 @@ def interval_aggregate(
     a left time needs some fifty small lookups however many rows its window holds: no
     pair is formed and no group is gathered. All groupings combine before they shuffle.
     """
+    require_utc(left.sparkSession)
     first = {"count": F.count, "sum": F.sum, "max": F.max, "min": F.min}
     again = {"count": F.sum, "sum": F.sum, "max": F.max, "min": F.min}
     lower, upper = _micros(before), _micros(after)

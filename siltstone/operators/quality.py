@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.operators.interval import interval_join
 from siltstone.sources.catalog import DatasetSpec
 
 # Freshness limits of the raw tables.
@@ -141,32 +142,33 @@ def no_rows(failures: DataFrame, name: str) -> DataFrame:
     return measure(failures, Measure(name, F.count(F.lit(1))))
 
 
-def same_day_before(
-    launches: DataFrame, events: DataFrame, launch_ts: str, event_ts: str, on: list[str] | None = None
-) -> DataFrame:
-    """Launches earlier than an event of the same day, with the offending event.
+def same_day_before(launches: DataFrame, events: DataFrame, launch_ts: str, event_ts: str) -> DataFrame:
+    """Launches earlier than an event of the same day, one row per such event.
 
-    For a gate use ``same_day_before_check``, which forms no pairs.
+    An event later on the same day is less than 24 hours away, so the interval join finds
+    it, however many launches and events one day holds. For a gate use
+    ``same_day_before_check``, which forms no pairs.
     """
-    left = launches.withColumn("_day", F.to_date(launch_ts))
-    right = events.withColumn("_day", F.to_date(event_ts))
-    return (
-        left.join(right, ["_day", *(on or [])]).where(F.col(launch_ts) < F.col(event_ts)).drop("_day")
+    near = interval_join(
+        launches, events, launch_ts, event_ts, dt.timedelta(0), dt.timedelta(hours=24), "inner"
+    )
+    return near.where(
+        (F.to_date(launch_ts) == F.to_date(event_ts)) & (F.col(launch_ts) < F.col(event_ts))
     )
 
 
 def same_day_before_check(
-    launches: DataFrame, events: DataFrame, name: str, launch_ts: str, event_ts: str, on: list[str] | None = None
+    launches: DataFrame, events: DataFrame, name: str, launch_ts: str, event_ts: str
 ) -> DataFrame:
     """Gate on ``same_day_before``: failing rows are the launches that have such an event.
 
-    A launch offends exactly if it is earlier than the day's last event, so one row per
-    day (and ``on`` value) replaces the pairs.
+    A launch offends exactly if it is earlier than its day's last event, so one row per
+    day replaces the pairs.
     """
-    days = events.groupBy(F.to_date(event_ts).alias("_day"), *(on or [])).agg(F.max(event_ts).alias("_last"))
+    days = events.groupBy(F.to_date(event_ts).alias("_day")).agg(F.max(event_ts).alias("_last"))
     offending = (
         launches.withColumn("_day", F.to_date(launch_ts))
-        .join(days, ["_day", *(on or [])])
+        .join(days, "_day")
         .where(F.col(launch_ts) < F.col("_last"))
     )
     return no_rows(offending, name)
@@ -196,6 +198,7 @@ class Preflight:
 def preflight_metrics(df: DataFrame, spec: DatasetSpec) -> list[Column]:
     """Counts the verdict needs, to be observed while the batch is written.
 
+    A rerun of lost tasks may count rows twice, so the verdict only asks for zero or not.
     With a declared schema every column exists; a key no record carries shows as a column
     without any value.
     """

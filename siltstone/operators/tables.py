@@ -99,8 +99,11 @@ class Table:
         if self.event_time is None:
             out.write.parquet(f"{self.path}/{run}")
             return [(WHOLE, run)], observed.get
+        # Few files per month: rows of a month are brought together first, and a month too
+        # large for one task is split again by its size.
         (
             out.withColumn(PART, month_of(self.event_time))
+            .hint("rebalance", PART)
             .write.partitionBy(PART)
             .parquet(f"{self.path}/{run}")
         )

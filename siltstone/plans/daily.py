@@ -95,6 +95,10 @@ SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+# Facts do not depend on each other; this many are built at a time.
+FACT_THREADS = 4
+
+
 @dataclass(frozen=True)
 class Fact:
     """An incremental fact: ``build(frames, as_of)`` with ``frames['launches']`` or, for
@@ -242,10 +246,12 @@ def run(
     ingest(layers, location, as_of, specs, window=window)
     gate(layers, source_checks(layers, as_of), as_of)
     frames = register_silver(layers)
-    staged = [
-        (fact, *stage_fact(layers, fact, frames, as_of, full_refresh, empty_target))
-        for fact in select_facts(tag)
-    ]
+
+    def stage(fact: Fact):
+        return fact, *stage_fact(layers, fact, frames, as_of, full_refresh, empty_target)
+
+    with ThreadPoolExecutor(max_workers=FACT_THREADS) as pool:
+        staged = list(pool.map(stage, select_facts(tag)))
     checks = [c for fact, table, state in staged for c in fact_checks(fact, table.frame(state), frames)]
     gate(layers, quality.union_checks(checks), as_of)
     out = {}

@@ -449,6 +449,20 @@ def incremental_new_rows(spark, sf):
     return newer_than(orders, "o_orderdate", mark).select("o_orderkey", "o_orderdate")
 
 
+@query
+def incremental_in_sql(spark, sf):
+    """The same predicate as a scalar subquery over common table expressions."""
+    layers = Layers(spark, fresh_path(spark, "views"))
+    layers.view("raw", "orders", table(spark, sf, "orders"))
+    return reports.ask(
+        spark,
+        "WITH target AS (SELECT * FROM raw_orders WHERE o_orderdate < TIMESTAMP_NTZ'1998-01-01 00:00:00'), "
+        "source AS (SELECT * FROM raw_orders) "
+        "SELECT o_orderkey, o_orderdate FROM source "
+        "WHERE o_orderdate > (SELECT max(o_orderdate) FROM target)",
+    )
+
+
 @query
 def incremental_empty_target(spark, sf):
     orders = table(spark, sf, "orders")
@@ -502,17 +516,56 @@ def full_refresh_load(spark, sf):
     return target.read().drop("cores", "payloads", "rocket", "launchpad", "name")
 
 
+def _specs():
+    return [replace(s, json_lines=True) for s in datasets().values()]
+
+
 @query
 def daily_run_performance(spark, sf):
     """Landed files through the whole daily run; the published performance fact."""
     location, root = fresh_path(spark, "landed"), fresh_path(spark, "layers")
     roles.land(spark, sf, location)
-    specs = [replace(s, json_lines=True) for s in datasets().values()]
-    daily.run(spark, root, location, AS_OF, specs=specs)
+    daily.run(spark, root, location, AS_OF, specs=_specs())
     layers = Layers(spark, root)
     return layers.table("gold", "launches_performance", "launch_at_utc").read().drop("processed_at")
 
 
+@query
+def daily_run_incremental(spark, sf):
+    """Two daily runs: the first sees the launches before the cutoff, the second all of
+    them. The fact then holds what one run over everything would give."""
+    root = fresh_path(spark, "layers")
+    for known in (_before_cutoff, lambda orders: orders):
+        location = fresh_path(spark, "landed")
+        roles.land(spark, sf, location, known)
+        daily.run(spark, root, location, AS_OF, specs=_specs(), tag="roi")
+    return Layers(spark, root).table("gold", "launch_roi", "launch_at_utc").read().drop("processed_at")
+
+
+@query
+def ingest_alerts(spark, sf):
+    """Alerts of an ingestion in which one dataset lacks a required column, one has no
+    file and the others load."""
+    location, root = fresh_path(spark, "landed"), fresh_path(spark, "layers")
+    roles.land(spark, sf, location)
+    specs = [
+        replace(s, required=(*s.required, "details")) if s.name == "payloads" else s for s in _specs()
+    ]
+    broken = {"payloads": "id string, name string, details string", "cores": None}
+    specs = [replace(s, ddl=broken[s.name]) if broken.get(s.name) else s for s in specs]
+    specs = [replace(s, name="cores_lost") if s.name == "cores" else s for s in specs]
+    layers = Layers(spark, root)
+    loaded = daily.ingest(layers, location, AS_OF, specs)
+    alerts = layers.alerts().select("severity", "dataset", F.substring_index("message", ".", 1).alias("message"))
+    rows = [(name, verdict.rows) for name, verdict in loaded.items() if verdict and verdict.ok]
+    done = spark.createDataFrame(rows, "dataset string, total_rows long")
+    return alerts.select(
+        "dataset", "severity", F.col("message").startswith("[").alias("is_error"), F.lit(None).cast("long").alias("total_rows")
+    ).unionByName(
+        done.select("dataset", F.lit("LOADED").alias("severity"), F.lit(False).alias("is_error"), "total_rows")
+    )
+
+
 # -- data quality -----------------------------------------------------------------------
 
 
@@ -597,15 +650,13 @@ def dq_at_least_one(spark, sf):
 
 @query
 def dq_singular_same_day(spark, sf):
-    """Purchases earlier than an error of the same user on the same day, as pairs."""
+    """Purchases earlier than an error of the same day, with each such error."""
     events = table(spark, sf, "events")
     bought = events.where(F.col("event_type") == "purchase").select(
-        "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("bought_at")
-    )
-    failed = events.where(F.col("event_type") == "error").select("user_id", F.col("ts").alias("failed_at"))
-    return quality.same_day_before(bought, failed, "bought_at", "failed_at", ["user_id"]).select(
-        "purchase_id", "bought_at", "failed_at"
+        F.col("event_id").alias("purchase_id"), F.col("ts").alias("bought_at")
     )
+    failed = events.where(F.col("event_type") == "error").select(F.col("ts").alias("failed_at"))
+    return quality.same_day_before(bought, failed, "bought_at", "failed_at")
 
 
 @query

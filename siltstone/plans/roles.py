@@ -14,6 +14,7 @@ suppliers, solar events the days with shipments. Ids are unique.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,12 +143,14 @@ def order_solar_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- orders -----------------------------------------------------------------------------
 
 
-def order_launches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_launches(
+    spark: SparkSession, sf_dir: str, known: Callable[[DataFrame], DataFrame] = lambda orders: orders
+) -> DataFrame:
     success = F.when(F.col("o_orderstatus") == "F", F.lit(True)).when(
         F.col("o_orderstatus") == "O", F.lit(False)
     )
     return _ingested(
-        table(spark, sf_dir, "orders").select(
+        known(table(spark, sf_dir, "orders")).select(
             _text("o_orderkey").alias("id"),
             F.col("o_orderkey").alias("flight_number"),
             F.concat(F.lit("Order "), _text("o_orderkey")).alias("name"),
@@ -242,15 +245,24 @@ ORDER_ROLES = {
 }
 
 
-def land(spark: SparkSession, sf_dir: str, location: str) -> None:
-    """Write the ``orders`` roles as landed JSON Lines, lists as real JSON lists."""
-    lists = {"payloads": "array<string>", "cores": "array<string>", "customers": "array<string>"}
-    objects = {"payload_weights": "array<struct<kg: double>>"}
-    analyses = "array<struct<speed: double, type: string, halfAngle: double, isMostAccurate: boolean>>"
+def land(
+    spark: SparkSession,
+    sf_dir: str,
+    location: str,
+    known: Callable[[DataFrame], DataFrame] = lambda orders: orders,
+) -> None:
+    """Write the ``orders`` roles as landed JSON Lines, lists as real JSON lists.
+
+    ``known`` limits the launches to those a given day has seen.
+    """
+    shapes = {
+        "payloads": "array<string>",
+        "cores": "array<string>",
+        "customers": "array<string>",
+        "payload_weights": "array<struct<kg: double>>",
+        "cmeAnalyses": "array<struct<speed: double, type: string, halfAngle: double, isMostAccurate: boolean>>",
+    }
     for name, role in ORDER_ROLES.items():
-        df = role(spark, sf_dir).drop("ingestion_timestamp")
-        for column in df.columns:
-            shape = {**lists, **objects, "cmeAnalyses": analyses}.get(column)
-            if shape and dict(df.dtypes)[column] == "string":
-                df = df.withColumn(column, F.from_json(column, shape))
-        df.write.json(f"{location}/{name}")
+        df = order_launches(spark, sf_dir, known) if name == "launches" else role(spark, sf_dir)
+        parsed = {c: F.from_json(c, shapes[c]) for c in df.columns if c in shapes}
+        df.drop("ingestion_timestamp").withColumns(parsed).write.json(f"{location}/{name}")

@@ -21,6 +21,8 @@ RUNTIME_CONF = {
 }
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+# Beyond this many the bookkeeping per shuffle costs more than larger partitions do.
+MAX_SHUFFLE_PARTITIONS = 32_768
 
 
 def build_session(
@@ -61,7 +63,7 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
         total += fs.getContentSummary(hpath).getLength()
     wanted = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
-        math.ceil(total / SHUFFLE_PARTITION_BYTES),
+        min(math.ceil(total / SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS),
     )
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return wanted
@@ -82,5 +84,13 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(work_dir(spark))
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Differences of timestamps without zone are exact only in a session without
+    daylight saving."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone.upper() not in ("UTC", "ETC/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"session time zone is {zone}, not UTC; call configure(spark) first")
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/siltstone/{label}-{uuid.uuid4().hex}"

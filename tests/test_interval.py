@@ -117,6 +117,19 @@ def test_arguments_are_checked(spark):
         interval_join(left, left, "lts", "lts", day, day)
 
 
+def test_other_time_zones_are_refused(spark):
+    left, right = spark.createDataFrame([], L), spark.createDataFrame([], R)
+    day = dt.timedelta(days=1)
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            interval_join(left, right, "lts", "rts", day, day)
+        with pytest.raises(ValueError, match="UTC"):
+            interval_aggregate(left, right, "lts", "rts", day, day, {"n": ("count", "rid")})
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.mark.parametrize("case", range(len(CASES)))
 def test_aggregates_equal_the_direct_join(spark, case):
     before, after, step = CASES[case]
