@@ -196,9 +196,8 @@ class Preflight:
 
 
 def preflight_metrics(df: DataFrame, spec: DatasetSpec) -> list[Column]:
-    """Counts the verdict needs, to be observed while the batch is written.
+    """The counts the verdict needs besides the number of rows.
 
-    A rerun of lost tasks may count rows twice, so the verdict only asks for zero or not.
     With a declared schema every column exists; a key no record carries shows as a column
     without any value.
     """

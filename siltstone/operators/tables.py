@@ -11,9 +11,9 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,6 @@ class Version:
 
     schema: T.StructType
     parts: tuple[tuple[str, str], ...] = ()
-    metrics: dict = field(default_factory=dict, compare=False)
 
 
 class Table:
@@ -91,38 +90,35 @@ class Table:
 
     # -- writing ---------------------------------------------------------------
 
-    def _write(self, df: DataFrame, label: str, *metrics) -> tuple[list[tuple[str, str]], dict]:
-        """Write new files; returns their parts and counts taken on the way."""
+    def _write(self, df: DataFrame, label: str) -> list[tuple[str, str]]:
+        """Write new files; returns their parts."""
         run = f"data/{label}-{uuid.uuid4().hex}"
-        observed = Observation()
-        out = df.observe(observed, F.count(F.lit(1)).alias("rows"), *metrics)
         if self.event_time is None:
-            out.write.parquet(f"{self.path}/{run}")
-            return [(WHOLE, run)], observed.get
+            df.write.parquet(f"{self.path}/{run}")
+            return [(WHOLE, run)]
         # Few files per month: rows of a month are brought together first, and a month too
         # large for one task is split again by its size.
         (
-            out.withColumn(PART, month_of(self.event_time))
+            df.withColumn(PART, month_of(self.event_time))
             .hint("rebalance", PART)
             .write.partitionBy(PART)
             .parquet(f"{self.path}/{run}")
         )
         hpath, fs = hadoop_path(self.spark, f"{self.path}/{run}")
         names = [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
-        return [(n.split("=", 1)[1], f"{run}/{n}") for n in names], observed.get
+        return [(n.split("=", 1)[1], f"{run}/{n}") for n in names]
 
-    def stage_full(self, df: DataFrame, *metrics) -> Version:
+    def stage_full(self, df: DataFrame) -> Version:
         """A new state holding exactly ``df``."""
-        parts, counts = self._write(df, "full", *metrics)
-        return Version(df.schema, tuple(parts), counts)
+        return Version(df.schema, tuple(self._write(df, "full")))
 
-    def stage_refresh(self, df: DataFrame, *metrics) -> Version:
+    def stage_refresh(self, df: DataFrame) -> Version:
         """A new state holding ``df``, in the structure the table already has.
 
         Known columns are reordered and cast, absent ones are null, unknown ones fail.
         """
         if not self.exists():
-            return self.stage_full(df, *metrics)
+            return self.stage_full(df)
         schema = self.current().schema
         unknown = [c for c in df.columns if c not in schema.fieldNames()]
         if unknown:
@@ -133,7 +129,14 @@ class Table:
                 for f in schema.fields
             )
         )
-        return replace(self.stage_full(aligned, *metrics), schema=schema)
+        return replace(self.stage_full(aligned), schema=schema)
+
+    def measure(self, version: Version, *metrics: Column) -> dict:
+        """Row count and further aggregates of a staged state, from the files written.
+
+        Reads only the columns asked for, and is exact whatever tasks were rerun.
+        """
+        return self.frame(version).agg(F.count(F.lit(1)).alias("rows"), *metrics).first().asDict()
 
     def stage_delete_insert(self, batch: DataFrame, key: str) -> Version:
         """A new state in which the batch replaces the rows of its keys.
@@ -148,12 +151,11 @@ class Table:
         columns = [known.get(f.name, f) for f in batch.schema.fields]
         cast = batch.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in columns))
         schema = T.StructType(old.schema.fields + [f for f in columns if f.name not in known])
-        batch_parts, counts = self._write(cast, "batch")
-        if not batch_parts or counts["rows"] == 0:
-            return Version(schema, old.parts, counts)
-        keys = (
-            self.frame(Version(schema, tuple(batch_parts))).select(key).where(F.col(key).isNotNull()).distinct()
-        )
+        batch_parts = self._write(cast, "batch")
+        staged = self.frame(Version(schema, tuple(batch_parts)))
+        if staged.isEmpty():
+            return Version(schema, old.parts)
+        keys = staged.select(key).where(F.col(key).isNotNull()).distinct()
         target = self.frame(old)
         if self.event_time is None:
             hit = {WHOLE}
@@ -163,9 +165,8 @@ class Table:
             hit = {r.m for r in months.collect()}
         kept = [p for p in old.parts if p[0] not in hit]
         if hit:
-            rest, _ = self._write(without_keys(self.frame(old, hit), keys, key), "kept")
-            kept += rest
-        return Version(schema, tuple(kept + batch_parts), counts)
+            kept += self._write(without_keys(self.frame(old, hit), keys, key), "kept")
+        return Version(schema, tuple(kept + batch_parts))
 
     def stage_compacted(self) -> Version:
         """The same rows with one directory per month again."""
@@ -176,9 +177,9 @@ class Table:
         many = {part for part, n in seen.items() if n > 1}
         if not many:
             return version
-        merged, counts = self._write(self.frame(version, many), "compact")
         kept = [p for p in version.parts if p[0] not in many]
-        return Version(version.schema, tuple(kept + merged), counts)
+        merged = self._write(self.frame(version, many), "compact")
+        return Version(version.schema, tuple(kept + merged))
 
     def publish(self, version: Version) -> int:
         """Make a staged state the one readers see."""

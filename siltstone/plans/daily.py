@@ -44,11 +44,13 @@ def with_lineage(df: DataFrame, spec: DatasetSpec, as_of: dt.datetime) -> DataFr
 def load_raw(table: Table, rows: DataFrame, spec: DatasetSpec, as_of: dt.datetime) -> quality.Preflight:
     """Full refresh of one raw table; a batch that fails its checks is not published.
 
-    The counts behind the verdict are taken while the files are written.
+    The landed text is parsed once; the counts behind the verdict come from the columns
+    they need in the files written.
     """
     flat = encode_complex_columns(with_lineage(flatten_struct(rows), spec, as_of))
-    staged = table.stage_refresh(flat, *quality.preflight_metrics(flat, spec))
-    verdict = quality.preflight_verdict(spec, staged.metrics)
+    staged = table.stage_refresh(flat)
+    counts = table.measure(staged, *quality.preflight_metrics(flat, spec))
+    verdict = quality.preflight_verdict(spec, counts)
     if verdict.ok:
         table.publish(staged)
     return verdict
