@@ -141,16 +141,22 @@ def select_facts(tag: str | None = None) -> list[Fact]:
     return [f for f in FACTS if tag is None or tag in f.tags]
 
 
-def source_checks(layers: Layers, as_of: dt.datetime) -> DataFrame:
+def raw_tables(layers: Layers) -> dict[str, DataFrame]:
+    """The raw tables that exist, as of now: a run resolves each once and sticks to it."""
+    stored = {name: layers.table("raw", name) for name in datasets()}
+    return {name: table.read() for name, table in stored.items() if table.exists()}
+
+
+def source_checks(raws: dict[str, DataFrame], as_of: dt.datetime) -> DataFrame:
     """Freshness, recency, keys of the raw tables; a table never loaded is an error."""
+    spark = next(iter(raws.values())).sparkSession if raws else SparkSession.active()
     checks = []
     for spec in datasets().values():
-        stored = layers.table("raw", spec.name)
-        if not stored.exists():
+        raw = raws.get(spec.name)
+        if raw is None:
             row = [(f"loaded_{spec.name}", 1, "error")]
-            checks.append(layers.spark.createDataFrame(row, "check_name string, failing_rows long, status string"))
+            checks.append(spark.createDataFrame(row, "check_name string, failing_rows long, status string"))
             continue
-        raw = stored.read()
         key = spec.id_column or "activityID"
         checks.append(
             quality.measure(
@@ -179,18 +185,18 @@ def gate(layers: Layers, checks: DataFrame, as_of: dt.datetime) -> None:
         raise GateFailed(", ".join(sorted(blocking)))
 
 
-def register_silver(layers: Layers) -> dict[str, DataFrame]:
-    out = {}
-    for name, build in SILVER.items():
-        raw = layers.view("raw", name, layers.table("raw", name).read())
-        out[name] = layers.view("silver", name, build(raw))
-    return out
+def register_views(layers: Layers, raws: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Raw tables and silver views for SQL users; returns the silver frames."""
+    for name, raw in raws.items():
+        layers.view("raw", name, raw)
+    return {name: layers.view("silver", name, build(raws[name])) for name, build in SILVER.items()}
 
 
 def stage_fact(
     layers: Layers,
     fact: Fact,
     frames: dict[str, DataFrame],
+    raw_launches: DataFrame,
     as_of: dt.datetime,
     full_refresh: bool = False,
     empty_target: str = "nothing",
@@ -199,8 +205,7 @@ def stage_fact(
     table = layers.table("gold", fact.name, fact.event_time)
     source = frames["launches"]
     if fact.source == "raw":
-        raw = layers.table("raw", "launches").read()
-        source = raw.withColumn(fact.event_time, to_ntz("date_utc"))
+        source = raw_launches.withColumn(fact.event_time, to_ntz("date_utc"))
     first_run = full_refresh or not table.exists()
     mark = None if first_run else table.high_water_mark()
     batch = fact.build(
@@ -246,11 +251,14 @@ def run(
     layers = Layers(spark, root)
     layers.ensure()
     ingest(layers, location, as_of, specs, window=window)
-    gate(layers, source_checks(layers, as_of), as_of)
-    frames = register_silver(layers)
+    raws = raw_tables(layers)
+    gate(layers, source_checks(raws, as_of), as_of)
+    frames = register_views(layers, raws)
 
     def stage(fact: Fact):
-        return fact, *stage_fact(layers, fact, frames, as_of, full_refresh, empty_target)
+        return fact, *stage_fact(
+            layers, fact, frames, raws["launches"], as_of, full_refresh, empty_target
+        )
 
     with ThreadPoolExecutor(max_workers=FACT_THREADS) as pool:
         staged = list(pool.map(stage, select_facts(tag)))
@@ -259,5 +267,5 @@ def run(
     out = {}
     for fact, table, state in staged:
         out[fact.name] = table.publish(state)
-        layers.view("gold", fact.name, table.read())
+        layers.view("gold", fact.name, table.frame(state))
     return out
