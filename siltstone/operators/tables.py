@@ -41,25 +41,27 @@ class Table:
 
     # -- reading ---------------------------------------------------------------
 
-    def _published(self) -> list[int]:
-        hpath, fs = hadoop_path(self.spark, f"{self.path}/_versions")
-        if not fs.exists(hpath):
-            return []
-        out = []
-        for status in fs.listStatus(hpath):
-            done, _ = hadoop_path(self.spark, f"{status.getPath()}/_SUCCESS")
+    def _listing(self, folder: str) -> list:
+        hpath, fs = hadoop_path(self.spark, f"{self.path}/{folder}")
+        return list(fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+    def _newest(self) -> int | None:
+        """Number of the newest published version; unfinished ones do not count."""
+        names = sorted((s.getPath().getName() for s in self._listing("_versions")), reverse=True)
+        for name in names:
+            done, fs = hadoop_path(self.spark, f"{self.path}/_versions/{name}/_SUCCESS")
             if fs.exists(done):
-                out.append(int(status.getPath().getName()))
-        return sorted(out)
+                return int(name)
+        return None
 
     def exists(self) -> bool:
-        return bool(self._published())
+        return self._newest() is not None
 
     def current(self) -> Version:
-        published = self._published()
-        if not published:
+        newest = self._newest()
+        if newest is None:
             raise FileNotFoundError(f"nothing published at {self.path}")
-        return self.version(published[-1])
+        return self.version(newest)
 
     def version(self, number: int) -> Version:
         # one row per part: bounded by months and runs, not by the data
@@ -104,8 +106,7 @@ class Table:
             .write.partitionBy(PART)
             .parquet(f"{self.path}/{run}")
         )
-        hpath, fs = hadoop_path(self.spark, f"{self.path}/{run}")
-        names = [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
+        names = [s.getPath().getName() for s in self._listing(run) if s.isDirectory()]
         return [(n.split("=", 1)[1], f"{run}/{n}") for n in names]
 
     def stage_full(self, df: DataFrame) -> Version:
@@ -183,12 +184,30 @@ class Table:
 
     def publish(self, version: Version) -> int:
         """Make a staged state the one readers see."""
-        number = (self._published() or [0])[-1] + 1
+        number = (self._newest() or 0) + 1
         rows = [(None, None, version.schema.json()), *((part, path, None) for part, path in version.parts)]
         listing = self.spark.createDataFrame(rows, "part string, path string, schema string")
         listing.coalesce(1).write.mode("overwrite").json(f"{self.path}/_versions/{number:08d}")
         return number
 
+    def expire(self, keep: int = 7) -> None:
+        """Drop all but the newest ``keep`` versions and the files only they refer to.
+
+        Also removes files of failed or rejected runs, so not to be called while one is
+        staged.
+        """
+        newest = self._newest()
+        if newest is None or keep < 1:
+            return
+        kept = [n for n in range(max(1, newest - keep + 1), newest + 1)]
+        used = {path.split("/")[1] for n in kept for _, path in self.version(n).parts}
+        for status in self._listing("_versions"):
+            if int(status.getPath().getName()) not in kept:
+                hadoop_path(self.spark, self.path)[1].delete(status.getPath(), True)
+        for status in self._listing("data"):
+            if status.getPath().getName() not in used:
+                hadoop_path(self.spark, self.path)[1].delete(status.getPath(), True)
+
 
 class Layers:
     """Tables and views by layer below one root folder."""

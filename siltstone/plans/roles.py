@@ -48,8 +48,8 @@ def _ingested(df: DataFrame) -> DataFrame:
 def shipment_launches(spark: SparkSession, sf_dir: str) -> DataFrame:
     part, supplier = _text("l_partkey"), _text("l_suppkey")
     payloads = (
-        F.when(F.col("l_returnflag") == "N", F.to_json(F.array(part, supplier)))
-        .when(F.col("l_returnflag") == "A", F.to_json(F.array(part, F.concat(F.lit("S"), supplier))))
+        F.when(F.col("l_returnflag") == "N", F.format_string('["%s","%s"]', part, supplier))
+        .when(F.col("l_returnflag") == "A", F.format_string('["%s","S%s"]', part, supplier))
         .when(F.col("l_linestatus") == "F", F.lit("[]"))
     )
     success = F.when(F.col("l_linestatus") == "F", "true").when(F.col("l_returnflag") != "N", "false")

@@ -118,6 +118,20 @@ def test_new_columns_are_appended_and_vanished_ones_null(fact, frame):
     assert rows(fact.read(), "k", "v", "extra") == [("a", 1, None), ("b", None, "x"), ("c", 3, None)]
 
 
+def test_expiry_keeps_what_the_kept_versions_refer_to(fact, frame, tmp_path):
+    for n in range(1, 5):
+        fact.publish(fact.stage_delete_insert(frame([(f"k{n}", day(n, n), n), ("k0", day(1, 1), n)]), "k"))
+    fact.stage_full(frame([("rejected", day(1), 1)]))
+    want = rows(fact.read())
+    before = len(list((tmp_path / "fact" / "data").iterdir()))
+    fact.expire(keep=2)
+    assert rows(fact.read()) == want and len(rows(fact.frame(fact.version(3)))) == 4
+    assert sorted(p.name for p in (tmp_path / "fact" / "_versions").iterdir()) == ["00000003", "00000004"]
+    assert len([p for p in (tmp_path / "fact" / "data").iterdir() if p.is_dir()]) < before
+    assert fact.publish(fact.stage_compacted()) == 5
+    assert rows(fact.read()) == want
+
+
 def test_empty_batch_and_empty_table(fact, frame):
     fact.publish(fact.stage_delete_insert(frame([]), "k"))
     assert fact.exists() and fact.read().count() == 0 and fact.high_water_mark() is None
