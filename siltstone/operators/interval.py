@@ -217,36 +217,31 @@ def interval_aggregate(
     )
     cells = (
         instants.withColumn("_level", levels)
-        .withColumn("_cell", F.expr(f"shiftright(_u, {LEVEL_BITS} * _level)"))
-        .groupBy("_level", "_cell")
+        .groupBy("_level", F.expr(f"shiftright(_u, {LEVEL_BITS} * _level)").alias("_cell"))
         .agg(*merged())
     )
 
-    # At a level the window holds the whole cells [lo, hi); those inside the next level's
-    # whole cells [lo_up, hi_up) are left to that level.
     windows = (
         left.select(left_ts)
         .distinct()
-        .withColumn("_a", epoch_micros(left_ts) - F.lit(lower))
-        .withColumn("_b", epoch_micros(left_ts) + F.lit(upper + 1))
-        .withColumn("_level", levels)
-        .withColumn("_bits", F.lit(LEVEL_BITS) * F.col("_level"))
-        .withColumn("_lo", F.expr("-shiftright(-_a, _bits)"))
-        .withColumn("_hi", F.expr("shiftright(_b, _bits)"))
-        .withColumn("_lo_up", F.expr(f"shiftleft(-shiftright(-_a, _bits + {LEVEL_BITS}), {LEVEL_BITS})"))
-        .withColumn("_hi_up", F.expr(f"shiftleft(shiftright(_b, _bits + {LEVEL_BITS}), {LEVEL_BITS})"))
+        .select(
+            left_ts,
+            (epoch_micros(left_ts) - F.lit(lower)).alias("_a"),
+            (epoch_micros(left_ts) + F.lit(upper + 1)).alias("_b"),
+            levels.alias("_level"),
+        )
     )
+    # At a level the window holds the whole cells [lo, hi); those inside the next level's
+    # whole cells [lo_up, hi_up) are left to that level.
+    bits, bits_up = f"{LEVEL_BITS} * _level", f"{LEVEL_BITS} * (_level + 1)"
+    lo, hi = F.expr(f"-shiftright(-_a, {bits})"), F.expr(f"shiftright(_b, {bits})")
+    lo_up = F.expr(f"shiftleft(-shiftright(-_a, {bits_up}), {LEVEL_BITS})")
+    hi_up = F.expr(f"shiftleft(shiftright(_b, {bits_up}), {LEVEL_BITS})")
     nothing = F.array().cast("array<bigint>")
 
-    def span(lo: Column, hi: Column) -> Column:
-        return F.when(lo < hi, F.sequence(lo, hi - 1)).otherwise(nothing)
+    def span(start: Column, end: Column) -> Column:
+        return F.when(start < end, F.sequence(start, end - 1)).otherwise(nothing)
 
-    lo, hi, lo_up, hi_up = (F.col(c) for c in ("_lo", "_hi", "_lo_up", "_hi_up"))
-    cover = windows.select(
-        left_ts,
-        "_level",
-        F.explode(
-            F.when(lo_up < hi_up, F.concat(span(lo, lo_up), span(hi_up, hi))).otherwise(span(lo, hi))
-        ).alias("_cell"),
-    )
+    inside = F.when(lo_up < hi_up, F.concat(span(lo, lo_up), span(hi_up, hi))).otherwise(span(lo, hi))
+    cover = windows.select(left_ts, "_level", F.explode(inside).alias("_cell"))
     return cover.join(cells, ["_level", "_cell"]).groupBy(left_ts).agg(*merged())

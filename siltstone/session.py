@@ -20,6 +20,10 @@ RUNTIME_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# Only settable before the session starts: no capture of Python call sites, which costs
+# more than the rest of building a plan.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 # Beyond this many the bookkeeping per shuffle costs more than larger partitions do.
 MAX_SHUFFLE_PARTITIONS = 32_768
@@ -31,7 +35,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **(conf or {})}.items():
+    for key, value in {**STATIC_CONF, **RUNTIME_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
