@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import language_ecoc, packing, quality_cnn
+from siltstone.llm import language_ecoc, packing, quality_cnn, suffix_radix, superkmer
 from siltstone.llm.common import read
 from siltstone.session import configure
 
@@ -70,3 +70,15 @@ def op8_quality(spark, sf):
     network = quality_cnn.fit(docs.where(~held_out(3, 1)).join(labels, "doc_id"))
     out = quality_cnn.score(docs.withColumn("held_out", held_out(3, 1)), network, ["doc_id", "held_out"])
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op2_superkmer(spark, sf):
+    out = superkmer.remove_repeated_windows(read(spark, sf, "documents"))
+    return out.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.col("sha").alias("kept_sha256"), "n_spans")
+
+
+@query
+def op3_suffix(spark, sf):
+    out = suffix_radix.remove_repeated_bytes(read(spark, sf, "documents"))
+    return out.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", F.col("sha").alias("kept_sha256"))
