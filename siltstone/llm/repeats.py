@@ -162,33 +162,25 @@ def profile(df: DataFrame, keep: list[str], text_col: str, w: Windows) -> DataFr
 # -- candidates and texts ---------------------------------------------------------------
 
 
-def candidates(rows: DataFrame, id_col: str) -> DataFrame:
-    """(tid, id, anchor, first, count, at, hot) of segments whose anchor occurs again."""
-    each = rows.select("tid", F.col(id_col).alias("id"), F.explode("segments").alias("s")).select("tid", "id", "s.*")
+def candidates(rows: DataFrame) -> DataFrame:
+    """(tid, anchor, first, count, at, hot) of segments whose anchor occurs again."""
+    each = rows.select("tid", F.explode("segments").alias("s")).select("tid", "s.*")
     again = each.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    return each.join(again, "anchor").select("tid", "id", "anchor", "first", "count", "at", (F.col("n") > HOT).alias("hot"))
+    return each.join(again, "anchor").select("tid", "anchor", "first", "count", "at", (F.col("n") > HOT).alias("hot"))
 
 
-def candidate_texts(df: DataFrame, id_col: str, text_col: str, found: DataFrame) -> DataFrame:
+def candidate_texts(df: DataFrame, id_col: str, text_col: str, rows: DataFrame) -> DataFrame:
     """(tid, copies, text, segments) of the texts that have candidates.
 
     Of equal texts the row with the smallest id stands for all; rows that are equal in the
     id too all stay, which only makes their windows repeat, as they do.
     """
-    same = ("anchor", "count", "at", "hot")
-    grouped = (
-        found.groupBy("tid", "first")
-        .agg(*(F.first(c).alias(c) for c in same), F.count("*").alias("copies"), F.min("id").alias("rep"))
-        .groupBy("tid")
-        .agg(
-            F.max("copies").alias("copies"),
-            F.min("rep").alias("rep"),
-            F.sort_array(F.collect_list(F.struct("first", "count", "at", "anchor", "hot"))).alias("segments"),
-        )
-    )
+    grouped = candidates(rows).groupBy("tid").agg(F.collect_set(F.struct("first", "count", "at", "anchor", "hot")).alias("segments"))
+    classes = rows.groupBy("tid").agg(F.count("*").alias("copies"), F.min(id_col).alias("rep"))
     text = F.coalesce(df[text_col], F.lit(""))
     texts = df.select(F.unhex(F.md5(text.cast("binary"))).alias("tid"), df[id_col].alias("id"), text.alias("text"))
-    return texts.join(grouped, "tid").where(F.col("id").eqNullSafe(F.col("rep"))).drop("id", "rep")
+    chosen = texts.join(grouped.join(classes, "tid"), "tid").where(F.col("id").eqNullSafe(F.col("rep")))
+    return chosen.select("tid", "copies", "text", "segments")
 
 
 def packed_segments(texts: DataFrame, w: Windows, hot: bool) -> DataFrame:
@@ -428,8 +420,7 @@ def remove_repeats(df: DataFrame, keep: list[str], text_col: str, w: Windows, re
     removed, and then the row's text is whole. n_spans counts maximal removed runs.
     """
     rows = staged(profile(df, keep, text_col, w), f"{label}-profile")
-    found = candidates(rows, keep[0])
-    texts = staged(candidate_texts(df, keep[0], text_col, found), f"{label}-texts")
+    texts = staged(candidate_texts(df, keep[0], text_col, rows), f"{label}-texts")
     hot = digest_marks(packed_segments(texts, w, True), w)
     marks = bucket_marks(packed_segments(texts, w, False), w, repeated).unionByName(hot)
     alone = texts.where("copies = 1").select("tid", "text")
