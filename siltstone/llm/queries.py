@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import language_ecoc, packing, quality_cnn, suffix_radix, superkmer
+from siltstone.llm import language_ecoc, mixing, packing, probminhash, quality_cnn, sharding, suffix_radix, superkmer
 from siltstone.llm.common import read
 from siltstone.session import configure
 
@@ -82,3 +82,65 @@ def op2_superkmer(spark, sf):
 def op3_suffix(spark, sf):
     out = suffix_radix.remove_repeated_bytes(read(spark, sf, "documents"))
     return out.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", F.col("sha").alias("kept_sha256"))
+
+
+@query
+def op4_mixing(spark, sf):
+    docs = read(spark, sf, "documents")
+    taken, sources = mixing.mix(docs, "doc_id", F.array("source"))
+    return taken.join(F.broadcast(sources), F.col("sources")[0].eqNullSafe(F.col("source"))).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"
+    )
+
+
+@query
+def op5_probminhash(spark, sf):
+    out = probminhash.near_duplicates(read(spark, sf, "documents"))
+    return out.select("doc_id", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"), "n_class")
+
+
+@query
+def op7_sharding(spark, sf):
+    out = sharding.shard_by_bytes(read(spark, sf, "documents"))
+    return out.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+# Words by RE2 as by Java; sources by code point as bytes of UTF-8; levels by the order in
+# which sources fill up; documents in the order of the seeded digest.
+_SQL["op4_mixing"] = """
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+         md5('17:' || coalesce(doc_id::VARCHAR, '')) AS digest
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::DOUBLE AS source_size,
+         (ARRAY[3.0, 1.0, 2.0])[1 + (row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3]::DOUBLE AS w
+  FROM d GROUP BY source
+), f AS (
+  SELECT *, 2 * source_size AS cap,
+         (SELECT 1.5 * sum(source_size) FROM s) - coalesce(sum(2 * source_size) OVER before, 0) AS rest,
+         (SELECT sum(w) FROM s) - coalesce(sum(w) OVER before, 0) AS remaining
+  FROM s
+  WINDOW before AS (ORDER BY 2 * source_size / w, source IS NULL, encode(source) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), l AS (
+  SELECT min(rest / remaining) AS level FROM f WHERE cap * remaining > rest * w
+), t AS (
+  SELECT source, source_size, CASE WHEN level IS NULL OR cap < level * w THEN cap ELSE level * w END AS target FROM f, l
+), p AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, round_even(t.target, 0) AS flow,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.digest, d.doc_id ROWS UNBOUNDED PRECEDING) AS upto
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size::BIGINT AS source_size, target,
+       CASE WHEN size > 0 THEN size * ((2 * upto - size <= 2 * flow)::BIGINT + (2 * (source_size + upto) - size <= 2 * flow)::BIGINT)
+            ELSE 0 END::BIGINT AS taken
+FROM p
+"""
