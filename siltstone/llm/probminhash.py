@@ -11,11 +11,12 @@ Bands of registers nominate pairs, which are verified by the exact Jaccard simil
 their shingle sets (at least `threshold`). Documents of one group are linked, not paired:
 
 * equal texts are one class from the start and are sketched once;
-* in a band's bucket every member is compared with one member, a different one per band.
-  Where that leaves a member outside the bucket's main component, it is compared with the
-  whole bucket, but for members whose distances to the common partner differ by more than
-  the threshold allows (Jaccard distance is a metric). No verified link is left out that
-  would join two groups, and a group of near copies costs a multiple of its size.
+* in a band's bucket every member is compared with one member, its hub, a different one per
+  band. A member that this leaves outside its hub's component is then compared with that
+  whole component and with the others left outside it, in cells of bounded size that return
+  a spanning set of links. No link between members of a bucket that would join two groups is
+  left out; a group of near copies costs a multiple of its size, and its members that are
+  near to no hub cost one pass over the group each.
 
 A document with fewer words than a shingle has one shingle, all its words. Documents without
 words (null, empty, white space) are near nothing but their exact copies. Repeated rows are
@@ -28,6 +29,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +46,8 @@ from siltstone.llm.common import (
 )
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 20, 5
+# Documents of either side that one task compares at a time.
+CELL_ROWS = 512
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,6 +149,63 @@ def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", similarity.alias("similarity"))
 
 
+def outside_links(outside: DataFrame, inside: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that join the rows of `outside` to each other and to `inside`, group by
+    group of `meets`. Cells of bounded size compare one block of either side and return a
+    spanning set of their links."""
+    everyone = inside.unionByName(outside).distinct()
+    left_cuts = outside.groupBy("meets").agg(F.ceil(F.count("*") / CELL_ROWS).alias("cuts"))
+    right_cuts = everyone.groupBy("meets").agg(F.ceil(F.count("*") / CELL_ROWS).alias("other_cuts"))
+    cuts = left_cuts.join(right_cuts, "meets")
+    spot = F.xxhash64("tid")
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    sized = sets.withColumnRenamed("node", "tid")
+    left = outside.join(cuts, "meets").withColumn("cut", F.pmod(spot, "cuts")).withColumn("other", each("other_cuts"))
+    right = everyone.join(cuts, "meets").withColumn("other", F.pmod(spot, "other_cuts")).withColumn("cut", each("cuts"))
+    cell = ["meets", "cut", "other"]
+
+    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame({"a": [], "b": []})
+        return cell_links(list(a["tid"]), list(a["set"]), list(b["tid"]), list(b["set"]), threshold)
+
+    left = left.select(*cell, "tid").join(sized, "tid")
+    right = right.select(*cell, "tid").join(sized, "tid").select(*cell, "tid", "set")
+    right = right.select(*(F.col(c).alias(c) for c in right.columns))  # own columns: both sides use `sets`
+    return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(compare, "a binary, b binary")
+
+
+def cell_links(a_ids: list, a_sets: list, b_ids: list, b_sets: list, threshold: float) -> pd.DataFrame:
+    sizes = np.array([len(s) for s in b_sets])
+    values = np.concatenate(b_sets)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], np.repeat(np.arange(len(b_sets)), sizes)[order]
+    found: list[tuple[int, int]] = []
+    for i, (tid, one) in enumerate(zip(a_ids, a_sets, strict=True)):
+        lo, hi = np.searchsorted(values, one, "left"), np.searchsorted(values, one, "right")
+        many = hi - lo
+        at = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        common = np.bincount(owner[at], minlength=len(b_sets))
+        near = np.flatnonzero(common >= threshold * (len(one) + sizes - common) - 1e-9)
+        found += [(i, j) for j in near.tolist() if b_ids[j] != tid]
+    # a spanning set of these links
+    root: dict[bytes, bytes] = {}
+
+    def top(x: bytes) -> bytes:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    links = []
+    for i, j in found:
+        x, y = top(a_ids[i]), top(b_ids[j])
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            links.append((a_ids[i], b_ids[j]))
+    return pd.DataFrame(links, columns=["a", "b"])
+
+
 def near_duplicates(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -176,31 +237,21 @@ def near_duplicates(
     first = seen.where(F.col("similarity") >= threshold)
     grouped = connected_components(first.select("a", "b"), "probminhash-first")
 
-    # members outside their hub's component meet the bucket, but for what the metric excludes
+    # members outside their hub's component meet all of it, and each other
     parts = grouped.select(F.col("node").alias("tid"), F.col("component").alias("part"))
-    apart = (
-        bucket.join(parts, "tid", "left")
+    placed = (
+        bucket.where("tid <> hub")
+        .join(parts, "tid", "left")
         .join(parts.select(F.col("tid").alias("hub"), F.col("part").alias("hub_part")), "hub", "left")
-        .withColumn("part", F.coalesce("part", "tid"))
-        .withColumn("hub_part", F.coalesce("hub_part", "hub"))
-    )
-    known = seen.unionByName(seen.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))
-    apart = staged(
-        apart.join(known.select(F.col("a").alias("tid"), F.col("b").alias("hub"), "similarity"), ["tid", "hub"], "left").select(
-            "key", "tid", "part", "hub", "hub_part", F.when(F.col("tid") == F.col("hub"), F.lit(1.0)).otherwise(F.col("similarity")).alias("near")
-        ),
-        "probminhash-apart",
+        .select("tid", F.coalesce("part", "tid").alias("part"), F.coalesce("hub_part", "hub").alias("meets"))
     )
-    outside = apart.where("part <> hub_part").select("key", F.col("tid").alias("x"), F.col("part").alias("x_part"), F.col("near").alias("x_near"))
-    others = apart.where("tid <> hub").select("key", F.col("tid").alias("y"), F.col("part").alias("y_part"), F.col("near").alias("y_near"))
-    second = (
-        outside.join(others, "key")
-        .where((F.col("x_part") != F.col("y_part")) & (F.abs(F.col("x_near") - F.col("y_near")) <= 1 - threshold + 1e-9))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
+    outside = staged(placed.where("part <> meets").select("meets", "tid").distinct(), "probminhash-outside")
+    whole = parts.select(F.col("part").alias("meets"), "tid").unionByName(
+        outside.select("meets", F.col("meets").alias("tid"))  # a hub without links is its own component
     )
-    more = similarities(second, sets).where(F.col("similarity") >= threshold)
-    links = first.select("a", "b").unionByName(more.select("a", "b"))
+    inside = whole.join(outside.select("meets").distinct(), "meets").distinct()
+    more = outside_links(outside, inside, sets, threshold)
+    links = first.select("a", "b").unionByName(more)
     groups = connected_components(links, "probminhash-second")
 
     smallest = groups.join(classes, groups["node"] == classes["tid"]).groupBy("component").agg(F.min("rep").alias("component_id"))
