@@ -59,11 +59,6 @@ def steps(offsets: np.ndarray, most: int = STEP_BYTES) -> Iterator[tuple[int, in
         lo = hi
 
 
-def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-
 # -- hashing ----------------------------------------------------------------------------
 
 
@@ -121,14 +116,6 @@ def gram_hash(values: np.ndarray, size: int) -> np.ndarray:
     return mix((prefix[size:] - prefix[:n]) * down[:n])
 
 
-def words_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and stop of each word [^\\x20\\x09-\\x0D]+ in UTF-8 bytes."""
-    inside = np.zeros(len(raw) + 2, bool)
-    inside[1:-1] = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    return edges[::2], edges[1::2]
-
-
 def words_by_text(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words of each text of a batch: starts, stops, and offsets of texts into the words.
 

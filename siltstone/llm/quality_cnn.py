@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import batch_of, seeded, staged, steps, text_spans
+from siltstone.llm.common import seeded, staged, steps, text_spans
 
 CHUNK, OVERLAP, KERNEL, STRIDE = 512, 64, 8, 2
 DEPTH, FILTERS, HIDDEN = 8, 32, 16
@@ -146,7 +146,7 @@ def gradients(w: dict[str, np.ndarray], texts: list[bytes], labels: np.ndarray,
     df = dh @ w["inner"].T
     dmean, dmost = df[:, :FILTERS] / counts, df[:, FILTERS:]
     is_most = top == most[row]
-    ties = np.add.reduceat(is_most, first, axis=0)[row]
+    ties = np.add.reduceat(is_most.astype(np.int64), first, axis=0)[row]
     dtop = (dmean[row] + np.where(is_most, dmost[row] / np.maximum(ties, 1), 0)) * (top > 0)
     at = best[:, :, None] * STRIDE + np.arange(KERNEL)
     seen = chunks[np.arange(len(chunks))[:, None, None], at]
@@ -179,10 +179,11 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality",
 def score(df: DataFrame, network: Network, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns `keep` and `score`, the probability of label 1, for every row."""
     schema = df.select(*keep).schema.add("score", "double")
+    text_at = keep.index(text_col) if text_col in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = text_spans(batch.column(batch.num_columns - 1))
+            raw, offsets = text_spans(batch.column(text_at))
             if network.constant is not None:
                 out = np.full(batch.num_rows, network.constant)
             else:
@@ -191,11 +192,8 @@ def score(df: DataFrame, network: Network, keep: list[str], text_col: str = "tex
                     for lo, hi in steps(offsets)
                 ]
                 out = np.concatenate([*parts, np.zeros(0)])
-            columns = [*batch.columns[:-1], pa.array(out, pa.float64())]
+            columns = [*batch.columns[: len(keep)], pa.array(out, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score"])
 
-    chosen = df.select(*(df[c] for c in keep), df[text_col].alias("_text"))
+    chosen = df.select(*(df[c] for c in keep), *([] if text_col in keep else [df[text_col]]))
     return chosen.mapInArrow(run, schema)
-
-
-__all__ = ["Network", "batch_of", "fit", "score", "train"]

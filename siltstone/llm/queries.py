@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import language_ecoc, mixing, packing, probminhash, quality_cnn, sharding, suffix_radix, superkmer
+from siltstone.llm import (
+    language_ecoc,
+    mixing,
+    multi_index,
+    packing,
+    probminhash,
+    product_quantised,
+    quality_cnn,
+    sharding,
+    suffix_radix,
+    superkmer,
+)
 from siltstone.llm.common import read
 from siltstone.session import configure
 
@@ -113,6 +124,19 @@ def op7_sharding(spark, sf):
     )
 
 
+@query
+def op9_product_quantised(spark, sf):
+    out = product_quantised.near_links(read(spark, sf, "embeddings"))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
+    return out.select(F.col("id").alias("vec_id"), "n_links", "component_id", kept.alias("kept"))
+
+
+@query
+def op10_multi_index(spark, sf):
+    out = multi_index.search(read(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+    return out.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 # Words by RE2 as by Java; sources by code point as bytes of UTF-8; levels by the order in
 # which sources fill up; documents in the order of the seeded digest.
 _SQL["op4_mixing"] = """
@@ -125,15 +149,15 @@ WITH d AS (
          (ARRAY[3.0, 1.0, 2.0])[1 + (row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3]::DOUBLE AS w
   FROM d GROUP BY source
 ), f AS (
-  SELECT *, 2 * source_size AS cap,
+  SELECT *, 2 * source_size AS cap, row_number() OVER (ORDER BY 2 * source_size / w, source IS NULL, encode(source)) AS place,
          (SELECT 1.5 * sum(source_size) FROM s) - coalesce(sum(2 * source_size) OVER before, 0) AS rest,
          (SELECT sum(w) FROM s) - coalesce(sum(w) OVER before, 0) AS remaining
   FROM s
   WINDOW before AS (ORDER BY 2 * source_size / w, source IS NULL, encode(source) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), l AS (
-  SELECT min(rest / remaining) AS level FROM f WHERE cap * remaining > rest * w
+  SELECT arg_min(rest / remaining, place) AS level, min(place) AS filled FROM f WHERE cap * remaining > rest * w
 ), t AS (
-  SELECT source, source_size, CASE WHEN level IS NULL OR cap < level * w THEN cap ELSE level * w END AS target FROM f, l
+  SELECT source, source_size, CASE WHEN level IS NULL OR place < filled THEN cap ELSE level * w END AS target FROM f, l
 ), p AS (
   SELECT d.doc_id, d.size, t.source_size, t.target, round_even(t.target, 0) AS flow,
          sum(d.size) OVER (PARTITION BY d.source ORDER BY d.digest, d.doc_id ROWS UNBOUNDED PRECEDING) AS upto
