@@ -1,27 +1,103 @@
 """The corpus pipeline: documents in, packed training sequences out.
 
-Stages so far: packing. Each takes (spark, docs, sf_dir) and is written as Parquet and read
-again as the next one's documents.
+Stages, each written as Parquet and read again as the next one's documents:
+
+1. quality: a byte-level convolutional network, fitted on the labelled documents of its input
+   (a bounded sample); documents below one half go.
+2. near duplicates: ProbMinHash groups; the document with the smallest id of each group stays.
+3. repeated passages: every byte covered by a 200-byte string that starts anywhere else goes.
+   A character cut in two goes whole; n_chars is counted anew. A document may end up empty.
+4. mixing: sources to target weights; a document is dropped, kept, or repeated as it is taken.
+5. packing: sequences of at most 1024 tokens; one row per piece, with its ids.
+
+Nulls, empty texts and repeated rows are treated as each operator says; repeated rows fall to
+one in stage 2. An empty table passes through. Further columns are kept up to stage 4.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siltstone.llm import packing
+from siltstone.llm import mixing, packing, probminhash, quality_cnn, suffix_radix
 from siltstone.llm.common import read, staged
+from siltstone.session import configure
+
+ARROW_ROWS = "1000"  # texts that travel to Python at a time
+
+
+def text_id() -> F.Column:
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+
+
+def prepare(spark: SparkSession) -> None:
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("_quality"))
+    network = quality_cnn.fit(docs.join(labels, "doc_id"), label_col="_quality")
+    return quality_cnn.score(docs, network, docs.columns).where("score >= 0.5").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    groups = probminhash.near_duplicates(docs)
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # equal texts have one identity, so the first id with its text names the row to keep
+    first = first.select(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid")).distinct()
+    rows = docs.withColumn("_text_id", text_id())
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_id") == F.col("_tid"))
+    return rows.join(first, same, "left_semi").dropDuplicates(["doc_id", "_text_id"]).select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = suffix_radix.remove_repeated_bytes(docs)
+    cuts = found.where("kept is not null").groupBy(F.col("tid").alias("_tid")).agg(F.first("kept").alias("_kept"))
+    whole = F.regexp_replace(F.make_valid_utf8(F.col("_kept").cast("string")), "�", "")
+    cut = docs.withColumn("_text_id", text_id()).join(cuts, F.col("_text_id") == F.col("_tid"), "left")
+    text = F.when(F.col("_kept").isNotNull(), whole).otherwise(F.col("text"))
+    out = cut.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("_kept").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    taken, _ = mixing.mix(docs.withColumn("_tid", text_id()), "doc_id", F.array("source"), keep=("_tid",))
+    copies = (
+        taken.where("taken > 0")
+        .groupBy(F.col("id").alias("_id"), "_tid")
+        .agg(F.sum(F.expr("taken div size")).alias("_copies"))
+    )
+    rows = docs.withColumn("_text_id", text_id())
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_id") == F.col("_tid"))
+    chosen = rows.join(copies, same).dropDuplicates(["doc_id", "_text_id"])
+    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_texts(docs)
+    prepare(spark)
+    return packing.pack_texts(docs).withColumnRenamed("row_id", "doc_id")
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
