@@ -78,6 +78,8 @@ class Packer:
     def __init__(self, tokens: int, segments: int, loss: int, pool: int, first_id: int) -> None:
         self.limits = np.array([tokens, segments, loss], np.float64)
         self.tokens, self.segments, self.loss, self.pool = tokens, segments, loss, pool
+        # where loss binds, halves leave room to set heavy pieces beside light ones
+        self.longest = tokens if loss >= tokens else max(1, tokens // 2)
         self.pieces: list[Piece] = []
         self.next_id = first_id
 
@@ -85,7 +87,7 @@ class Packer:
         loss = np.concatenate(([0], np.cumsum(bears, dtype=np.int64)))
         rest: Piece | None = Piece(row, ids, loss, 0, len(ids)) if len(ids) else None
         while rest:
-            head, rest = rest.split(rest.head(self.tokens, self.loss))
+            head, rest = rest.split(rest.head(self.longest, self.loss))
             if head.length == self.tokens:
                 yield [head]
             else:

@@ -77,7 +77,7 @@ def sketch(text: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int, register
     draw = 0
     while len(h):
         draw += 1
-        r = mix(h + np.uint64(draw * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+        r = mix(h ^ mix(np.array([draw], np.uint64)))
         u = ((r >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
         time = time - np.log(u) / weight
         early = time < latest[text]

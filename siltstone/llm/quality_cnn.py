@@ -176,9 +176,9 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality",
     return train([r["text"].encode() for r in got], np.array([r["label"] for r in got], np.float32), seed=seed)
 
 
-def score(df: DataFrame, network: Network, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns `keep` and `score`, the probability of label 1, for every row."""
-    schema = df.select(*keep).schema.add("score", "double")
+def score(df: DataFrame, network: Network, keep: list[str], text_col: str = "text", out_col: str = "score") -> DataFrame:
+    """The columns `keep` and `out_col`, the probability of label 1, for every row."""
+    schema = df.select(*keep).schema.add(out_col, "double")
     text_at = keep.index(text_col) if text_col in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +193,7 @@ def score(df: DataFrame, network: Network, keep: list[str], text_col: str = "tex
                 ]
                 out = np.concatenate([*parts, np.zeros(0)])
             columns = [*batch.columns[: len(keep)], pa.array(out, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, out_col])
 
     chosen = df.select(*(df[c] for c in keep), *([] if text_col in keep else [df[text_col]]))
     return chosen.mapInArrow(run, schema)

@@ -1,0 +1,67 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from siltstone.llm import mixing
+from tests.llm.helpers import no_rows, odd_rows
+
+
+def test_targets_fill_up():
+    assert mixing.water_fill([10, 100], [1.0, 1.0], 60, 2) == [20.0, 40.0]
+    assert mixing.water_fill([], [], 0, 2) == []
+    rng = np.random.default_rng(0)
+    for _ in range(50):
+        sizes = rng.integers(0, 1000, 7).tolist()
+        weights = [3.0, 1.0, 2.0, 3.0, 1.0, 2.0, 3.0]
+        got = mixing.water_fill(sizes, weights, 1.5 * sum(sizes), 2)
+        # brute force: share again until none is above
+        left, rest, want = set(range(7)), 1.5 * sum(sizes), [0.0] * 7
+        while left:
+            level = rest / sum(weights[i] for i in left)
+            over = [i for i in left if level * weights[i] > 2 * sizes[i]]
+            for i in over or left:
+                want[i] = 2 * sizes[i] if over else level * weights[i]
+            if not over:
+                break
+            rest -= sum(2 * sizes[i] for i in over)
+            left -= set(over)
+        assert got == pytest.approx(want)
+
+
+def test_flow_reads_before_it_repeats():
+    # a pattern of both sources, and one of the second alone
+    flows = mixing.route([((0, 1), 10), ((1,), 10)], [8, 12], 2)
+    assert [sum(f.values()) for f in flows] == [10, 10] and flows[0][0] == 8
+    flows = mixing.route([((0,), 10), ((0, 1), 10)], [25, 5], 2)
+    assert sum(flows[0].values()) + sum(flows[1].values()) == 30 and sum(flows[1].values()) <= 20
+    assert flows[1][1] == 5
+
+
+def test_documents_meet_their_flow(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(["w"] * int(rng.integers(0, 60))), rng.choice(["a", "b", "c", None], p=[0.7, 0.1, 0.1, 0.1])) for i in range(600)]
+    df = spark.createDataFrame([(i, t, None if s is None else str(s)) for i, t, s in rows], "doc_id long, text string, source string")
+    taken, sources = mixing.mix(df, "doc_id", F.array("source"))
+    again, _ = mixing.mix(df.repartition(7), "doc_id", F.array("source"))
+    got = {r["id"]: r for r in taken.collect()}
+    assert {i: r["taken"] for i, r in got.items()} == {r["id"]: r["taken"] for r in again.collect()}
+    for s in sources.collect():
+        mine = [r for r in got.values() if r["sources"][0] == s["source"]]
+        assert s["source_size"] == sum(r["size"] for r in mine) and s["target"] <= 2 * s["source_size"]
+        assert abs(sum(r["taken"] for r in mine) - s["target"]) <= 60
+    assert all(r["taken"] in (0, r["size"], 2 * r["size"]) for r in got.values())
+    assert sum(s["target"] for s in sources.collect()) == pytest.approx(1.5 * sum(r["size"] for r in got.values()))
+
+
+def test_ranges_do_not_change_the_choice(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "w " * (i % 9 + 1), "ab"[i % 2]) for i in range(300)], "doc_id long, text string, source string")
+    whole = {r["id"]: r["taken"] for r in mixing.mix(df, "doc_id", F.array("source"))[0].collect()}
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 10)
+    assert whole == {r["id"]: r["taken"] for r in mixing.mix(df, "doc_id", F.array("source"))[0].collect()}
+
+
+def test_odd_rows_and_no_rows(spark):
+    rows = mixing.mix(odd_rows(spark), "doc_id", F.array("source"))[0].collect()
+    assert len(rows) == 9 and all(r["taken"] == 0 for r in rows if not r["size"])
+    taken, sources = mixing.mix(no_rows(spark), "doc_id", F.array("source"))
+    assert taken.count() == 0 and sources.count() == 0
