@@ -39,7 +39,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("_quality"))
     network = quality_cnn.fit(docs.join(labels, "doc_id"), label_col="_quality")
-    return quality_cnn.score(docs, network, docs.columns).where("score >= 0.5").select(*docs.columns)
+    return quality_cnn.score(docs, network, docs.columns, out_col="_score").where("_score >= 0.5").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
