@@ -5,8 +5,8 @@ document, each filter keeps its maximum per chunk, and mean and maximum over the
 through a small hidden layer into one probability. Scoring is a map over the rows: no
 shuffle, and a step works on a fixed number of chunks, however long the text is.
 
-The network is fitted on a bounded sample of labelled rows (`rows`, of texts up to
-`train_bytes` bytes, picked by a seeded hash); every row is scored on its whole text.
+The network is fitted on a bounded sample of labels (`rows`, picked by a seeded hash, of
+texts up to `train_bytes` bytes); every row is scored on its whole text.
 
 Null text counts as empty; an empty text has a score too (one chunk of padding). Repeated
 rows get equal scores. Labels that are null, or whose document is missing, are not learned
@@ -165,14 +165,26 @@ def gradients(w: dict[str, np.ndarray], texts: list[bytes], labels: np.ndarray,
     }
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", rows: int = 2400, train_bytes: int = 1 << 16, seed: int = 7) -> Network:
-    """Fit on at most `rows` labelled rows whose text has at most `train_bytes` bytes."""
-    usable = labelled.where(F.col(label_col).isin(0, 1)).select(
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(label_col).cast("int").alias("label")
-    )
-    usable = usable.where(F.octet_length("text") <= train_bytes)
-    sample = usable.withColumn("_h", seeded(seed, F.col("text"))).orderBy("_h", "text", "label").limit(rows)
-    got = staged(sample, "cnn-sample").orderBy("_h", "text", "label").collect()
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    rows: int = 2400,
+    train_bytes: int = 1 << 16,
+    seed: int = 7,
+) -> Network:
+    """Fit on at most `rows` labels, picked by a seeded hash of their id, whose document has
+    at most `train_bytes` bytes. Only the texts of these few documents are moved."""
+    picked = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+    picked = picked.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"), seeded(seed, F.col(id_col)).alias("_h"))
+    picked = staged(picked.orderBy("_h", "label").limit(rows), "cnn-labels")
+    # at most `rows` rows, so they can go to every task
+    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    sample = texts.join(F.broadcast(picked), "_id").where(F.octet_length("text") <= train_bytes)
+    order = ("_h", "text", "label")
+    got = staged(sample.orderBy(*order).limit(rows), "cnn-sample").orderBy(*order).collect()
     return train([r["text"].encode() for r in got], np.array([r["label"] for r in got], np.float32), seed=seed)
 
 

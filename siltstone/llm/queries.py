@@ -31,7 +31,7 @@ def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
         # whole texts can be long, so few of them travel to Python at a time
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
         return fn(spark, sf_dir)
 
     run.__name__ = fn.__name__
@@ -77,8 +77,7 @@ def op6_language(spark, sf):
 @query
 def op8_quality(spark, sf):
     docs = read(spark, sf, "documents")
-    labels = read(spark, sf, "labels").select("doc_id", "quality")
-    network = quality_cnn.fit(docs.where(~held_out(3, 1)).join(labels, "doc_id"))
+    network = quality_cnn.fit(docs, read(spark, sf, "labels").where(~held_out(3, 1)))
     out = quality_cnn.score(docs.withColumn("held_out", held_out(3, 1)), network, ["doc_id", "held_out"])
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 

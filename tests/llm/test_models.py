@@ -56,7 +56,7 @@ def test_quality_held_out(spark):
         text = prose(rng, "aa", int(rng.integers(20, 300)))
         rows.append((i, text.replace(" ", "$$ ") if i % 4 == 0 else text, int(i % 4 != 0)))
     df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
-    network = quality_cnn.fit(df.where("doc_id % 3 <> 1"))
+    network = quality_cnn.fit(df, df.select("doc_id", "quality").where("doc_id % 3 <> 1"))
     got = {r["doc_id"]: r["score"] for r in quality_cnn.score(df, network, ["doc_id"]).collect()}
     assert np.mean([(got[i] >= 0.5) == bool(q) for i, _, q in rows if i % 3 == 1]) > 0.95
 
@@ -93,10 +93,10 @@ def test_chunks_cover_the_whole_text():
 
 
 def test_quality_odd_rows_and_no_rows(spark):
-    df = odd_rows(spark).selectExpr("*", "cast(doc_id % 2 as int) as quality")
-    network = quality_cnn.fit(df)
+    df = odd_rows(spark)
+    network = quality_cnn.fit(df, df.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality"))
     rows = quality_cnn.score(df, network, ["doc_id"]).collect()
     assert len(rows) == 9 and all(0 <= r["score"] <= 1 for r in rows)
     assert len({r["score"] for r in rows if r["doc_id"] in (1, 2)}) == 1
     assert quality_cnn.score(no_rows(spark), network, ["doc_id"]).count() == 0
-    assert quality_cnn.fit(no_rows(spark).selectExpr("*", "1 as quality")).constant == 0.5
+    assert quality_cnn.fit(no_rows(spark), no_rows(spark).selectExpr("doc_id", "1 as quality")).constant == 0.5
