@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from siltstone.session import fresh_path
 
 # Bytes of text that one vectorised step works on; a longer text is a step of its own.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
 
 # Odd multiplier of the polynomial hashes and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15

@@ -47,7 +47,7 @@ from siltstone.llm.common import (
 # Segments of one anchor that a task takes together; windows of others travel as digests.
 HOT = 20_000
 # Windows that one sorting step takes together.
-SORT_WINDOWS = 400_000
+SORT_WINDOWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -83,7 +83,7 @@ def sliding_anchor(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 # Windows whose anchors are sought at once; longer texts are taken in overlapping pieces.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def segments_of(values: np.ndarray, offsets: np.ndarray, w: Windows) -> tuple[np.ndarray, ...]:
