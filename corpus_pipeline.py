@@ -23,7 +23,7 @@ from siltstone.llm import mixing, packing, probminhash, quality_cnn, suffix_radi
 from siltstone.llm.common import read, staged
 from siltstone.session import configure
 
-ARROW_ROWS = "1000"  # texts that travel to Python at a time
+ARROW_ROWS = "500"  # texts that travel to Python at a time
 
 
 def text_id() -> F.Column:
@@ -37,8 +37,7 @@ def prepare(spark: SparkSession) -> None:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("_quality"))
-    network = quality_cnn.fit(docs.join(labels, "doc_id"), label_col="_quality")
+    network = quality_cnn.fit(docs, read(spark, sf_dir, "labels"))
     return quality_cnn.score(docs, network, docs.columns, out_col="_score").where("_score >= 0.5").select(*docs.columns)
 
 
