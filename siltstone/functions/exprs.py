@@ -62,6 +62,17 @@ def surrogate_key(*columns: Column | str) -> Column:
     return F.md5(F.concat_ws("-", *texts))
 
 
+def ntz_literal(at: dt.datetime | None) -> Column:
+    """A time without zone as a literal. Built from text: a datetime object would pass
+    through the zone of the driver's operating system."""
+    return F.lit(None if at is None else at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def utc_literal(at: dt.datetime) -> Column:
+    """The instant of a time that is meant as UTC, whatever the driver's zone."""
+    return F.lit(at.isoformat(sep=" ") + "+00:00").cast("timestamp")
+
+
 def epoch_micros(ts: Column | str) -> Column:
     """Microseconds since 1970 of a timestamp without zone, negative before that."""
     return F.timestamp_diff(

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.functions.exprs import ntz_literal
+
 
 def high_water_mark(target: DataFrame, event_time: str) -> dt.datetime | None:
     """Newest event time of the target: one value, one column read."""
@@ -30,7 +32,7 @@ def newer_than(
         raise ValueError(f"unknown empty_target: {empty_target}")
     if first_run or (mark is None and empty_target == "full"):
         return source
-    return source.where(F.col(event_time) > F.lit(mark).cast("timestamp_ntz"))
+    return source.where(F.col(event_time) > ntz_literal(mark))
 
 
 def without_keys(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:

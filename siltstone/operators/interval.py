@@ -20,15 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.exprs import epoch_micros
-from siltstone.session import require_utc, use_checkpoint_dir
+from siltstone.session import require_utc
 
 # Rows per side of one block of an interval join: a task never pairs more than
 # BLOCK_ROWS x BLOCK_ROWS rows for one key.
 BLOCK_ROWS = 4096
 
-# The table of occupied cells is broadcast up to this many rows, joined by key beyond.
-BROADCAST_ROWS = 100_000
-
 # Cells of one level make up 2**LEVEL_BITS cells of the level below.
 LEVEL_BITS = 2
 
@@ -55,8 +52,8 @@ def _counted(df: DataFrame, block_rows: int) -> DataFrame:
 def _cell_grid(lu: Column, left: DataFrame, ru: Column, right: DataFrame, bits: int, reach: int, block: int):
     """One row per cell both sides touch: the right side's extremes, blocks per side.
 
-    Its size follows the time span, not the rows. Written to the checkpoint folder, since
-    both sides need it and its row count decides how they get it.
+    Its size follows the time span, not the rows; how it is joined is left to adaptive
+    execution.
     """
     rcells = right.groupBy(F.shiftright(ru, bits).alias("_cell")).agg(
         F.count(F.lit(1)).alias("_nr"), F.min(ru).alias("_first"), F.max(ru).alias("_last")
@@ -67,15 +64,13 @@ def _cell_grid(lu: Column, left: DataFrame, ru: Column, right: DataFrame, bits:
         .groupBy("_cell")
         .agg(F.sum("_nl").alias("_nl"))
     )
-    grid = rcells.join(lcells, "_cell").select(
+    return rcells.join(lcells, "_cell").select(
         "_cell",
         "_first",
         "_last",
         F.ceil(F.col("_nl") / block).alias("_rows"),
         F.ceil(F.col("_nr") / block).alias("_cols"),
     )
-    use_checkpoint_dir(left.sparkSession)
-    return grid.checkpoint()
 
 
 def interval_join(
@@ -87,7 +82,6 @@ def interval_join(
     after: dt.timedelta,
     how: str = "left",
     block_rows: int = BLOCK_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join on ``right_ts BETWEEN left_ts - before AND left_ts + after``.
 
@@ -115,10 +109,6 @@ def interval_join(
 
     start = epoch_micros(left_ts) - F.lit(lower)
     grid = _cell_grid(start, left, epoch_micros(right_ts), right, bits, reach, block_rows)
-    small = grid.count() <= broadcast_rows
-
-    def sized(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df
 
     # For each start cell the occupied cells within reach: at most reach + 1 of them.
     around = (
@@ -129,13 +119,17 @@ def interval_join(
         .groupBy("_cell0")
         .agg(F.collect_list("_c").alias("_cells"))
     )
-    lsalt = F.xxhash64(*(F.col(f"`{c}`") for c in left.columns))
+    lsalt = F.xxhash64(*(F.col(f"`{c}`") for c in left.columns), "_lchunk")
     visits = (
-        left.withColumn("_a", start)
+        _counted(left, block_rows)
+        .withColumnsRenamed({"_chunk": "_lchunk", "_copies": "_lcopies"})
+        .withColumn("_a", start)
         .withColumn("_cell0", F.shiftright("_a", bits))
-        .join(sized(around), "_cell0", "left")
+        .join(around, "_cell0", "left")
         .select(
             *left.columns,
+            "_lchunk",
+            "_lcopies",
             "_a",
             F.explode_outer(
                 F.filter("_cells", lambda c: (c["_last"] >= F.col("_a")) & (c["_first"] <= F.col("_a") + span))
@@ -144,6 +138,7 @@ def interval_join(
     )
     lblocks = visits.select(
         *left.columns,
+        "_lcopies",
         "_a",
         F.col("_c._cell").alias("_cell"),
         # rows without a partner are spread by the whole salt
@@ -155,7 +150,7 @@ def interval_join(
         _counted(right, block_rows)
         .withColumn("_u", epoch_micros(right_ts))
         .withColumn("_rcell", F.shiftright("_u", bits))
-        .join(sized(grid.select(F.col("_cell").alias("_rcell"), "_rows", "_cols")), "_rcell")
+        .join(grid.select(F.col("_cell").alias("_rcell"), "_rows", "_cols"), "_rcell")
         .select(
             *right.columns,
             "_u",
@@ -175,7 +170,7 @@ def interval_join(
     if how == "left":
         # a visited block may hold none of the row's partners: that is no missing partner
         pairs = pairs.where(F.col("_cell").isNull() | F.col("_u").isNotNull())
-    copies = F.sequence(F.lit(1).cast("long"), F.coalesce("_copies", F.lit(1)))
+    copies = F.sequence(F.lit(1).cast("long"), F.col("_lcopies") * F.coalesce("_copies", F.lit(1)))
     return pairs.withColumn("_copy", F.explode(copies)).select(*left.columns, *right.columns)
 
 

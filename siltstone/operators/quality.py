@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.functions.exprs import ntz_literal
 from siltstone.operators.interval import interval_join
 from siltstone.sources.catalog import DatasetSpec
 
@@ -68,7 +69,7 @@ def no_value(name: str, column: str) -> Measure:
 def newest_older_than(name: str, column: str, as_of: dt.datetime, within: dt.timedelta) -> Measure:
     """A column without any value passes, like every comparison with null here; use
     ``stale`` or ``no_value`` to catch that."""
-    limit = F.lit(as_of - within).cast("timestamp_ntz")
+    limit = ntz_literal(as_of - within)
     return Measure(name, F.when(F.max(column) < limit, 1).otherwise(0))
 
 
@@ -80,8 +81,8 @@ def stale(
     error_after: dt.timedelta = ERROR_AFTER,
 ) -> Measure:
     """Age of the newest value against two limits; no value at all is an error."""
-    warn = F.lit(as_of - warn_after).cast("timestamp_ntz")
-    error = F.lit(as_of - error_after).cast("timestamp_ntz")
+    warn = ntz_literal(as_of - warn_after)
+    error = ntz_literal(as_of - error_after)
     newest = F.max(column)
     return Measure(
         name,

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.functions.exprs import month_of
+from siltstone.functions.exprs import month_of, utc_literal
 from siltstone.operators.incremental import without_keys
 from siltstone.session import hadoop_path
 
@@ -235,7 +235,8 @@ class Layers:
     AUDIT_SCHEMA = "at timestamp, severity string, dataset string, message string"
 
     def alert(self, at, dataset: str, message: str, severity: str = "CRITICAL") -> None:
-        row = self.spark.createDataFrame([(at, severity, dataset, message)], self.AUDIT_SCHEMA)
+        row = self.spark.createDataFrame([(severity, dataset, message)], "severity string, dataset string, message string")
+        row = row.select(utc_literal(at).alias("at"), "*")
         # a folder of its own: alerts of datasets loaded side by side must not collide
         row.coalesce(1).write.parquet(f"{self.root}/audit/{uuid.uuid4().hex}")
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.casts import to_ntz
+from siltstone.functions.exprs import ntz_literal
 from siltstone.functions.jsonx import encode_complex_columns
 from siltstone.operators import quality
 from siltstone.operators.incremental import newer_than
@@ -30,7 +31,7 @@ class GateFailed(RuntimeError):
 
 
 def with_lineage(df: DataFrame, spec: DatasetSpec, as_of: dt.datetime) -> DataFrame:
-    at = F.lit(as_of).cast("timestamp_ntz")
+    at = ntz_literal(as_of)
     return df.withColumns(
         {
             "source_endpoint": F.lit(spec.name),
@@ -78,7 +79,7 @@ def ingest(
                 layers.alert(as_of, spec.name, "; ".join(verdict.errors), "WARNING")
             return verdict
         except Exception as error:  # isolation between datasets is the point
-            layers.alert(as_of, spec.name, str(error)[:2000])
+            layers.alert(as_of, spec.name, str(error))
             return None
 
     chosen = list(specs if specs is not None else datasets().values())

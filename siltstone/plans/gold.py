@@ -14,6 +14,7 @@ from siltstone.functions.exprs import (
     ratio_else_null,
     ratio_else_zero,
     risk_band,
+    utc_literal,
     zero_if_null,
 )
 from siltstone.operators.interval import interval_aggregate, interval_join
@@ -74,7 +75,7 @@ def performance(
             zero_if_null("solar_events_count").alias("count_cme_events"),
             zero_if_null("max_solar_speed_km_s").alias("peak_cme_speed"),
             risk_band("max_solar_speed_km_s").alias("mission_risk_profile"),
-            F.lit(as_of).cast("timestamp").alias("processed_at"),
+            utc_literal(as_of).alias("processed_at"),
         )
     )
 
@@ -109,7 +110,7 @@ def roi(raw_launches: DataFrame, rockets: DataFrame, payloads: DataFrame, as_of:
         "cost_per_launch_usd",
         ratio_else_null("cost_per_launch_usd", "total_payload_mass_kg").alias("usd_per_kg"),
         "launch_at_utc",
-        F.lit(as_of).cast("timestamp").alias("processed_at"),
+        utc_literal(as_of).alias("processed_at"),
     )
 
 
@@ -133,5 +134,5 @@ def weather(launches: DataFrame, solar: DataFrame, as_of: dt.datetime) -> DataFr
         F.col("event_at_utc").alias("solar_event_at"),
         hours_between("launch_at_utc", "event_at_utc").alias("hours_diff"),
         F.col("event_description").alias("nasa_note"),
-        F.lit(as_of).cast("timestamp").alias("processed_at"),
+        utc_literal(as_of).alias("processed_at"),
     )

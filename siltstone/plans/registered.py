@@ -18,6 +18,7 @@ from siltstone.functions.casts import double_to_int, to_bool, to_day, to_decimal
 from siltstone.functions.exprs import (
     hours_between,
     lookback_window,
+    ntz_literal,
     ratio_else_null,
     ratio_else_zero,
     risk_band,
@@ -434,7 +435,7 @@ def adhoc_sql(spark, sf):
 
 
 def _before_cutoff(orders):
-    return orders.where(F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp_ntz"))
+    return orders.where(F.col("o_orderdate") < ntz_literal(CUTOFF))
 
 
 def _recalculated(orders):
@@ -487,7 +488,7 @@ def delete_and_insert(spark, sf):
 @query
 def append_new_columns(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    late = orders.where(F.col("o_orderdate") >= F.lit(CUTOFF).cast("timestamp_ntz"))
+    late = orders.where(F.col("o_orderdate") >= ntz_literal(CUTOFF))
     batch = late.withColumn("o_band", risk_band(F.col("o_totalprice") / 250)).drop("o_totalprice")
     return add_columns(_before_cutoff(orders), batch)
 

@@ -19,6 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions.exprs import ntz_literal
+
 AS_OF = dt.datetime(2024, 2, 1, 6, 0)
 
 
@@ -39,7 +41,7 @@ def _iso_minutes(c: str) -> Column:
 
 
 def _ingested(df: DataFrame) -> DataFrame:
-    return df.withColumn("ingestion_timestamp", F.lit(AS_OF).cast("timestamp_ntz"))
+    return df.withColumn("ingestion_timestamp", ntz_literal(AS_OF))
 
 
 # -- shipments --------------------------------------------------------------------------

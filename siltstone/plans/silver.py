@@ -18,7 +18,6 @@ def launches(raw: DataFrame) -> DataFrame:
         F.col("rocket").alias("rocket_id"),
         to_bool("success").alias("is_success"),
         "details",
-        # lists stay JSON text here; the marts unnest them
         F.col("payloads").alias("payload_ids"),
         F.col("cores").alias("core_details"),
         F.col("ingestion_timestamp").alias("ingested_at"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,8 +24,6 @@ RUNTIME_CONF = {
 STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
-# Beyond this many the bookkeeping per shuffle costs more than larger partitions do.
-MAX_SHUFFLE_PARTITIONS = 32_768
 
 
 def build_session(
@@ -67,17 +64,20 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
         total += fs.getContentSummary(hpath).getLength()
     wanted = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
-        min(math.ceil(total / SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS),
+        math.ceil(total / SHUFFLE_PARTITION_BYTES),
     )
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return wanted
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one where none is set (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``. Only a session in one process
+    (tests) may leave it unset: on a cluster a local folder would lose rows."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="siltstone-")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = f"/tmp/checkpoints/siltstone-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured
 

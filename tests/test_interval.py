@@ -57,7 +57,7 @@ CASES = [
 def test_pairs_equal_the_direct_join(spark, case, how):
     before, after, step = CASES[case]
     left, right = sample(case, 60, 50, 40, step)
-    for block_rows, broadcast_rows in ((4096, 100_000), (3, 0)):
+    for block_rows in (4096, 3):
         got = interval_join(
             spark.createDataFrame(left, L),
             spark.createDataFrame(right, R),
@@ -67,7 +67,6 @@ def test_pairs_equal_the_direct_join(spark, case, how):
             after,
             how,
             block_rows,
-            broadcast_rows,
         )
         assert Counter(tuple(r) for r in got.collect()) == brute(left, right, before, after, how)
 

@@ -5,7 +5,7 @@ import os
 import pytest
 
 from siltstone.plans.registered import queries
-from siltstone.session import MAX_SHUFFLE_PARTITIONS, configure, size_shuffles, work_dir
+from siltstone.session import configure, size_shuffles, work_dir
 from tests.conftest import plan_of
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -62,5 +62,5 @@ def test_session_settings(spark, tmp_path):
     configure(spark, SF_DIR)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     before = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert size_shuffles(spark, SF_DIR) == before <= MAX_SHUFFLE_PARTITIONS
+    assert size_shuffles(spark, SF_DIR) == before
     assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
