@@ -28,7 +28,7 @@ from siltstone.llm.common import seeded, staged, steps, text_spans
 
 CHUNK, OVERLAP, KERNEL, STRIDE = 512, 64, 8, 2
 DEPTH, FILTERS, HIDDEN = 8, 32, 16
-BLOCK = 64  # chunks per step
+BLOCK = 16  # chunks per step
 PAD = 256
 
 

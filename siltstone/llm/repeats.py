@@ -183,10 +183,10 @@ def candidate_texts(df: DataFrame, id_col: str, text_col: str, rows: DataFrame)
     return chosen.select("tid", "copies", "text", "segments")
 
 
-def packed_segments(texts: DataFrame, w: Windows, hot: bool) -> DataFrame:
-    """(anchor, tid, first, lead, body): the units that a segment's windows cover, as one
-    string; lead is the anchor's place in it. Words are joined by one space."""
-    schema = "anchor long, tid binary, first int, lead int, body binary"
+def packing_of(w: Windows, hot: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches (tid, text, segments) to (anchor, tid, first, lead, body): the units that a
+    segment's windows cover, as one string; lead is the anchor's place in it. Words are
+    joined by one space."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,8 +215,17 @@ def packed_segments(texts: DataFrame, w: Windows, hot: bool) -> DataFrame:
                 names=["anchor", "tid", "first", "lead", "body"],
             )
 
+    return run
+
+
+def with_segments(texts: DataFrame, hot: bool) -> DataFrame:
     chosen = texts.select("tid", "text", F.filter("segments", lambda s: s["hot"] == F.lit(hot)).alias("segments"))
-    return chosen.where(F.size("segments") > 0).mapInArrow(run, schema)
+    return chosen.where(F.size("segments") > 0)
+
+
+def packed_segments(texts: DataFrame, w: Windows) -> DataFrame:
+    schema = "anchor long, tid binary, first int, lead int, body binary"
+    return with_segments(texts, False).mapInArrow(packing_of(w, False), schema)
 
 
 # -- marks ------------------------------------------------------------------------------
@@ -321,15 +330,17 @@ def sorted_marks(todo: list[tuple], w: Windows, repeated: Counter) -> list[tuple
     ]
 
 
-def digest_marks(packed: DataFrame, w: Windows) -> DataFrame:
+def digest_marks(texts: DataFrame, w: Windows) -> DataFrame:
     """Repeated windows of anchors with very many segments, by 128-bit digests of windows.
 
     Digests are counted by a grouping that combines before its shuffle, so it does not
     matter how many windows are equal or share an anchor.
     """
 
+    pack = packing_of(w, True)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pack(batches):
             out: list[list] = [[], [], [], []]
             for _, tid, first, _, body in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if w.unit == "word":
@@ -354,7 +365,7 @@ def digest_marks(packed: DataFrame, w: Windows) -> DataFrame:
                 names=["a", "b", "tid", "first"],
             )
 
-    each = packed.mapInArrow(run, "a long, b long, tid binary, first int")
+    each = with_segments(texts, True).mapInArrow(run, "a long, b long, tid binary, first int")
     again = each.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     return each.join(again, ["a", "b"]).select("tid", "first", (F.col("first") + 1).alias("stop"))
 
@@ -421,8 +432,7 @@ def remove_repeats(df: DataFrame, keep: list[str], text_col: str, w: Windows, re
     """
     rows = staged(profile(df, keep, text_col, w), f"{label}-profile")
     texts = staged(candidate_texts(df, keep[0], text_col, rows), f"{label}-texts")
-    hot = digest_marks(packed_segments(texts, w, True), w)
-    marks = bucket_marks(packed_segments(texts, w, False), w, repeated).unionByName(hot)
+    marks = bucket_marks(packed_segments(texts, w), w, repeated).unionByName(digest_marks(texts, w))
     alone = texts.where("copies = 1").select("tid", "text")
     spanned = alone.join(spans_of(marks, w), "tid").select("tid", "text", "spans")
     cuts = cut_texts(spanned, w).withColumn("cut_sha", F.sha2("kept", 256))
