@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DECIMAL = "decimal(18,4)"
+DECIMAL = "decimal(38,18)"
+
+# Relative error up to which a double stands for the decimal it was written as.
+DOUBLE_STEP = 1e-15
 
 # A zone suffix counts only behind a time of day, so plain dates stay untouched.
 _ZONE_AFTER_TIME = r"(:\d{2}(?:\.\d+)?)\s*(?:[Zz]|UTC|[+-]\d{2}(?::?\d{2})?)$"
@@ -37,7 +40,15 @@ def to_bool(c: Column | str) -> Column:
 
 
 def to_decimal(c: Column | str, type_name: str = DECIMAL) -> Column:
-    return _col(c).cast(type_name)
+    """Number or text to an exact number.
+
+    A value that would lose digits a double can tell apart fails instead of being rounded:
+    a mass of 1e-19 must not turn into 0.
+    """
+    exact, double = _col(c).cast(type_name), _col(c).cast("double")
+    lost = F.abs(exact.cast("double") - double) > F.abs(double) * F.lit(DOUBLE_STEP)
+    message = F.concat(F.lit(f"more digits than {type_name} holds: "), _col(c).cast("string"))
+    return F.when(lost, F.raise_error(message).cast(type_name)).otherwise(exact)
 
 
 def to_int(c: Column | str) -> Column:

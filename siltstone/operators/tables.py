@@ -23,6 +23,8 @@ from siltstone.session import hadoop_path
 
 PART = "_part"
 WHOLE = "all"
+# Folders of one month above which ``tidy`` merges them.
+MERGE_ABOVE = 4
 
 
 @dataclass(frozen=True)
@@ -169,13 +171,13 @@ class Table:
             kept += self._write(without_keys(self.frame(old, hit), keys, key), "kept")
         return Version(schema, tuple(kept + batch_parts))
 
-    def stage_compacted(self) -> Version:
-        """The same rows with one directory per month again."""
+    def stage_compacted(self, above: int = 1) -> Version:
+        """The same rows with one directory again for months that have more than ``above``."""
         version = self.current()
         seen: dict[str, int] = {}
         for part, _ in version.parts:
             seen[part] = seen.get(part, 0) + 1
-        many = {part for part, n in seen.items() if n > 1}
+        many = {part for part, n in seen.items() if n > above}
         if not many:
             return version
         kept = [p for p in version.parts if p[0] not in many]
@@ -190,6 +192,21 @@ class Table:
         listing.coalesce(1).write.mode("overwrite").json(f"{self.path}/_versions/{number:08d}")
         return number
 
+    def discard(self, staged: Version) -> None:
+        """Delete the files of a staged state that will not be published."""
+        used = {path.split("/")[1] for _, path in self.current().parts} if self.exists() else set()
+        for run in {path.split("/")[1] for _, path in staged.parts} - used:
+            folder, fs = hadoop_path(self.spark, f"{self.path}/data/{run}")
+            fs.delete(folder, True)
+
+    def tidy(self, keep: int = 7) -> None:
+        """After a publish: merge months in many folders, drop old versions."""
+        version = self.current()
+        merged = self.stage_compacted(MERGE_ABOVE)
+        if merged.parts != version.parts:
+            self.publish(merged)
+        self.expire(keep)
+
     def expire(self, keep: int = 7) -> None:
         """Drop all but the newest ``keep`` versions and the files only they refer to.
 

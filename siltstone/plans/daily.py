@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.casts import to_ntz
-from siltstone.functions.exprs import ntz_literal
+from siltstone.functions.exprs import lookback_window, ntz_literal
 from siltstone.functions.jsonx import encode_complex_columns
 from siltstone.operators import quality
 from siltstone.operators.incremental import newer_than
@@ -54,6 +54,9 @@ def load_raw(table: Table, rows: DataFrame, spec: DatasetSpec, as_of: dt.datetim
     verdict = quality.preflight_verdict(spec, counts)
     if verdict.ok:
         table.publish(staged)
+        table.expire()
+    else:
+        table.discard(staged)
     return verdict
 
 
@@ -77,6 +80,8 @@ def ingest(
             verdict = load_raw(layers.table("raw", spec.name), rows, spec, as_of)
             if not verdict.ok:
                 layers.alert(as_of, spec.name, "; ".join(verdict.errors), "WARNING")
+            for warning in verdict.warnings:
+                layers.alert(as_of, spec.name, warning, "WARNING")
             return verdict
         except Exception as error:  # isolation between datasets is the point
             layers.alert(as_of, spec.name, str(error))
@@ -245,13 +250,16 @@ def run(
 ) -> dict[str, int]:
     """One day's run; returns the published version per fact.
 
-    Nothing of a later step is published once a gate has failed.
+    Datasets requested by window are read for ``window``, or else for the days up to
+    ``as_of`` (``lookback_window``). Nothing of a later step is published once a gate has
+    failed; the files it staged are deleted. A fact whose months lie in many folders is
+    merged after publishing, and old versions are dropped.
     """
     landed, fs = hadoop_path(spark, location)
     configure(spark, *([location] if fs.exists(landed) else []))
     layers = Layers(spark, root)
     layers.ensure()
-    ingest(layers, location, as_of, specs, window=window)
+    ingest(layers, location, as_of, specs, window=window or lookback_window(as_of.date()))
     raws = raw_tables(layers)
     gate(layers, source_checks(raws, as_of), as_of)
     frames = register_views(layers, raws)
@@ -264,9 +272,15 @@ def run(
     with ThreadPoolExecutor(max_workers=FACT_THREADS) as pool:
         staged = list(pool.map(stage, select_facts(tag)))
     checks = [c for fact, table, state in staged for c in fact_checks(fact, table.frame(state), frames)]
-    gate(layers, quality.union_checks(checks), as_of)
+    try:
+        gate(layers, quality.union_checks(checks), as_of)
+    except GateFailed:
+        for _, table, state in staged:
+            table.discard(state)
+        raise
     out = {}
     for fact, table, state in staged:
         out[fact.name] = table.publish(state)
-        layers.view("gold", fact.name, table.frame(state))
+        table.tidy()
+        layers.view("gold", fact.name, table.read())
     return out

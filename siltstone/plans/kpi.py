@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.functions.casts import to_decimal
 from siltstone.functions.exprs import epoch_micros
 
 MICROS_PER_DAY = 86_400_000_000
@@ -44,7 +45,7 @@ def mean_days_between(failures: DataFrame, family: str, at: str) -> DataFrame:
 
 def status_summary(launches: DataFrame, status: str, mass: str) -> DataFrame:
     """Count and mean payload per status; the mean is over the exact decimal sum."""
-    exact = F.col(mass).cast("decimal(18,4)")
+    exact = to_decimal(mass)
     return launches.groupBy(status).agg(
         F.count(F.lit(1)).alias("total"),
         (F.sum(exact).cast("double") / F.nullif(F.count(exact), F.lit(0))).alias("avg_payload"),

@@ -41,7 +41,7 @@ from siltstone.operators.unnest import element_sums
 from siltstone.plans import daily, gold, kpi, reports, roles, silver
 from siltstone.plans.roles import AS_OF, table
 from siltstone.session import configure, fresh_path
-from siltstone.sources.catalog import CONTRACTS, DatasetSpec, datasets
+from siltstone.sources.catalog import CONTRACTS, DatasetSpec, contract, datasets
 from siltstone.sources.flatten import flatten_struct
 from siltstone.sources.landed import read_responses, records_at
 
@@ -49,6 +49,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 CUTOFF = dt.datetime(1998, 1, 1)
+ALL_DAYS = ("1900-01-01", "2100-01-01")
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -56,6 +57,8 @@ def plain(df: DataFrame) -> DataFrame:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DecimalType):
             return c.cast("double").alias(f.name)
+        if isinstance(f.dataType, T.TimestampType):  # the session is in UTC
+            return c.cast("timestamp_ntz").alias(f.name)
         if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             return c.cast("long").alias(f.name)
         return c
@@ -81,28 +84,27 @@ def queries() -> dict[str, Query]:
 
 @query
 def silver_launches(spark, sf):
-    out = silver.launches(roles.shipment_launches(spark, sf))
-    return out.drop("payload_ids", "core_details", "ingested_at")
+    return silver.launches(roles.shipment_launches(spark, sf))
 
 
 @query
 def silver_rockets(spark, sf):
-    return silver.rockets(roles.supplier_rockets(spark, sf)).drop("ingested_at")
+    return silver.rockets(roles.supplier_rockets(spark, sf))
 
 
 @query
 def silver_payloads(spark, sf):
-    return silver.payloads(roles.part_payloads(spark, sf)).drop("ingested_at")
+    return silver.payloads(roles.part_payloads(spark, sf))
 
 
 @query
 def silver_cores(spark, sf):
-    return silver.cores(roles.customer_cores(spark, sf)).drop("ingested_at")
+    return silver.cores(roles.customer_cores(spark, sf))
 
 
 @query
 def silver_solar_events(spark, sf):
-    return silver.solar_events(roles.order_solar_events(spark, sf)).drop("ingested_at")
+    return silver.solar_events(roles.order_solar_events(spark, sf))
 
 
 @query
@@ -210,11 +212,37 @@ def landed_files(spark, sf):
         "payloads", F.from_json("payloads", "array<string>")
     ).write.json(location)
     spec = replace(datasets()["launches"], json_lines=True)
-    return read_responses(spark, spec, location).select(
-        "id", "flight_number", "date_utc", "success", "payloads", "crew"
+    return flatten_struct(read_responses(spark, spec, location)).select(
+        "id", "flight_number", "name", "date_utc", "rocket", "success", "details", "payloads", "cores", "launchpad",
+        "crew", "window", "`links.patch.small`",
     )
 
 
+@query
+def response_shapes(spark, sf):
+    """Orders landed as one list per file, as one object per file, and as an empty list."""
+    location = fresh_path(spark, "shapes")
+    orders = table(spark, sf, "orders")
+    record = F.struct(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("name"))
+    # a page holds at most a thousand of the unique keys
+    page = F.expr("o_orderkey div 1000").alias("page")
+    listed = orders.where("o_orderstatus <> 'P'").groupBy(page).agg(F.collect_list(record).alias("r"))
+    newest = orders.where("o_orderstatus = 'P'").agg(F.max(record).alias("r"))
+    pages = {
+        "list": listed.select(F.to_json("r").alias("value")),
+        "object": newest.select(F.to_json("r").alias("value")),
+        "empty": newest.select(F.lit("[]").alias("value")),
+    }
+    spec = DatasetSpec("pages", "id string, name string")
+    out = []
+    for shape, bodies in pages.items():
+        # one response a file: a page is one task's single row
+        bodies.repartition(F.col("value")).write.option("maxRecordsPerFile", 1).text(f"{location}/{shape}")
+        rows = read_responses(spark, spec, f"{location}/{shape}")
+        out.append(rows.groupBy().agg(F.count("id").alias("n"), F.max("name").alias("top")).withColumn("shape", F.lit(shape)))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 # -- filters and joins ------------------------------------------------------------------
 
 
@@ -319,6 +347,13 @@ def ratio_null(spark, sf):
     return _part_ratio(spark, sf, ratio_else_null)
 
 
+@query
+def ratio_tiny_mass(spark, sf):
+    """Masses from 0.00004 on, which four decimals would turn into nothing."""
+    mass = to_decimal((F.col("p_size") / 25000).cast("string"))
+    return table(spark, sf, "part").select("p_partkey", ratio_else_zero("p_retailprice", mass).alias("ratio"))
+
+
 @query
 def surrogate_keys(spark, sf):
     segment = F.nullif("c_mktsegment", F.lit("FURNITURE"))
@@ -335,7 +370,7 @@ def _performance(spark, sf):
         silver.payloads(roles.part_payloads(spark, sf)),
         silver.solar_events(roles.order_solar_events(spark, sf)),
         AS_OF,
-    ).drop("processed_at")
+    )
 
 
 def _roi(spark, sf):
@@ -344,7 +379,7 @@ def _roi(spark, sf):
         silver.rockets(roles.supplier_rockets(spark, sf)),
         silver.payloads(roles.part_payloads(spark, sf)),
         AS_OF,
-    ).drop("processed_at")
+    )
 
 
 def _weather(spark, sf):
@@ -352,7 +387,7 @@ def _weather(spark, sf):
         silver.launches(roles.order_launches(spark, sf)),
         silver.solar_events(roles.shipping_day_solar_events(spark, sf)),
         AS_OF,
-    ).drop("processed_at")
+    )
 
 
 @query
@@ -390,7 +425,7 @@ def report_raw_sample(spark, sf):
 
 @query
 def report_solar_sample(spark, sf):
-    return reports.solar_sample(silver.solar_events(roles.order_solar_events(spark, sf))).drop("ingested_at")
+    return reports.solar_sample(silver.solar_events(roles.order_solar_events(spark, sf)))
 
 
 @query
@@ -407,7 +442,7 @@ def report_performance_sample(spark, sf):
         silver.solar_events(roles.shipping_day_solar_events(spark, sf)),
         AS_OF,
     )
-    return reports.performance_sample(best).drop("processed_at")
+    return reports.performance_sample(best)
 
 
 @query
@@ -514,7 +549,7 @@ def full_refresh_load(spark, sf):
     target = layers.table("raw", "launches")
     daily.load_raw(target, rows, spec, AS_OF)
     daily.load_raw(target, rows.select(*reversed(rows.columns)).drop("details"), spec, AS_OF)
-    return target.read().drop("cores", "payloads", "rocket", "launchpad", "name")
+    return target.read()
 
 
 def _specs():
@@ -526,9 +561,9 @@ def daily_run_performance(spark, sf):
     """Landed files through the whole daily run; the published performance fact."""
     location, root = fresh_path(spark, "landed"), fresh_path(spark, "layers")
     roles.land(spark, sf, location)
-    daily.run(spark, root, location, AS_OF, specs=_specs())
+    daily.run(spark, root, location, AS_OF, window=ALL_DAYS, specs=_specs())
     layers = Layers(spark, root)
-    return layers.table("gold", "launches_performance", "launch_at_utc").read().drop("processed_at")
+    return layers.table("gold", "launches_performance", "launch_at_utc").read()
 
 
 @query
@@ -539,8 +574,8 @@ def daily_run_incremental(spark, sf):
     for known in (_before_cutoff, lambda orders: orders):
         location = fresh_path(spark, "landed")
         roles.land(spark, sf, location, known)
-        daily.run(spark, root, location, AS_OF, specs=_specs(), tag="roi")
-    return Layers(spark, root).table("gold", "launch_roi", "launch_at_utc").read().drop("processed_at")
+        daily.run(spark, root, location, AS_OF, window=ALL_DAYS, specs=_specs(), tag="roi")
+    return Layers(spark, root).table("gold", "launch_roi", "launch_at_utc").read()
 
 
 @query
@@ -557,13 +592,25 @@ def ingest_alerts(spark, sf):
     specs = [replace(s, name="cores_lost") if s.name == "cores" else s for s in specs]
     layers = Layers(spark, root)
     loaded = daily.ingest(layers, location, AS_OF, specs)
-    alerts = layers.alerts().select("severity", "dataset", F.substring_index("message", ".", 1).alias("message"))
+    message = F.col("message")
+    shown = F.when(~message.startswith("["), message)  # an exception's text holds a path of this run
+    alerts = layers.alerts().select("severity", "dataset", message, shown.alias("rejected_for"))
     rows = [(name, verdict.rows) for name, verdict in loaded.items() if verdict and verdict.ok]
     done = spark.createDataFrame(rows, "dataset string, total_rows long")
     return alerts.select(
-        "dataset", "severity", F.col("message").startswith("[").alias("is_error"), F.lit(None).cast("long").alias("total_rows")
+        "dataset",
+        "severity",
+        message.startswith("[").alias("is_error"),
+        F.lit(None).cast("long").alias("total_rows"),
+        "rejected_for",
     ).unionByName(
-        done.select("dataset", F.lit("LOADED").alias("severity"), F.lit(False).alias("is_error"), "total_rows")
+        done.select(
+            "dataset",
+            F.lit("LOADED").alias("severity"),
+            F.lit(False).alias("is_error"),
+            "total_rows",
+            F.lit(None).cast("string").alias("rejected_for"),
+        )
     )
 
 
@@ -708,6 +755,65 @@ def contract_report(spark, sf):
     return spark.createDataFrame(rows, "batch string, verdict string")
 
 
+@query
+def frame_assertions(spark, sf):
+    """Which assertion on the orders holds, and which raises."""
+    orders = table(spark, sf, "orders")
+    nulls = orders.withColumn("gone", F.nullif("o_orderstatus", F.lit("P")))
+    trials = {
+        "has_columns": lambda: quality.assert_has_columns(orders, ["o_orderkey", "o_custkey"]),
+        "lacks_columns": lambda: quality.assert_has_columns(orders, ["o_orderkey", "nothing"]),
+        "no_nulls": lambda: quality.assert_no_nulls(orders, "o_orderkey"),
+        "nulls": lambda: quality.assert_no_nulls(nulls, "gone"),
+        "type": lambda: quality.assert_column_type(orders, "o_orderkey", int),
+        "other_type": lambda: quality.assert_column_type(orders, "o_orderkey", str),
+        "row_count": lambda: quality.assert_row_count(orders, orders.select("o_orderkey").count()),
+        "other_row_count": lambda: quality.assert_row_count(orders, -1),
+    }
+    rows = []
+    for name, trial in trials.items():
+        try:
+            trial()
+            rows.append((name, True))
+        except AssertionError:
+            rows.append((name, False))
+    return spark.createDataFrame(rows, "assertion string, holds boolean")
+
+
+@query
+def unknown_contract(spark, sf):
+    """Contracts asked for by name: a registered one, and ones named like an order priority."""
+    ends = table(spark, sf, "orders").agg(F.min("o_orderpriority"), F.max("o_orderpriority")).first()
+    rows = []
+    for name in ("launches", *ends):
+        try:
+            rows.append((name, contract(name).name))
+        except ValueError as error:
+            rows.append((name, type(error).__name__))
+    return spark.createDataFrame(rows, "name string, found string")
+
+
+@query
+def gate_blocks(spark, sf):
+    """Two daily runs, the second with every launch landed twice: its gate raises, so the
+    published fact is still that of the first; the alert names the check."""
+    root = fresh_path(spark, "layers")
+    outcomes = []
+    for copies in (1, 2):
+        location = fresh_path(spark, "landed")
+        roles.land(spark, sf, location, lambda orders, n=copies: orders.withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(n)))))
+        try:
+            daily.run(spark, root, location, AS_OF, window=ALL_DAYS, specs=_specs(), tag="performance")
+            outcomes.append("published")
+        except daily.GateFailed as error:
+            outcomes.append(str(error))
+    layers = Layers(spark, root)
+    fact = layers.table("gold", "launches_performance", "launch_at_utc").read().agg(F.count(F.lit(1)).alias("rows"))
+    alerts = layers.alerts().select(F.concat_ws(" ", "severity", "dataset", "message").alias("what"), F.lit(None).cast("long").alias("rows"))
+    ended = spark.createDataFrame([(f"run {i}: {o}", None) for i, o in enumerate(outcomes, 1)], "what string, rows long")
+    return fact.select(F.lit("fact").alias("what"), "rows").unionByName(alerts).unionByName(ended)
+
+
 # -- KPIs -------------------------------------------------------------------------------
 
 

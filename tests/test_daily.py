@@ -130,6 +130,7 @@ def test_null_ids_warn_and_load(site, as_of):
     verdict = daily.ingest(site.layers, site.location, as_of)["launches"]
     assert verdict.ok and verdict.warnings == ("1 null ids",)
     assert site.layers.table("raw", "launches").read().count() == 3
+    assert site.alerts() == [("WARNING", "launches", "1 null ids")]
 
 
 def test_duplicate_ids_block_everything_after_ingestion(site):
@@ -162,6 +163,30 @@ def test_a_fact_that_fails_its_check_is_not_published(site):
     assert site.ids() == before and site.ids("launch_roi") == ["a", "b"]
 
 
+def test_no_window_means_the_last_sixty_days(site, spark, as_of):
+    daily.run(spark, site.layers.root, site.location, as_of)
+    # 2022-11-01 is sixty days before the last day of the year, September is not
+    events = site.layers.table("raw", "solar_events").read()
+    assert sorted(r.activityID for r in events.collect()) == ["e2"]
+
+
+def test_many_runs_leave_few_folders(site, spark, tmp_path):
+    table = site.layers.table("gold", "many", "at")
+    for day in range(1, 31):
+        batch = spark.createDataFrame([(day, dt.datetime(2022, 12, day))], "k int, at timestamp_ntz")
+        table.publish(table.stage_delete_insert(batch, "k"))
+        table.tidy()
+    assert len(table.current().parts) <= 5
+    assert sorted(r.k for r in table.read().collect()) == list(range(1, 31))
+    assert len(list((tmp_path / "layers/gold/many/_versions").iterdir())) == 7
+
+
+def test_a_rejected_batch_leaves_no_files(site, tmp_path, as_of):
+    site.land(launches=[{"id": "z", "name": "no time"}])
+    assert not daily.ingest(site.layers, site.location, as_of)["launches"].ok
+    assert list((tmp_path / "layers/raw/launches/data").iterdir()) == []
+
+
 def test_custom_reader(site, spark, as_of):
     class Fixed:
         def read(self, session, spec, location):

@@ -53,8 +53,15 @@ def test_rounding_to_integer(spark, value, away, even):
     assert one(spark, value, "double", casts.double_to_int) == even
 
 
+@pytest.mark.parametrize("value, kind", [("1e-19", "string"), (1e-19, "double"), (1.23456789e-12, "double")])
+def test_digits_that_would_be_lost_fail(spark, value, kind):
+    with pytest.raises(Exception, match="more digits than"):
+        one(spark, value, kind, casts.to_decimal)
+
+
 def test_decimal_text_and_day(spark):
-    assert str(one(spark, 12.34567, "double", casts.to_decimal)) == "12.3457"
+    assert str(one(spark, 12.34567, "double", casts.to_decimal)) == "12.345670000000000000"
+    assert str(one(spark, "0.00004", "string", casts.to_decimal)) == "0.000040000000000000"
     assert one(spark, 12, "long", casts.to_text) == "12"
     assert one(spark, dt.datetime(2022, 1, 2, 23), "timestamp_ntz", casts.to_day) == dt.date(2022, 1, 2)
 

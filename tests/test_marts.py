@@ -83,16 +83,16 @@ def test_silver_schemas(spark, views):
         "is_success boolean, details string, payload_ids string, core_details string, ingested_at timestamp_ntz"
     )
     assert types["rockets"] == (
-        "rocket_id string, rocket_name string, rocket_type string, is_active boolean, cost_per_launch_usd decimal(18,4), "
-        "success_rate_pct int, max_payload_kg_leo decimal(18,4), ingested_at timestamp_ntz"
+        "rocket_id string, rocket_name string, rocket_type string, is_active boolean, cost_per_launch_usd decimal(38,18), "
+        "success_rate_pct int, max_payload_kg_leo decimal(38,18), ingested_at timestamp_ntz"
     )
     assert types["payloads"] == (
-        "payload_id string, payload_name string, payload_type string, is_payload_reused boolean, mass_kg decimal(18,4), "
+        "payload_id string, payload_name string, payload_type string, is_payload_reused boolean, mass_kg decimal(38,18), "
         "orbit_code string, primary_customer string, ingested_at timestamp_ntz"
     )
     assert types["solar_events"] == (
-        "activityid string, catalog_source string, event_at_utc timestamp_ntz, speed_km_s decimal(18,4), cme_type string, "
-        "half_angle decimal(18,4), is_most_accurate boolean, source_location string, event_description string, ingested_at timestamp_ntz"
+        "activityid string, catalog_source string, event_at_utc timestamp_ntz, speed_km_s decimal(38,18), cme_type string, "
+        "half_angle decimal(38,18), is_most_accurate boolean, source_location string, event_description string, ingested_at timestamp_ntz"
     )
     cores = silver.cores(frame(spark, "cores", [{"id": "c", "serial": "B1", "status": "lost", "reuse_count": 2, "rtls_landings": 1, "asds_landings": None}]))
     assert tuple(cores.first()) == ("c", "B1", "lost", 2, 1, None, AT)

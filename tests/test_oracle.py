@@ -4,7 +4,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from siltstone.plans import oracle, registered
 from tests.oracle_check import connect, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -17,13 +18,13 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(registered.queries()))
 def test_rows_equal_the_sql(spark, con, name):
     assert differences(spark, con, SF_DIR, name) == []
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(registered.queries()) == set(oracle.oracle_sql())
 
 
 def test_entry(spark):
