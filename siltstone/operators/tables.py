@@ -217,7 +217,8 @@ class Table:
         if newest is None or keep < 1:
             return
         kept = [n for n in range(max(1, newest - keep + 1), newest + 1)]
-        used = {path.split("/")[1] for n in kept for _, path in self.version(n).parts}
+        listed = self.spark.read.schema("path string").json([f"{self.path}/_versions/{n:08d}" for n in kept])
+        used = {r.path.split("/")[1] for r in listed.where("path IS NOT NULL").distinct().collect()}
         for status in self._listing("_versions"):
             if int(status.getPath().getName()) not in kept:
                 hadoop_path(self.spark, self.path)[1].delete(status.getPath(), True)
