@@ -14,7 +14,7 @@ equality joins on integer time cells.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,22 +49,29 @@ def _counted(df: DataFrame, block_rows: int) -> DataFrame:
     )
 
 
-def _cell_grid(lu: Column, left: DataFrame, ru: Column, right: DataFrame, bits: int, reach: int, block: int):
-    """One row per cell both sides touch: the right side's extremes, blocks per side.
+def _keyed(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
+    return df.withColumns({f"{prefix}{i}": F.col(f"`{c}`") for i, c in enumerate(columns)})
 
-    Its size follows the time span, not the rows; how it is joined is left to adaptive
-    execution.
+
+def _cell_grid(
+    lu: Column, left: DataFrame, ru: Column, right: DataFrame, keys: list[str], bits: int, reach: int, block: int
+):
+    """One row per key and cell both sides touch: the right side's extremes, blocks per side.
+
+    Its size follows the time span and the number of keys, not the rows; how it is joined
+    is left to adaptive execution.
     """
-    rcells = right.groupBy(F.shiftright(ru, bits).alias("_cell")).agg(
+    rcells = right.groupBy(*keys, F.shiftright(ru, bits).alias("_cell")).agg(
         F.count(F.lit(1)).alias("_nr"), F.min(ru).alias("_first"), F.max(ru).alias("_last")
     )
-    starts = left.groupBy(F.shiftright(lu, bits).alias("_cell0")).agg(F.count(F.lit(1)).alias("_nl"))
+    starts = left.groupBy(*keys, F.shiftright(lu, bits).alias("_cell0")).agg(F.count(F.lit(1)).alias("_nl"))
     lcells = (
-        starts.select(F.explode(F.sequence(F.col("_cell0"), F.col("_cell0") + reach)).alias("_cell"), "_nl")
-        .groupBy("_cell")
+        starts.select(*keys, F.explode(F.sequence(F.col("_cell0"), F.col("_cell0") + reach)).alias("_cell"), "_nl")
+        .groupBy(*keys, "_cell")
         .agg(F.sum("_nl").alias("_nl"))
     )
-    return rcells.join(lcells, "_cell").select(
+    return rcells.join(lcells, [*keys, "_cell"]).select(
+        *keys,
         "_cell",
         "_first",
         "_last",
@@ -82,10 +89,12 @@ def interval_join(
     after: dt.timedelta,
     how: str = "left",
     block_rows: int = BLOCK_ROWS,
+    on: Sequence[tuple[str, str]] = (),
 ) -> DataFrame:
-    """Join on ``right_ts BETWEEN left_ts - before AND left_ts + after``.
+    """Join on ``right_ts BETWEEN left_ts - before AND left_ts + after``, and on equality
+    of the column pairs (left, right) named in ``on``; a null there equals nothing.
 
-    A right row has one time cell, a left row visits the few cells its window touches,
+    A right row has one time cell (per key), a left row visits the few cells its window touches,
     so each pair meets in exactly one cell. Cells are at most half a window wide: two
     thirds or more of the rows that meet are real pairs, and work follows the result's
     size. A cell's first and last right time tell exactly whether a left row finds a
@@ -108,26 +117,39 @@ def interval_join(
     reach = (span >> bits) + 1
 
     start = epoch_micros(left_ts) - F.lit(lower)
-    grid = _cell_grid(start, left, epoch_micros(right_ts), right, bits, reach, block_rows)
+    lkeys, rkeys = [c for c, _ in on], [c for _, c in on]
+    keys = [f"_k{i}" for i in range(len(on))]
+    grid = _cell_grid(
+        start,
+        _keyed(left, lkeys, "_k"),
+        epoch_micros(right_ts),
+        _keyed(right, rkeys, "_k"),
+        keys,
+        bits,
+        reach,
+        block_rows,
+    )
 
     # For each start cell the occupied cells within reach: at most reach + 1 of them.
     around = (
         grid.select(
+            *keys,
             F.explode(F.sequence(F.col("_cell") - reach, F.col("_cell"))).alias("_cell0"),
             F.struct("_cell", "_first", "_last", "_rows", "_cols").alias("_c"),
         )
-        .groupBy("_cell0")
+        .groupBy(*keys, "_cell0")
         .agg(F.collect_list("_c").alias("_cells"))
     )
     lsalt = F.xxhash64(*(F.col(f"`{c}`") for c in left.columns), "_lchunk")
     visits = (
-        _counted(left, block_rows)
+        _keyed(_counted(left, block_rows), lkeys, "_k")
         .withColumnsRenamed({"_chunk": "_lchunk", "_copies": "_lcopies"})
         .withColumn("_a", start)
         .withColumn("_cell0", F.shiftright("_a", bits))
-        .join(around, "_cell0", "left")
+        .join(around, [*keys, "_cell0"], "left")
         .select(
             *left.columns,
+            *keys,
             "_lchunk",
             "_lcopies",
             "_a",
@@ -138,6 +160,7 @@ def interval_join(
     )
     lblocks = visits.select(
         *left.columns,
+        *keys,
         "_lcopies",
         "_a",
         F.col("_c._cell").alias("_cell"),
@@ -147,12 +170,18 @@ def interval_join(
     )
     rsalt = F.xxhash64(*(F.col(f"`{c}`") for c in right.columns), "_chunk")
     rblocks = (
-        _counted(right, block_rows)
+        _keyed(_counted(right, block_rows), rkeys, "_r")
         .withColumn("_u", epoch_micros(right_ts))
         .withColumn("_rcell", F.shiftright("_u", bits))
-        .join(grid.select(F.col("_cell").alias("_rcell"), "_rows", "_cols"), "_rcell")
+        .join(
+            grid.select(
+                *(F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)), F.col("_cell").alias("_rcell"), "_rows", "_cols"
+            ),
+            [*(f"_r{i}" for i in range(len(on))), "_rcell"],
+        )
         .select(
             *right.columns,
+            *(f"_r{i}" for i in range(len(on))),
             "_u",
             "_copies",
             "_rcell",
@@ -166,6 +195,8 @@ def interval_join(
         & (F.col("_column") == F.col("_rcolumn"))
         & F.col("_u").between(F.col("_a"), F.col("_a") + span)
     )
+    for i, key in enumerate(keys):
+        met &= F.col(key) == F.col(f"_r{i}")
     pairs = lblocks.join(rblocks, met, how)
     if how == "left":
         # a visited block may hold none of the row's partners: that is no missing partner

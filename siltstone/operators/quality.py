@@ -8,6 +8,7 @@ them can be unioned, stored and gated on. Status is ``pass``, ``warn``, ``fail``
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -143,15 +144,22 @@ def no_rows(failures: DataFrame, name: str) -> DataFrame:
     return measure(failures, Measure(name, F.count(F.lit(1))))
 
 
-def same_day_before(launches: DataFrame, events: DataFrame, launch_ts: str, event_ts: str) -> DataFrame:
-    """Launches earlier than an event of the same day, one row per such event.
+def same_day_before(
+    launches: DataFrame,
+    events: DataFrame,
+    launch_ts: str,
+    event_ts: str,
+    on: Sequence[tuple[str, str]] = (),
+) -> DataFrame:
+    """Launches earlier than an event of the same day, one row per such event; ``on`` names
+    pairs of columns that have to be equal besides.
 
     An event later on the same day is less than 24 hours away, so the interval join finds
     it, however many launches and events one day holds. For a gate use
     ``same_day_before_check``, which forms no pairs.
     """
     near = interval_join(
-        launches, events, launch_ts, event_ts, dt.timedelta(0), dt.timedelta(hours=24), "inner"
+        launches, events, launch_ts, event_ts, dt.timedelta(0), dt.timedelta(hours=24), "inner", on=on
     )
     return near.where(
         (F.to_date(launch_ts) == F.to_date(event_ts)) & (F.col(launch_ts) < F.col(event_ts))

@@ -311,15 +311,18 @@ def interval_join_trailing_24h(spark, sf):
 
 @query
 def interval_join_pm7d(spark, sf):
-    """Each signup with every day's last error at most seven days away."""
+    """Each signup with every error of the same user at most seven days away."""
     events = table(spark, sf, "events")
-    signups = events.where(F.col("event_type") == "signup").select("event_id", F.col("ts").alias("signup_at"))
-    last_errors = (
-        events.where(F.col("event_type") == "error").groupBy(F.to_date("ts")).agg(F.max("ts").alias("error_at"))
-    ).select("error_at")
+    signups = events.where(F.col("event_type") == "signup").select(
+        "event_id", "user_id", F.col("ts").alias("signup_at")
+    )
+    errors = events.where(F.col("event_type") == "error").select(
+        F.col("event_id").alias("error_id"), F.col("user_id").alias("error_user"), F.col("ts").alias("error_at")
+    )
     week = dt.timedelta(days=7)
-    return interval_join(signups, last_errors, "signup_at", "error_at", week, week, "inner").select(
-        "event_id", "error_at", hours_between("signup_at", "error_at").alias("hours_diff")
+    same_user = [("user_id", "error_user")]
+    return interval_join(signups, errors, "signup_at", "error_at", week, week, "inner", on=same_user).select(
+        "event_id", "user_id", "error_id", "error_at", hours_between("signup_at", "error_at").alias("hours_diff")
     )
 
 
@@ -698,13 +701,16 @@ def dq_at_least_one(spark, sf):
 
 @query
 def dq_singular_same_day(spark, sf):
-    """Purchases earlier than an error of the same day, with each such error."""
+    """Purchases earlier than an error of the same user and day, with each such error."""
     events = table(spark, sf, "events")
     bought = events.where(F.col("event_type") == "purchase").select(
-        F.col("event_id").alias("purchase_id"), F.col("ts").alias("bought_at")
+        F.col("event_id").alias("purchase_id"), "user_id", F.col("ts").alias("bought_at")
     )
-    failed = events.where(F.col("event_type") == "error").select(F.col("ts").alias("failed_at"))
-    return quality.same_day_before(bought, failed, "bought_at", "failed_at")
+    failed = events.where(F.col("event_type") == "error").select(
+        F.col("event_id").alias("error_id"), F.col("user_id").alias("error_user"), F.col("ts").alias("failed_at")
+    )
+    pairs = quality.same_day_before(bought, failed, "bought_at", "failed_at", on=[("user_id", "error_user")])
+    return pairs.drop("error_user")
 
 
 @query

@@ -71,6 +71,30 @@ def test_pairs_equal_the_direct_join(spark, case, how):
         assert Counter(tuple(r) for r in got.collect()) == brute(left, right, before, after, how)
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("block_rows", [4096, 3])
+def test_keys_of_both_sides_have_to_be_equal(spark, how, block_rows):
+    """Ids serve as keys: a few of them, one on most rows, some null."""
+    before, after, step = CASES[1]
+    key = lambda n: None if n % 11 == 0 else (0 if n % 3 else n % 5)
+    left, right = ([(key(r[0]), *r[1:]) for r in rows] for rows in sample(9, 60, 50, 20, step))
+    got = interval_join(
+        spark.createDataFrame(left, L),
+        spark.createDataFrame(right, R),
+        "lts",
+        "rts",
+        before,
+        after,
+        how,
+        block_rows,
+        on=[("lid", "rid")],
+    )
+    want = Counter()
+    for row in left:
+        want += brute([row], [r for r in right if r[0] is not None and r[0] == row[0]], before, after, how)
+    assert Counter(tuple(r) for r in got.collect()) == want
+
+
 def test_bounds_are_inclusive_to_the_microsecond(spark):
     at = dt.datetime(2022, 5, 1, 12)
     day = dt.timedelta(days=1)
