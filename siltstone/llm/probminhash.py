@@ -5,14 +5,17 @@ grows with the logarithm of its count. Every shingle is a Poisson process whose
 weight; an arrival falls into a random register, and a register keeps the shingle that
 arrives first. A shingle stops as soon as its next arrival comes after all registers are
 taken earlier, so most shingles make one draw. Two sketches agree in a register with the
-probability Jaccard similarity of the documents.
+probability Jaccard similarity of the documents. A document with repeated shingles is sketched
+a second time with equal weights: then the probability is the Jaccard similarity of the sets,
+however often a passage is repeated in one of them.
 
-Bands of registers nominate pairs, which are verified by the exact Jaccard similarity of
-their shingle sets (at least `threshold`). Documents of one group are linked, not paired:
+Bands of registers of both sketches nominate pairs, which are verified by the exact Jaccard
+similarity of their shingle sets (at least `threshold`). Without repeated shingles the two
+sketches are one, and so are their keys. Documents of one group are linked, not paired:
 
 * equal texts are one class from the start and are sketched once;
 * in a band's bucket every member is compared with one member, its hub, a different one per
-  band. A member that this leaves outside its hub's component is then compared with that
+  bucket. A member that this leaves outside its hub's component is then compared with that
   whole component and with the others left outside it, in cells of bounded size that return
   a spanning set of links. No link between members of a bucket that would join two groups is
   left out; a group of near copies costs a multiple of its size, and its members that are
@@ -92,8 +95,28 @@ def sketch(text: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int, register
     return owner.reshape(n, registers)
 
 
+def band_keys(owner: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """n x bands: one key per band of `rows` registers."""
+    key = np.zeros((len(owner), bands), np.uint64)
+    for row in range(rows):
+        key = mix(key * np.uint64(31) + owner[:, row::rows] + np.uint64(row))
+    return mix(key + np.arange(bands, dtype=np.uint64))
+
+
+def set_sketch(text: np.ndarray, h: np.ndarray, count: np.ndarray, weighted: np.ndarray) -> np.ndarray:
+    """The sketches with equal weights; those of texts without repeats are the weighted ones."""
+    n, registers = weighted.shape
+    repeats = np.bincount(text[count > 1], minlength=n) > 0
+    again = repeats[text]
+    row = np.cumsum(repeats) - 1
+    owner = weighted.copy()
+    owner[repeats] = sketch(row[text[again]], h[again], np.ones(int(again.sum())), int(repeats.sum()), registers)
+    return owner
+
+
 def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int, bands: int, rows: int) -> DataFrame:
-    """(id, tid, n, keys): text identity, number of shingles, one key per band."""
+    """(id, tid, n, keys): text identity, number of shingles, one key per band, and a second
+    one where the bands of the two sketches differ."""
     schema = "id long, tid binary, n long, keys array<long>"
     registers = bands * rows
 
@@ -106,13 +129,12 @@ def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int, bands: int
                 text, h, count = shingles(part, o, shingle)
                 many = np.bincount(text, minlength=hi - lo)
                 owner = sketch(text, h, 1 + np.log2(count), hi - lo, registers)
-                key = np.zeros((hi - lo, bands), np.uint64)
-                for row in range(rows):
-                    key = mix(key * np.uint64(31) + owner[:, row::rows] + np.uint64(row))
-                key = mix(key + np.arange(bands, dtype=np.uint64))
-                keys = (many > 0) * bands
-                at = np.concatenate(([0], np.cumsum(keys))).astype(np.int32)
-                flat = pa.array(key[many > 0].reshape(-1).view(np.int64))
+                plain = set_sketch(text, h, count, owner)
+                key = np.hstack([band_keys(owner, bands, rows), band_keys(plain, bands, rows)])
+                used = np.repeat((many > 0)[:, None], 2 * bands, axis=1)
+                used[:, bands:] &= key[:, bands:] != key[:, :bands]
+                at = np.concatenate(([0], np.cumsum(used.sum(axis=1)))).astype(np.int32)
+                flat = pa.array(key[used].view(np.int64))
                 tid = [hashlib.md5(part[a:b].tobytes(), usedforsecurity=False).digest() for a, b in zip(o[:-1], o[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(tid, pa.binary()), pa.array(many.astype(np.int64)), pa.ListArray.from_arrays(pa.array(at), flat)],
@@ -220,9 +242,8 @@ def near_duplicates(
     all_rows = staged(sketches(df, id_col, text_col, shingle, bands, rows), "probminhash")
     classes = all_rows.groupBy("tid").agg(F.min("id").alias("rep"), F.count("*").alias("n_class"))
     # one row per text; the keys of equal texts are equal
-    band = all_rows.select("tid", F.posexplode("keys").alias("band", "key")).select("tid", "key", "band")
-    alone = band.groupBy("key", "tid").agg(F.first("band").alias("band"))
-    crowd = alone.groupBy("key").agg(F.count("*").alias("size"), F.min_by("tid", F.xxhash64("tid", "band")).alias("hub")).where("size > 1")
+    alone = all_rows.select("tid", F.explode("keys").alias("key")).select("key", "tid").distinct()
+    crowd = alone.groupBy("key").agg(F.count("*").alias("size"), F.min_by("tid", F.xxhash64("tid", "key")).alias("hub")).where("size > 1")
     bucket = staged(alone.join(crowd, "key").select("key", "tid", "hub"), "probminhash-buckets")
 
     # shingle sets of the texts that share a bucket

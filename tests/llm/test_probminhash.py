@@ -55,6 +55,21 @@ def test_groups_equal_brute_force(spark):
     assert sum(got[i] != w for i, w in enumerate(want)) <= 1  # banding is probabilistic
 
 
+def test_passages_repeated_in_one_copy_only(spark):
+    rng = np.random.default_rng(11)
+    texts = []
+    for times in [8, 64, 1000] * 20:
+        fresh = [f"r{x}" for x in rng.integers(0, 10**9, 104)]
+        rest, passage = fresh[:54], fresh[54:]
+        for n, more in ((1, 0), (times, 0), (times, 5)):  # set similarity 1.0, and about 0.95
+            texts.append(" ".join([*rest, *passage * n, *passage[:4], *(f"t{x}" for x in rng.integers(0, 10**9, more))]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in pm.near_duplicates(df).collect()}
+    want = brute_groups(texts)
+    assert [got[i] for i in range(len(texts))] == want
+    assert len(set(want)) == 60
+
+
 def test_sketch_estimates_weighted_similarity():
     h = np.arange(1, 301, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     weight = np.where(np.arange(300) < 50, 4.0, 1.0)
