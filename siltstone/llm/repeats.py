@@ -3,7 +3,9 @@
 Both look for windows of `length` units (words or bytes) whose content starts at more than
 one place. A window's anchor is the gram of `gram` units with the smallest hash in it (the
 leftmost of equals): it depends on the window's content alone, so equal windows have equal
-anchors at equal places. Consecutive windows with one anchor form a segment.
+anchors. Consecutive windows with one anchor form a segment. Where text repeats with a short
+period (a run of one byte) the anchor moves on with the windows but keeps its hash; such a run
+is one segment too, however long, and counts as one segment per window.
 
 1. *Profile*: one pass over the texts gives per text its identity, size, digest and segments.
 2. *Candidates*: an anchor that occurs once cannot be in a repeated window. Anchors are
@@ -46,6 +48,8 @@ from siltstone.llm.common import (
 
 # Segments of one anchor that a task takes together; windows of others travel as digests.
 HOT = 20_000
+# Windows of a run that travel as one string, and bytes of strings that travel together.
+RUN_WINDOWS, BODY_BYTES = 1 << 14, 1 << 18
 # Windows that one sorting step takes together.
 SORT_WINDOWS = 200_000
 
@@ -58,6 +62,11 @@ class Windows:
     length: int
     gram: int
 
+    @property
+    def most(self) -> int:
+        """Windows that can share an anchor at one place; a segment of more is a run."""
+        return self.length - self.gram + 1
+
 
 # -- anchors ----------------------------------------------------------------------------
 
@@ -86,6 +95,19 @@ def sliding_anchor(hashes: np.ndarray, width: int) -> np.ndarray:
 PIECE = 1 << 18
 
 
+def joined(text: np.ndarray, first: np.ndarray, count: np.ndarray, at: np.ndarray, anchor: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
+    """Neighbouring segments whose anchors have equal hashes, as one where they hold more than
+    `most` windows."""
+    new = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]))))
+    total = np.add.reduceat(count, new)
+    run = total > most
+    keep = ~np.repeat(run, np.diff(np.concatenate((new, [len(text)]))))
+    keep[new] = True
+    count = count.copy()
+    count[new[run]] = total[run]
+    return text[keep], first[keep], count[keep], at[keep], anchor[keep]
+
+
 def segments_of(values: np.ndarray, offsets: np.ndarray, w: Windows) -> tuple[np.ndarray, ...]:
     """Segments of a batch: text, first window, number of windows, anchor, anchor's hash.
 
@@ -108,7 +130,7 @@ def segments_of(values: np.ndarray, offsets: np.ndarray, w: Windows) -> tuple[np
         new = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (text[1:] != text[:-1]))))
         count = np.diff(np.concatenate((new, [len(start)])))
         base = offsets[text[new]]
-        found.append((text[new], start[new] - base, count, at[new] - base, anchor[new]))
+        found.append(joined(text[new], start[new] - base, count, at[new] - base, anchor[new], w.most))
     if not found:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
@@ -162,20 +184,21 @@ def profile(df: DataFrame, keep: list[str], text_col: str, w: Windows) -> DataFr
 # -- candidates and texts ---------------------------------------------------------------
 
 
-def candidates(rows: DataFrame) -> DataFrame:
-    """(tid, anchor, first, count, at, hot) of segments whose anchor occurs again."""
+def candidates(rows: DataFrame, w: Windows) -> DataFrame:
+    """(tid, anchor, first, count, hot) of segments whose anchor occurs again, also in a run."""
     each = rows.select("tid", F.explode("segments").alias("s")).select("tid", "s.*")
-    again = each.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    return each.join(again, "anchor").select("tid", "anchor", "first", "count", "at", (F.col("n") > HOT).alias("hot"))
+    places = F.when(F.col("count") > w.most, F.col("count")).otherwise(1)
+    again = each.groupBy("anchor").agg(F.sum(places).alias("n")).where("n > 1")
+    return each.join(again, "anchor").select("tid", "anchor", "first", "count", (F.col("n") > HOT).alias("hot"))
 
 
-def candidate_texts(df: DataFrame, id_col: str, text_col: str, rows: DataFrame) -> DataFrame:
+def candidate_texts(df: DataFrame, id_col: str, text_col: str, rows: DataFrame, w: Windows) -> DataFrame:
     """(tid, copies, text, segments) of the texts that have candidates.
 
     Of equal texts the row with the smallest id stands for all; rows that are equal in the
     id too all stay, which only makes their windows repeat, as they do.
     """
-    grouped = candidates(rows).groupBy("tid").agg(F.collect_set(F.struct("first", "count", "at", "anchor", "hot")).alias("segments"))
+    grouped = candidates(rows, w).groupBy("tid").agg(F.collect_set(F.struct("first", "count", "anchor", "hot")).alias("segments"))
     classes = rows.groupBy("tid").agg(F.count("*").alias("copies"), F.min(id_col).alias("rep"))
     text = F.coalesce(df[text_col], F.lit(""))
     texts = df.select(F.unhex(F.md5(text.cast("binary"))).alias("tid"), df[id_col].alias("id"), text.alias("text"))
@@ -184,36 +207,39 @@ def candidate_texts(df: DataFrame, id_col: str, text_col: str, rows: DataFrame)
 
 
 def packing_of(w: Windows, hot: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Batches (tid, text, segments) to (anchor, tid, first, lead, body): the units that a
-    segment's windows cover, as one string; lead is the anchor's place in it. Words are
-    joined by one space."""
+    """Batches (tid, text, segments) to (anchor, tid, first, body): the units that a segment's
+    windows cover, as one string, and a long run's in several. Words are joined by one space."""
+
+    def emitted(out: list[list]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["anchor", "tid", "first", "body"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tids = batch.column(0).to_pylist()
             raw, offsets = text_spans(batch.column(1))
-            lists = batch.column(2)
-            out: list[list] = [[], [], [], [], []]
+            stops = np.cumsum(batch.column(2).value_lengths().to_numpy(zero_copy_only=False))
+            flat = batch.column(2).flatten()
+            column = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("first", "count", "anchor", "hot")}
+            out: list[list] = [[], [], [], []]
+            size = 0
             for i, tid in enumerate(tids):
                 part = raw[offsets[i] : offsets[i + 1]].tobytes()
                 units = part.split() if w.unit == "word" else part
-                for s in lists[i].as_py():
-                    if s["hot"] != hot:
-                        continue
-                    body = units[s["first"] : s["first"] + s["count"] + w.length - 1]
-                    row = (s["anchor"], tid, s["first"], s["at"] - s["first"], b" ".join(body) if w.unit == "word" else body)
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(out[0], pa.int64()),
-                    pa.array(out[1], pa.binary()),
-                    pa.array(out[2], pa.int32()),
-                    pa.array(out[3], pa.int32()),
-                    pa.array(out[4], pa.binary()),
-                ],
-                names=["anchor", "tid", "first", "lead", "body"],
-            )
+                begin = stops[i - 1] if i else 0
+                for at in np.flatnonzero(column["hot"][begin : stops[i]] == hot) + begin:
+                    first, anchor = int(column["first"][at]), int(column["anchor"][at])
+                    end = first + int(column["count"][at])
+                    for lo in range(first, end, RUN_WINDOWS):
+                        body = units[lo : min(lo + RUN_WINDOWS, end) + w.length - 1]
+                        row = (anchor, tid, lo, b" ".join(body) if w.unit == "word" else body)
+                        for values, value in zip(out, row, strict=True):
+                            values.append(value)
+                        size += len(row[-1])
+                        if size >= BODY_BYTES:
+                            yield emitted(out)
+                            out, size = [[], [], [], []], 0
+            yield emitted(out)
 
     return run
 
@@ -224,7 +250,7 @@ def with_segments(texts: DataFrame, hot: bool) -> DataFrame:
 
 
 def packed_segments(texts: DataFrame, w: Windows) -> DataFrame:
-    schema = "anchor long, tid binary, first int, lead int, body binary"
+    schema = "anchor long, tid binary, first int, body binary"
     return with_segments(texts, False).mapInArrow(packing_of(w, False), schema)
 
 
@@ -239,13 +265,13 @@ def bucket_marks(packed: DataFrame, w: Windows, repeated: Counter) -> DataFrame:
     """Runs of windows [first, stop) that are repeated, found within each anchor's bucket.
 
     Equal strings of a bucket are taken once: two of them repeat all their windows. Only
-    buckets with different strings go through `repeated`.
+    buckets with different strings, or with a run, go through `repeated`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple] = []
         for batch in batches:
-            rows = list(zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True))
+            rows = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
             waiting += rows
             if len(waiting) >= 4096:
                 # the last bucket may go on in the next batch
@@ -264,22 +290,24 @@ def bucket_marks(packed: DataFrame, w: Windows, repeated: Counter) -> DataFrame:
 
 def marks_of(rows: list[tuple], w: Windows, repeated: Counter) -> Iterator[pa.RecordBatch]:
     members: dict[tuple, list[tuple]] = {}
-    for anchor, tid, first, lead, body in rows:
-        members.setdefault((anchor, lead, body), []).append((tid, first))
+    for anchor, tid, first, body in rows:
+        members.setdefault((anchor, body), []).append((tid, first))
     variants: dict[int, list[tuple]] = {}
     for key in members:
         variants.setdefault(key[0], []).append(key)
     out: list[tuple] = []
-    todo: list[tuple] = []  # (key, members) of buckets with several strings
+    todo: list[tuple] = []  # (key, members) of buckets with several strings or a run
     size = 0
     for keys in variants.values():
         if len(keys) == 1:
+            n = windows_in(keys[0][1], w)
             if len(members[keys[0]]) > 1:
-                n = windows_in(keys[0][2], w)
                 out += [(tid, first, first + n) for tid, first in members[keys[0]]]
-            continue
+                continue
+            if n <= w.most:
+                continue
         todo += [(k, members[k]) for k in keys]
-        size += sum(len(k[2]) for k in keys)
+        size += sum(len(k[1]) for k in keys)
         if size > SORT_WINDOWS:
             out += sorted_marks(todo, w, repeated)
             todo, size = [], 0
@@ -297,25 +325,23 @@ def windows_in(body: bytes, w: Windows) -> int:
 
 
 def sorted_marks(todo: list[tuple], w: Windows, repeated: Counter) -> list[tuple]:
-    """Marks of strings that share buckets: windows at the same place relative to the anchor
-    start in one group, and `repeated` tells which are still grouped over their length."""
+    """Marks of strings that share buckets: windows of one bucket start in one group, and
+    `repeated` tells which are still grouped over their length."""
     if w.unit == "word":
-        lists = [k[2].split(b" ") for k, _ in todo]
+        lists = [k[1].split(b" ") for k, _ in todo]
         flat = [x for words in lists for x in words]
         numbers: dict[bytes, int] = {}
         values = np.array([numbers.setdefault(x, len(numbers)) for x in flat], np.uint64)
         lengths = np.array([len(x) for x in lists])
     else:
-        values = np.frombuffer(b"".join(k[2] for k, _ in todo), np.uint8)
-        lengths = np.array([len(k[2]) for k, _ in todo])
+        values = np.frombuffer(b"".join(k[1] for k, _ in todo), np.uint8)
+        lengths = np.array([len(k[1]) for k, _ in todo])
     begin = np.cumsum(lengths) - lengths
     count = lengths - w.length + 1
     string = np.repeat(np.arange(len(todo)), count)
     inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     bucket = np.unique(np.array([k[0] for k, _ in todo], np.int64), return_inverse=True)[1]
-    place = np.array([k[1] for k, _ in todo])[string] - inside
-    group = bucket[string] * w.length + place
-    hit = repeated(values, begin[string] + inside, group)
+    hit = repeated(values, begin[string] + inside, bucket[string])
     # a string held by several rows repeats all its windows
     hit |= (np.array([len(m) for _, m in todo]) > 1)[string]
     edge = np.flatnonzero(hit)
@@ -342,7 +368,7 @@ def digest_marks(texts: DataFrame, w: Windows) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pack(batches):
             out: list[list] = [[], [], [], []]
-            for _, tid, first, _, body in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for _, tid, first, body in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if w.unit == "word":
                     raw = np.frombuffer(body, np.uint8)
                     starts, stops, _ = words_by_text(raw, np.array([0, len(raw)]))
@@ -367,7 +393,26 @@ def digest_marks(texts: DataFrame, w: Windows) -> DataFrame:
 
     each = with_segments(texts, True).mapInArrow(run, "a long, b long, tid binary, first int")
     again = each.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    return each.join(again, ["a", "b"]).select("tid", "first", (F.col("first") + 1).alias("stop"))
+    # 64 neighbouring windows are one number, so a text's marks do not grow with its windows
+    bit = F.expr("shiftleft(1L, first % 64)")
+    blocks = each.join(again, ["a", "b"]).groupBy("tid", F.expr("first div 64").alias("block")).agg(F.bit_or(bit).alias("bits"))
+    return blocks.mapInArrow(block_runs, MARKS)
+
+
+def block_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(tid, block, bits) to the runs of set bits."""
+    for batch in batches:
+        bits = batch.column(2).to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8)
+        edge = np.zeros((len(bits), 66), np.int8)
+        edge[:, 1:-1] = np.unpackbits(bits, axis=1, bitorder="little")
+        turn = np.diff(edge, axis=1)
+        row, first = np.nonzero(turn == 1)
+        stop = np.nonzero(turn == -1)[1]
+        base = batch.column(1).to_numpy()[row] * 64
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(row)), pa.array((base + first).astype(np.int32)), pa.array((base + stop).astype(np.int32))],
+            names=["tid", "first", "stop"],
+        )
 
 
 # -- results ----------------------------------------------------------------------------
@@ -431,7 +476,7 @@ def remove_repeats(df: DataFrame, keep: list[str], text_col: str, w: Windows, re
     removed, and then the row's text is whole. n_spans counts maximal removed runs.
     """
     rows = staged(profile(df, keep, text_col, w), f"{label}-profile")
-    texts = staged(candidate_texts(df, keep[0], text_col, rows), f"{label}-texts")
+    texts = staged(candidate_texts(df, keep[0], text_col, rows, w), f"{label}-texts")
     marks = bucket_marks(packed_segments(texts, w), w, repeated).unionByName(digest_marks(texts, w))
     alone = texts.where("copies = 1").select("tid", "text")
     spanned = alone.join(spans_of(marks, w), "tid").select("tid", "text", "spans")

@@ -3,8 +3,8 @@
 All suffixes that begin a window of `length` bytes are ordered through that depth only, by
 passes from the most significant digit: a suffix in a group of its own is done, and the
 groups left after the last pass are exactly the repeated windows. A digit is a run of
-`DIGIT` bytes, numbered beforehand by doubling. The first digit is the window's anchor and
-its place (see `repeats`), which also deals suffixes to tasks. Every byte covered by a
+`DIGIT` bytes, numbered beforehand by doubling. The first digit is the window's anchor
+(see `repeats`), which also deals suffixes to tasks. Every byte covered by a
 repeated window is removed.
 
 Null is an empty text; texts shorter than a window stay whole. Rows with equal text (also

@@ -2,8 +2,8 @@
 
 A window is `length` consecutive words of one text. Consecutive windows that share a
 minimiser (the run of `gram` words with the smallest hash) are one super-k-mer and travel as
-one packed string to the minimiser's bucket; there a sort of the windows, first by their
-place relative to the minimiser, then by their words, puts equal ones side by side, so that
+one packed string to the minimiser's bucket; there a sort of the windows by their
+words puts equal ones side by side, so that
 they are counted exactly. Every word covered by a window that starts at more than one place,
 in any text or twice in one, is removed.
 

@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from siltstone.llm import repeats, suffix_radix, superkmer
@@ -59,6 +60,37 @@ def test_odd_rows_and_no_rows(spark):
         assert run(no_rows(spark)).count() == 0
 
 
+def run_texts():
+    words = " ".join(f"w{i}" for i in range(40))
+    return ["a" * 7000, f"x{words}{'a' * 300}", "abc " * 900 + words, f"{'ab ' * 400}y {words} {'ab ' * 400}", "z" * 61, "q" * 60, "0" * 159 + "1"]
+
+
+@pytest.mark.parametrize("hot", [20_000, 3])
+def test_runs_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    texts = run_texts()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for unit, length, gram, run in (
+        ("word", 10, 4, superkmer.remove_repeated_windows),
+        ("byte", 60, 12, suffix_radix.remove_repeated_bytes),
+    ):
+        got = {r["doc_id"]: (r["n_units"], r["n_removed"], r["n_spans"], r["sha"]) for r in run(df, length=length, gram=gram).collect()}
+        assert got == dict(enumerate(brute(texts, unit, length)))
+
+
+def test_a_run_is_few_segments_and_travels_in_steps():
+    size = 3_000_000
+    w = repeats.Windows("byte", 200, 40)
+    text, first, count, _, anchor = repeats.segments_of(np.full(size, 32, np.uint8), np.array([0, size]), w)
+    assert len(text) <= 12 and count.sum() == size - 199
+    segments = [{"first": f, "count": c, "anchor": a, "hot": True} for f, c, a in zip(first.tolist(), count.tolist(), anchor.view(np.int64).tolist(), strict=True)]
+    kind = pa.list_(pa.struct([("first", pa.int32()), ("count", pa.int32()), ("anchor", pa.int64()), ("hot", pa.bool_())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([b"t"]), pa.array([" " * size]), pa.array([segments], kind)], names=["tid", "text", "segments"])
+    parts = list(repeats.packing_of(w, True)([batch]))
+    assert max(p.nbytes for p in parts) < 400_000
+    assert sum(len(b.as_py()) - 199 for p in parts for b in p.column(3)) == size - 199
+
+
 def test_anchor_depends_on_the_window_alone():
     rng = np.random.default_rng(0)
     hashes = rng.integers(0, 2**63, 500).astype(np.uint64)
