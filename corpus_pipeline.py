@@ -44,7 +44,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     groups = probminhash.near_duplicates(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("tid") == F.col("kept_tid")))
     # equal texts have one identity, so the first id with its text names the row to keep
     first = first.select(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid")).distinct()
     rows = docs.withColumn("_text_id", text_id())

@@ -237,8 +237,9 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """Per row: the id, tid (text identity), component_id (the smallest id of its group) and
-    n_class (rows with an equal text)."""
+    """Per row: the id, tid (text identity), component_id (the smallest id of its group),
+    kept_tid (the text of its group with that id, the smallest of several; ids may be null or
+    repeated, texts of a group are not) and n_class (rows with an equal text)."""
     all_rows = staged(sketches(df, id_col, text_col, shingle, bands, rows), "probminhash")
     classes = all_rows.groupBy("tid").agg(F.min("id").alias("rep"), F.count("*").alias("n_class"))
     # one row per text; the keys of equal texts are equal
@@ -275,11 +276,14 @@ def near_duplicates(
     links = first.select("a", "b").unionByName(more)
     groups = connected_components(links, "probminhash-second")
 
-    smallest = groups.join(classes, groups["node"] == classes["tid"]).groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_text = groups.join(smallest, "component").select(F.col("node").alias("tid"), "component_id")
+    least = F.min(F.struct(F.col("rep").isNull().alias("no_id"), "rep", "tid"))  # a null id comes last
+    smallest = groups.join(classes, groups["node"] == classes["tid"]).groupBy("component").agg(least.alias("least"))
+    of_text = groups.join(smallest, "component").select(
+        F.col("node").alias("tid"), F.col("least.rep").alias("component_id"), F.col("least.tid").alias("kept_tid")
+    )
     return (
         all_rows.select("id", "tid")
         .join(classes, "tid")
         .join(of_text, "tid", "left")
-        .select(F.col("id").alias(id_col), "tid", F.coalesce("component_id", "rep").alias("component_id"), "n_class")
+        .select(F.col("id").alias(id_col), "tid", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("kept_tid", "tid").alias("kept_tid"), "n_class")
     )

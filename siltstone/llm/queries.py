@@ -106,7 +106,8 @@ def op4_mixing(spark, sf):
 @query
 def op5_probminhash(spark, sf):
     out = probminhash.near_duplicates(read(spark, sf, "documents"))
-    return out.select("doc_id", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"), "n_class")
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("tid") == F.col("kept_tid"))
+    return out.select("doc_id", "component_id", kept.alias("kept"), "n_class")
 
 
 @query

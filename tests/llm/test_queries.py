@@ -74,3 +74,12 @@ def test_stages_handle_odd_and_no_rows(spark):
         (False, i) for i in (1, 3, 4, 6, 7)
     ]
     assert len(ODD) == 9
+
+
+def test_one_text_of_a_group_stays_whatever_its_ids(spark):
+    words = [f"w{i}" for i in range(100)]
+    versions = [" ".join([*words, *(f"v{k}" for _ in range(k))]) for k in range(3)]
+    rows = [(5, v) for v in versions] + [(None, "n " + v.replace("w", "m")) for v in versions]
+    rows += [(7, "x " + versions[0].replace("w", "k")), (None, versions[0].replace("w", "k"))]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    assert sorted((r["doc_id"] or 0, r["text"][0]) for r in out) == [(0, "n"), (5, "w"), (7, "x")]
