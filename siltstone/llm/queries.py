@@ -14,6 +14,7 @@ from siltstone.llm import (
     packing,
     probminhash,
     product_quantised,
+    ptolemaic_clusters,
     quality_cnn,
     sharding,
     suffix_radix,
@@ -137,6 +138,12 @@ def op10_multi_index(spark, sf):
     return out.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+@query
+def op13_ptolemaic(spark, sf):
+    out, _ = ptolemaic_clusters.cluster_vectors(read(spark, sf, "embeddings"), "vec_id", "embedding")
+    return out.withColumnRenamed("id", "vec_id")
+
+
 # Words by RE2 as by Java; sources by code point as bytes of UTF-8; levels by the order in
 # which sources fill up; documents in the order of the seeded digest.
 _SQL["op4_mixing"] = """
@@ -168,3 +175,46 @@ SELECT doc_id, size, source_size::BIGINT AS source_size, target,
             ELSE 0 END::BIGINT AS taken
 FROM p
 """
+
+
+def _clusters_sql(k: int, rounds: int, length: int, scale: int, seed: int) -> str:
+    """Whole numbers throughout; a round is one step that assigns and one that moves centroids."""
+    parts = [
+        f"""
+v AS (
+  SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = {length} AND len(list_filter(embedding, lambda x: isfinite(x))) = {length}
+), x AS (
+  SELECT row_id, unnest(range({length})) AS i, unnest(v) AS x FROM v
+), c0 AS (
+  SELECT cluster, unnest(range({length})) AS i, unnest(v) AS c FROM (
+    SELECT v, row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS cluster FROM v
+    QUALIFY cluster < {k})
+)"""
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""a{r} AS (
+  SELECT row_id, cluster, distance FROM (
+    SELECT row_id, cluster, sum((x - c) * (x - c)) AS distance FROM x JOIN c{r} USING (i) GROUP BY row_id, cluster)
+  QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY distance, cluster) = 1
+), m{r} AS (
+  SELECT cluster, i, sum(x) AS total, count(*) AS n FROM a{r} JOIN x USING (row_id) GROUP BY cluster, i
+), c{r + 1} AS (
+  SELECT cluster, i, CASE WHEN n IS NULL THEN c
+    ELSE (total - ((total % n) + n) % n) // n END::BIGINT AS c
+  FROM c{r} LEFT JOIN m{r} USING (cluster, i)
+)"""
+        )
+    return f"""
+WITH {", ".join(parts)}, s AS (
+  SELECT cluster, sha256(string_agg(c::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster
+)
+SELECT vec_id, cluster::INT AS cluster, distance::BIGINT AS distance,
+       (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN v USING (row_id) JOIN s USING (cluster)
+"""
+
+
+_SQL["op13_ptolemaic"] = _clusters_sql(k=40, rounds=5, length=64, scale=256, seed=2)
