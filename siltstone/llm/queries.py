@@ -12,6 +12,7 @@ from siltstone.llm import (
     mixing,
     multi_index,
     packing,
+    pii_spans,
     probminhash,
     product_quantised,
     ptolemaic_clusters,
@@ -138,6 +139,23 @@ def op10_multi_index(spark, sf):
     return out.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+@query
+def op12_pii(spark, sf):
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    found = pii_spans.personal_data(docs, "text").select("doc_id", "pii")
+
+    def count(kind):
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in ("email", "ip", "card", "phone")),
+        F.sha2(pii_spans.listed(F.filter("pii", pii_spans.is_base)).cast("binary"), 256).alias("base_sha256"),
+        pii_spans.listed(F.col("pii")).alias("spans"),
+        F.array_join(F.transform("pii", lambda s: s["score"].cast("string")), ",").alias("scores"),
+    )
+
+
 @query
 def op13_ptolemaic(spark, sf):
     out, _ = ptolemaic_clusters.cluster_vectors(read(spark, sf, "embeddings"), "vec_id", "embedding")
@@ -218,3 +236,95 @@ FROM a{rounds} JOIN v USING (row_id) JOIN s USING (cluster)
 
 
 _SQL["op13_ptolemaic"] = _clusters_sql(k=40, rounds=5, length=64, scale=256, seed=2)
+
+
+# The same patterns without the guards against slow matching, which RE2 neither has nor needs.
+_PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+_PII = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "mail|email|contact|write|correo|courriel|kontakt", 60, 30, "true"),
+    (
+        "ip",
+        r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "ip|host|server|address|login|serveur|adresse",
+        60,
+        30,
+        "len(list_filter(string_split(m, '.'), lambda x: len(ltrim(x, '0')) > 3 OR ('0' || ltrim(x, '0'))[-4:]::INT > 255)) = 0",
+    ),
+    (
+        "card",
+        r"[0-9]([\x20-]?[0-9])+",
+        "card|visa|mastercard|credit|debit|payment|carte|karte|tarjeta",
+        80,
+        20,
+        "len(d) BETWEEN 14 AND 19 AND list_sum(list_transform(range(len(d)), lambda i: "
+        "CASE WHEN i % 2 = 0 THEN d[len(d) - i]::INT ELSE 2 * d[len(d) - i]::INT - CASE WHEN d[len(d) - i]::INT > 4 THEN 9 ELSE 0 END END)) % 10 = 0",
+    ),
+    ("phone", _PHONE, "tel|phone|call|fax|mobile|telefon|telefono", 60, 30, "len(d) BETWEEN 10 AND 15"),
+    (
+        "iban",
+        r"[A-Z]{2}[0-9]{2}((\x20[A-Z0-9]{4}){2,7}(\x20[A-Z0-9]{1,3})?|[A-Z0-9]{11,30})",
+        "iban|account|bank|konto|compte|cuenta|transfer",
+        80,
+        20,
+        "NOT regexp_matches(b, '[A-Za-z0-9]$') AND NOT regexp_matches(a, '^[A-Za-z0-9]') AND list_reduce("
+        "list_transform(string_split(replace(m, ' ', '')[5:] || m[1:4], ''), lambda x: CASE WHEN ascii(x) < 65 THEN ascii(x) - 48 ELSE 1000 + ascii(x) - 55 END), "
+        "lambda l, x: CASE WHEN x < 10 THEN (l * 10 + x) % 97 ELSE (l * 100 + x - 1000) % 97 END, 0) = 1",
+    ),
+    *(
+        (
+            kind,
+            pattern,
+            words,
+            30,
+            40,
+            "m[1] <> '+' AND NOT regexp_matches(b, '[A-Za-z0-9.+-]$|[0-9][\\x20]$') "
+            "AND NOT regexp_matches(a, '^[A-Za-z0-9]|^[\\x20.-][0-9]')",
+        )
+        for kind, pattern, words in (
+            (
+                "tel",
+                _PHONE + r"|[0-9]{2,4}[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}",
+                "tel|phone|call|fax|mobile|telefon|telefono",
+            ),
+            ("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "ssn|social|security|taxpayer"),
+        )
+    ),
+)
+
+
+def _pii_sql() -> str:
+    kinds = []
+    for rank, (kind, pattern, words, score, context, valid) in enumerate(_PII):
+        near = f"(?i)(?:^|[^a-z])(?:{words})(?:[^a-z]|$)"
+        kinds.append(
+            f"""
+  SELECT row_id, start, {rank} AS rank, '{kind}' AS kind, start + len(m) AS stop,
+         {score} + CASE WHEN regexp_matches(b, '{near}') OR regexp_matches(a, '{near}') THEN {context} ELSE 0 END AS score
+  FROM (
+    SELECT row_id, m[i] AS m, regexp_replace(m[i], '[^0-9]', '', 'g') AS d,
+           right(coalesce(m[i - 1], '') || g[i], 48) AS b, left(g[i + 1] || coalesce(m[i + 1], ''), 48) AS a,
+           (sum(len(g[i]) + len(m[i])) OVER (PARTITION BY row_id ORDER BY i) - len(m[i]))::BIGINT AS start
+    FROM (SELECT row_id, m, g, unnest(range(1, len(m) + 1)) AS i FROM (
+      SELECT row_id, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS g FROM t))
+  ) WHERE {valid}"""
+        )
+    return f"""
+WITH t AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS t FROM documents
+), s AS ({" UNION ALL ".join(kinds)}
+), k AS (
+  SELECT row_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+         count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < 4) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans,
+         string_agg(score::VARCHAR, ',' ORDER BY start, rank) AS scores
+  FROM s WHERE rank < 4 OR score >= 60 GROUP BY row_id
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(scores, '') AS scores
+FROM t LEFT JOIN k USING (row_id)
+"""
+
+
+_SQL["op12_pii"] = _pii_sql()

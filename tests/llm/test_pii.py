@@ -1,0 +1,138 @@
+import hashlib
+import random
+import re
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from siltstone.llm import pii_spans, queries
+from tests.llm.helpers import no_rows, odd_rows
+from tests.conftest import plan_of
+
+PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": PHONE,
+}
+
+
+def luhn(digits):
+    doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+
+def holds(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in match.split("."))
+    if kind == "card":
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    return kind == "email" or 10 <= len(digits) <= 15
+
+
+def plain(text):
+    """Base spans of one text, by start and kind."""
+    found = []
+    for rank, (kind, pattern) in enumerate(PATTERNS.items()):
+        found += [(m.start(), rank, kind, m.end()) for m in re.finditer(pattern, text or "") if holds(kind, m.group())]
+    return [f"{kind}:{start}:{stop}" for start, _, kind, stop in sorted(found)]
+
+
+def spans(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string")
+    rows = pii_spans.personal_data(df, "text").orderBy("i").collect()
+    return [[(s["kind"], s["start"], s["stop"], s["score"]) for s in r["pii"]] for r in rows]
+
+
+def random_text(rng):
+    pieces = ["a@b.co", "x.y%z@mail5.example.com", "@", ".", "é", "𝔘", " ", "-", "+", "4", "4111 1111 1111 1111", "255.1.0.9",
+              "256.1.2.3", "1.2.3.4.5.6.7.8", "+1 (743) 555-3824", "+49-", "0000000", "(", ")", "call ", "4990-0000-0000-0000-06", "b.c.@d.e"]
+    return "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+
+
+def test_base_spans_by_brute_force(spark):
+    rng = random.Random(12)
+    texts = [random_text(rng) for _ in range(3000)] + [None, "", " "]
+    base = {"email", "ip", "card", "phone"}
+    for text, found in zip(texts, spans(spark, texts), strict=True):
+        assert [f"{k}:{a}:{b}" for k, a, b, _ in found if k in base] == plain(text), text
+
+
+def test_checksums_and_words_decide_on_further_kinds(spark):
+    got = spans(
+        spark,
+        [
+            "send it to DE89370400440532013000 today",
+            "DE89 3704 0044 0532 0130 00",
+            "DE88370400440532013000 and XDE89370400440532013000",
+            "my phone: 020 7946 0958",
+            "parts 020 7946 0958 and 1020 7946 09581",
+            "SSN 078-05-1120, lot 078-05-1121 " + "of the many things in a store " * 3,
+            "tel +1 743 555 3824 only",
+        ],
+    )
+    assert got == [
+        [("iban", 11, 33, 80)],
+        [("iban", 0, 27, 80)],
+        [],
+        [("tel", 10, 23, 70)],
+        [],
+        [("ssn", 4, 15, 70)],  # words count as far as the next match of the kind
+        [("phone", 4, 19, 90)],
+    ]
+
+
+def test_words_adjust_the_score(spark):
+    far = "card " + "x" * 60
+    got = spans(spark, ["visa 4111111111111111", "4111111111111111", f"{far} 4111111111111111", "discard 4111111111111111"])
+    assert [s[0][3] for s in got] == [100, 80, 80, 80]
+
+
+def test_very_long_texts_and_many_spans(spark):
+    runs = ["a" * 2_000_000, "1" * 2_000_000, "a." * 500_000, "1.2" * 50_000, "+1" + "(" * 1_000_000, "A1" * 1_000_000]
+    runs += ["x@" + "y." * 300_000 + "z", "DE" * 1_000_000, " " * 2_000_000, "1-" * 500_000]
+    got = spans(spark, runs)
+    assert [len(s) for s in got] == [0, 0, 0, 12_500, 0, 0, 1, 0, 0, 0]
+    many = "é a@b.co, 10.0.0.1 " * 5_000
+    (found,) = spans(spark, [many])
+    assert [f"{k}:{a}:{b}" for k, a, b, _ in found] == plain(many)
+
+
+def test_sums_before(spark):
+    for n in (0, 1, 63, 64, 65, 200):
+        row = spark.range(1).select(pii_spans.sums_before(F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long")) if n else F.array().cast("array<long>")))
+        assert row.first()[0] == [i * (i + 1) // 2 for i in range(n)]
+
+
+def test_the_plan_is_one_pass_without_python(spark):
+    plan = plan_of(queries.queries()["op12_pii"](spark, "/root/testdata/sf0.001"))
+    assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+    # the spans are computed once, not once per column that is read from them
+    assert plan.count("regexp_extract_all") == len(pii_spans.KINDS)
+
+
+def test_odd_and_no_rows(spark):
+    out = pii_spans.personal_data(odd_rows(spark), "text")
+    assert out.columns == [*odd_rows(spark).columns, "pii"]
+    assert all(r["pii"] == [] for r in out.collect()) and out.count() == 9
+    assert pii_spans.personal_data(no_rows(spark), "text").count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_sql_and_spark_agree_on_random_texts(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    extra = ["DE89370400440532013000", " bank ", "078-05-1120", " ssn ", "020 7946 0958", " phone "]
+    texts = [random_text(rng) + rng.choice(extra) + random_text(rng) + rng.choice(extra) for _ in range(1500)] + [None]
+    rows = [(i % 700, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.queries()["op12_pii"](spark, str(tmp_path)).toPandas()
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(queries.oracle_sql()["op12_pii"]).df()[list(got.columns)]
+    assert sorted(map(tuple, got.itertuples(index=False))) == sorted(map(tuple, want.itertuples(index=False)))
+    assert got["spans"].str.contains("iban").sum() > 50 and got["spans"].str.contains("ssn").sum() > 5
+    some = got[got["spans"] == ""].iloc[0]
+    assert some["base_sha256"] == hashlib.sha256(b"").hexdigest()
