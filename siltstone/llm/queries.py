@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import (
+    conversation_repair,
     language_ecoc,
     mixing,
     multi_index,
@@ -139,6 +140,12 @@ def op10_multi_index(spark, sf):
     return out.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+@query
+def op11_hirschberg(spark, sf):
+    rows = conversation_repair.damaged(read(spark, sf, "conversations"), "conv_id", "turn", "role", "text")
+    return conversation_repair.repair(rows).withColumnRenamed("conv", "conv_id")
+
+
 @query
 def op12_pii(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text")

@@ -1,0 +1,172 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from siltstone.llm import conversation_repair as cr
+from siltstone.llm import queries
+
+SPACES = " \t\n\x0b\x0c\r"
+STATE_AFTER = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+NAME = {"u": "user", "a": "assistant"}
+
+
+def faults(rows):
+    seen, out = set(), []
+    for _, role, text in rows:
+        if not text.strip(SPACES):
+            out.append("blank")
+        elif (role, text) in seen:
+            out.append("duplicate")
+        else:
+            out.append("" if text.rstrip(SPACES)[-1] in ".!?" else "truncated")
+        seen.add((role, text))
+    return out
+
+
+def cheapest(rows, found):
+    """Every state's cheapest edits with their initials and lines written out."""
+    best = {0: (0, "", ())}
+
+    def inserted(table):
+        out = dict(table)
+        for _ in range(3):
+            for state, (cost, audit, lines) in list(out.items()):
+                for (before, role), after in STATE_AFTER.items():
+                    if before == state and role in NAME:
+                        new = (cost + 3, audit + "I", (*lines, f"{NAME[role]}:"))
+                        out[after] = min(out.get(after, new), new)
+        return out
+
+    for (_, role, text), fault in zip(rows, found, strict=True):
+        new = {}
+        for state, (cost, audit, lines) in inserted(best).items():
+            options = [(state, 4, "D", ())]
+            if fault not in ("blank", "duplicate"):
+                late = 3 * (fault == "truncated")
+                if (state, role[:1]) in STATE_AFTER:
+                    options.append((STATE_AFTER[state, role[:1]], late, "K", (f"{role}:{text}",)))
+                options += [
+                    (STATE_AFTER[state, r], 3 + late, "R", (f"{NAME[r]}:{text}",)) for r in NAME if (state, r) in STATE_AFTER
+                ]
+            for after, more, letter, line in options:
+                here = (cost + more, audit + letter, lines + line)
+                new[after] = min(new.get(after, here), here)
+        best = new
+    return min(v for s, v in inserted(best).items() if s in (0, 3))
+
+
+def plain(rows):
+    """The contract's columns of one conversation's rows after damage."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.md5(r[2].encode()).digest()))
+    empty = hashlib.sha256(b"").hexdigest()
+    if not rows:
+        return (0, 0, 0, 0, 0, 0, "", empty)
+    known = [t for t, _, _ in rows if t is not None]
+    gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+    found = faults(rows)
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:], strict=False))
+    cost, audit, lines = cheapest(rows, found)
+    digest = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    return (gaps, *(found.count(k) for k in ("blank", "duplicate", "truncated")), illegal, cost, audit, digest)
+
+
+def hurt(rows):
+    """Rows (conv, turn, role, text) by conversation, after damage."""
+    out = {}
+    for conv, turn, role, text in rows:
+        kept = out.setdefault(conv, [])
+        role, text = " " if role is None else role, " " if text is None else text
+        fault = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if fault == 1:
+            text = ""
+        elif fault == 2:
+            text = text.translate(dict.fromkeys(map(ord, ".!?")))
+        if fault:
+            kept += [(turn, "user" if fault == 4 else role, text)] * (1 + (fault == 3))
+    return out
+
+
+def random_rows(rng, conv, n):
+    roles = ["system", "user", "assistant", "user", "assistant", "tool", "", "unknown", None]
+    texts = ["Yes.", "No", "Why?", "", " \t", "a\nb.", "x! ", None] + [f"text {i}" + rng.choice([".", ""]) for i in range(20)]
+    return [(conv, rng.choice([i, i, i, i + 3, None]), rng.choice(roles), rng.choice(texts)) for i in range(n)]
+
+
+@pytest.fixture
+def many_pieces(spark):
+    """Small tables stay in several tasks, so conversations lie in several pieces."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def result(spark, rows, extra=()):
+    df = spark.createDataFrame([(*r, *("clash" for _ in extra)) for r in rows], ", ".join(["conv_id long, turn long, role string, text string", *(f"{c} string" for c in extra)]))
+    out = cr.repair(cr.damaged(df.repartition(3), "conv_id", "turn", "role", "text"))
+    got = {}
+    for r in out.collect():
+        assert r["conv"] not in got
+        got[r["conv"]] = tuple(r)[1:]
+    return got
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_conversations_by_brute_force(many_pieces, seed):
+    rng = random.Random(seed)
+    rows = [r for conv in range(250) for r in random_rows(rng, conv, rng.randint(1, 12))]
+    rows += random_rows(rng, None, 40)
+    got = result(many_pieces, rows, ("conv", "n", "kind", "digest", "seq", "part", "fault"))
+    want = {conv: plain(kept) for conv, kept in hurt(rows).items()}
+    assert got == want
+
+
+def test_a_conversation_in_many_pieces(many_pieces):
+    rng = random.Random(7)
+    rows = random_rows(rng, 1, 600) + random_rows(rng, 2, 3)
+    got = result(many_pieces, rows)
+    assert got == {conv: plain(kept) for conv, kept in hurt(rows).items()}
+
+
+def test_many_copies_and_rows_without_turn(many_pieces):
+    rows = [(5, 8, "user", "Same.")] * 3000 + [(5, None, "assistant", f"no turn {i % 40}.") for i in range(400)]
+    got = result(many_pieces, rows + [(6, 1, "user", "Hello.")])
+    assert got == {conv: plain(kept) for conv, kept in hurt(rows + [(6, 1, "user", "Hello.")]).items()}
+    assert got[5][6].count("D") > 3000
+
+
+def test_long_texts_dropped_and_no_rows(spark):
+    dropped = [c for c in range(400) if zlib.crc32(f"{c}:0".encode()) % 20 == 0]
+    rows = [(c, 0, "user", "Gone.") for c in dropped] + [(1000, 2, "user", "long " * 400_000), (1000, 3, "assistant", " " * 300_000 + "!")]
+    got = result(spark, rows)
+    assert got == {conv: plain(kept) for conv, kept in hurt(rows).items()}
+    assert got[dropped[0]] == (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    assert result(spark, []) == {}
+
+
+def test_halves_agree_with_the_table_of_all_states():
+    rng = random.Random(1)
+    for _ in range(400):
+        steps = [(rng.randint(0, 8), 1) for _ in range(rng.randint(1, 9))]
+        start = rng.randint(0, 3)
+        best = {start: (0, "")}
+        for code, _ in steps:
+            new = {}
+            for before, (cost, text) in best.items():
+                for after, (more, letters) in cr.TABLES[code][before].items():
+                    here = (cost + more, text + letters)
+                    new[after] = min(new.get(after, here), here)
+            best = new
+        total, (costs, order) = cr.crossed(steps, start)
+        assert list(order) == sorted(best, key=lambda s: best[s][1])
+        for end, (cost, text) in best.items():
+            assert total + costs[end] == cost
+            assert "".join(cr.solve(steps, start, end)) == text
+
+
+def test_query_of_the_test_conversations(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    got = {r["conv_id"]: tuple(r)[1:] for r in queries.queries()["op11_hirschberg"](spark, sf).collect()}
+    assert got == {conv: plain(kept) for conv, kept in hurt(rows).items()}
