@@ -335,3 +335,80 @@ FROM t LEFT JOIN k USING (row_id)
 
 
 _SQL["op12_pii"] = _pii_sql()
+
+
+def _repair_sql() -> str:
+    """Every state's cheapest edits turn by turn, with their initials and lines written out."""
+    due = {0: 2, 1: 2, 2: 3, 3: 2}
+    name = {2: "user", 3: "assistant"}
+    inserts = []
+    for state in range(4):
+        now, lines = state, ""
+        for n in range(3):
+            inserts.append(f"({state}, {now}, {3 * n}, '{'I' * n}', '{lines}')")
+            now, lines = due[now], f"{lines}{name[due[now]]}:" + "\\n"
+    inserts = ", ".join(inserts).replace("\\n", "' || chr(10) || '")
+    crc = (
+        "xor(4294967295::UBIGINT, list_reduce(list_transform(string_split({s}, ''), lambda x: ascii(x)::UBIGINT), "
+        "lambda c, b: list_reduce([0::UBIGINT, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, (v & 1) * 3988292384::UBIGINT), xor(c, b)), "
+        "4294967295::UBIGINT))"
+    ).format(s="coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")
+    spaces = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE f AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} % 20 AS fault,
+         row_number() OVER () AS row_id FROM conversations
+), h AS (
+  SELECT conv_id, turn, row_id, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN fault = 0 THEN 0 WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM f
+), o AS (
+  SELECT *, rtrim(text, {spaces}) AS cut, row_number() OVER w AS place,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, row_id, copy) AS seen,
+         left(lag(role) OVER w, 1) || left(role, 1) AS pair, lag(role) OVER w IS NOT NULL AS follows
+  FROM h WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(role), md5(text), row_id, copy)
+), r AS (
+  SELECT *, CASE WHEN cut = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+    WHEN right(cut, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM o
+), c AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (follows AND pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM r GROUP BY conv_id
+), i(before, state, cost, audit, lines) AS (VALUES {inserts}
+), s AS (
+  SELECT conv_id, 0 AS place, 0 AS state, 0 AS cost, '' AS audit, '' AS lines FROM c
+  UNION ALL
+  SELECT conv_id, place, state, (best).cost, (best).audit, (best).lines FROM (
+    SELECT conv_id, place, state, min({{'cost': cost, 'audit': audit, 'lines': lines}}) AS best FROM (
+      SELECT s.conv_id, r.place, e.state, s.cost + i.cost + e.cost AS cost, s.audit || i.audit || e.audit AS audit,
+             s.lines || i.lines || CASE e.audit WHEN 'D' THEN '' WHEN 'K' THEN r.role || ':' || r.text || chr(10)
+               ELSE CASE e.state WHEN 2 THEN 'user:' ELSE 'assistant:' END || r.text || chr(10) END AS lines
+      FROM s JOIN r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.place = s.place + 1
+      JOIN i ON i.before = s.state
+      JOIN (VALUES (0, 0, 'D', ''), (1, 1, 'D', ''), (2, 2, 'D', ''), (3, 3, 'D', ''), (0, 2, 'R', ''), (1, 2, 'R', ''),
+                   (3, 2, 'R', ''), (2, 3, 'R', ''), (0, 1, 'K', 's'), (0, 2, 'K', 'u'), (1, 2, 'K', 'u'), (3, 2, 'K', 'u'),
+                   (2, 3, 'K', 'a')) t(before, state, audit, initial) ON t.before = i.state
+      JOIN LATERAL (SELECT t.state, t.audit, CASE t.audit WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+                           + CASE WHEN t.audit <> 'D' AND r.fault = 'truncated' THEN 3 ELSE 0 END AS cost) e ON true
+      WHERE t.audit = 'D' OR r.fault NOT IN ('blank', 'duplicate') AND (t.audit = 'R' OR t.initial = left(r.role, 1))
+    ) GROUP BY conv_id, place, state
+  )
+), e AS (
+  SELECT conv_id, (best).cost AS cost, (best).audit AS audit, (best).lines AS lines FROM (
+    SELECT s.conv_id, min({{'cost': s.cost + i.cost, 'audit': s.audit || i.audit, 'lines': s.lines || i.lines}}) AS best
+    FROM s JOIN c ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.place = c.n
+    JOIN i ON i.before = s.state AND i.state IN (0, 3) GROUP BY s.conv_id)
+)
+SELECT k.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(CASE WHEN lines = '' THEN '' ELSE lines[:-2] END, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k
+LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM k.conv_id
+LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM k.conv_id
+"""
+
+
+_SQL["op11_hirschberg"] = _repair_sql()
