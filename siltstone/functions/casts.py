@@ -29,6 +29,12 @@ def to_ntz(c: Column | str) -> Column:
     return F.coalesce(text.try_cast("timestamp_ntz"), stripped.cast("timestamp_ntz"))
 
 
+def try_ntz(c: Column | str) -> Column:
+    """Like ``to_ntz``, but null for text that is no timestamp."""
+    text = F.trim(_col(c).cast("string"))
+    return F.coalesce(text.try_cast("timestamp_ntz"), F.regexp_replace(text, _ZONE_AFTER_TIME, "$1").try_cast("timestamp_ntz"))
+
+
 def to_bool(c: Column | str) -> Column:
     """Text or boolean to boolean; also takes on/off, which Spark's cast rejects."""
     text = F.lower(F.trim(_col(c).cast("string")))

@@ -5,41 +5,73 @@ parts. Spark's own ``_SUCCESS`` marker of that list is the commit, so readers se
 or the new version and never something in between, and a failed run leaves no trace in
 what they read. Tables are split by month of event time: an incremental run rewrites only
 the months that hold replaced keys.
+
+Two writers cannot take one version number: a number belongs to whoever creates its claim
+file, which fails where one exists. A state that was built on an older version than the
+newest one is refused, and ``commit`` builds it again on top of that.
+
+A table with a catalog name is an ordinary table there too: each version is an external table over its
+folders, and the published name a view that ``publish`` moves to the newest one.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import re
+import time
 import uuid
+import zlib
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.functions.exprs import month_of, utc_literal
+from siltstone.functions.exprs import month_of, ntz_literal, utc_literal
 from siltstone.operators.incremental import without_keys
 from siltstone.session import hadoop_path
 
 PART = "_part"
 WHOLE = "all"
+MONTH = re.compile(r"\d{4}-\d{2}$")
+# A typed event time that is stored beside the rows and not shown to readers.
+EVENT_AT = "_event_at"
 # Folders of one month above which ``tidy`` merges them.
 MERGE_ABOVE = 4
+# A claim without a finished list is another writer at work, and after this a writer that died.
+CLAIM_SECONDS = 120.0
+# Files no version refers to may be those of a writer at work; later they are of one that failed.
+FAILED_AFTER = dt.timedelta(days=1)
+
+
+class Conflict(RuntimeError):
+    """Another writer published first; the refused state has to be built again."""
 
 
 @dataclass(frozen=True)
 class Version:
-    """A table state: its schema and the directories its rows are in, by part."""
+    """A table state: its schema, the directories its rows are in, by part, and the number of the
+    version it was built on (None where it does not depend on one)."""
 
     schema: T.StructType
     parts: tuple[tuple[str, str], ...] = ()
+    base: int | None = None
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 class Table:
-    def __init__(self, spark: SparkSession, path: str, event_time: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, event_time: str | None = None, name: tuple[str, str] | None = None):
+        """``name`` is the table's (database, table) in the catalog."""
         self.spark = spark
         self.path = path
         self.event_time = event_time
+        self.name = name
 
     # -- reading ---------------------------------------------------------------
 
@@ -72,7 +104,7 @@ class Table:
         )
         found = rows.collect()
         schema = T.StructType.fromJson(json.loads(next(r.schema for r in found if r.schema)))
-        return Version(schema, tuple((r.part, r.path) for r in found if r.path))
+        return Version(schema, tuple((r.part, r.path) for r in found if r.path), number)
 
     def frame(self, version: Version, parts: set[str] | None = None) -> DataFrame:
         """Rows of a version. Older files lacking a later column read as null there."""
@@ -81,12 +113,24 @@ class Table:
             return self.spark.createDataFrame([], version.schema)
         return self.spark.read.schema(version.schema).parquet(*(f"{self.path}/{p}" for p in paths))
 
-    def read(self) -> DataFrame:
-        return self.frame(self.current())
-
-    def high_water_mark(self):
+    def read(self, version: Version | None = None) -> DataFrame:
+        rows = self.frame(version or self.current())
+        return rows.drop(EVENT_AT)
+
+    def since(self, at: dt.datetime, version: Version | None = None) -> DataFrame:
+        """Rows whose event time is not before ``at`` or not known: months before are not listed, and
+        within a month the scan skips row groups by the bare column."""
+        version = version or self.current()
+        if EVENT_AT not in version.schema.fieldNames():
+            return self.read(version)
+        first = f"{at.year:04d}-{at.month:02d}"
+        months = {part for part, _ in version.parts if not MONTH.match(part) or part >= first}
+        rows = self.frame(version, months).where((F.col(EVENT_AT) >= ntz_literal(at)) | F.col(EVENT_AT).isNull())
+        return rows.drop(EVENT_AT)
+
+    def high_water_mark(self, version: Version | None = None):
         """Newest event time; it lies in the newest month, so only that is read."""
-        version = self.current()
+        version = version or self.current()
         dated = [part for part, _ in version.parts if part != "none"]
         if not dated:
             return None
@@ -123,6 +167,8 @@ class Table:
         if not self.exists():
             return self.stage_full(df)
         schema = self.current().schema
+        if EVENT_AT in df.columns and EVENT_AT not in schema.fieldNames():
+            schema = T.StructType([*schema.fields, df.schema[EVENT_AT]])
         unknown = [c for c in df.columns if c not in schema.fieldNames()]
         if unknown:
             raise ValueError(f"{self.path}: unknown columns {', '.join(unknown)}")
@@ -141,15 +187,16 @@ class Table:
         """
         return self.frame(version).agg(F.count(F.lit(1)).alias("rows"), *metrics).first().asDict()
 
-    def stage_delete_insert(self, batch: DataFrame, key: str) -> Version:
-        """A new state in which the batch replaces the rows of its keys.
+    def stage_delete_insert(self, batch: DataFrame, key: str, old: Version | None = None) -> Version:
+        """A new state in which the batch replaces the rows of its keys in ``old``, by default the
+        newest version.
 
         The batch is written once and read back from there. Months in which no key of the
         batch occurs keep their files; new columns of the batch are added to the schema.
         """
         if not self.exists():
-            return self.stage_full(batch)
-        old = self.current()
+            return replace(self.stage_full(batch), base=0)
+        old = old or self.current()
         known = {f.name: f for f in old.schema.fields}
         columns = [known.get(f.name, f) for f in batch.schema.fields]
         cast = batch.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in columns))
@@ -157,7 +204,7 @@ class Table:
         batch_parts = self._write(cast, "batch")
         staged = self.frame(Version(schema, tuple(batch_parts)))
         if staged.isEmpty():
-            return Version(schema, old.parts)
+            return Version(schema, old.parts, old.base)
         keys = staged.select(key).where(F.col(key).isNotNull()).distinct()
         target = self.frame(old)
         if self.event_time is None:
@@ -169,7 +216,7 @@ class Table:
         kept = [p for p in old.parts if p[0] not in hit]
         if hit:
             kept += self._write(without_keys(self.frame(old, hit), keys, key), "kept")
-        return Version(schema, tuple(kept + batch_parts))
+        return Version(schema, tuple(kept + batch_parts), old.base)
 
     def stage_compacted(self, above: int = 1) -> Version:
         """The same rows with one directory again for months that have more than ``above``."""
@@ -182,19 +229,108 @@ class Table:
             return version
         kept = [p for p in version.parts if p[0] not in many]
         merged = self._write(self.frame(version, many), "compact")
-        return Version(version.schema, tuple(kept + merged))
+        return Version(version.schema, tuple(kept + merged), version.base)
+
+    def _claim(self, number: int) -> bool:
+        """Whether this writer owns the number now: the file system creates a file once."""
+        owner, fs = hadoop_path(self.spark, f"{self.path}/_versions/{number:08d}/_owner")
+        try:
+            fs.create(owner, False).close()
+        except Py4JJavaError as error:
+            if not fs.exists(owner):
+                raise error
+            return False
+        for left in self._listing(f"_versions/{number:08d}"):  # of a writer that died
+            if left.getPath().getName() != "_owner":
+                fs.delete(left.getPath(), True)
+        return True
+
+    def _await(self, number: int) -> bool:
+        """Waits for the writer that claimed a number; whether it published."""
+        folder, fs = hadoop_path(self.spark, f"{self.path}/_versions/{number:08d}")
+        owner = hadoop_path(self.spark, f"{self.path}/_versions/{number:08d}/_owner")[0]
+        done = hadoop_path(self.spark, f"{self.path}/_versions/{number:08d}/_SUCCESS")[0]
+        while not fs.exists(done):
+            if not fs.exists(folder):
+                return False
+            claimed = fs.getFileStatus(owner if fs.exists(owner) else folder).getModificationTime() / 1000
+            if time.time() - claimed > CLAIM_SECONDS:
+                return False
+            time.sleep(0.2)
+        return True
 
     def publish(self, version: Version) -> int:
-        """Make a staged state the one readers see."""
-        number = (self._newest() or 0) + 1
+        """Make a staged state the one readers see.
+
+        Raises ``Conflict`` if the state was built on a version that is no longer the newest.
+        """
+        while True:
+            newest = self._newest() or 0
+            if version.base is not None and version.base != newest:
+                raise Conflict(f"{self.path}: version {newest} was published after {version.base}")
+            number = newest + 1
+            while not self._claim(number):
+                if self._await(number):
+                    break  # published meanwhile: look again
+                number += 1  # its writer died
+            else:
+                break
         rows = [(None, None, version.schema.json()), *((part, path, None) for part, path in version.parts)]
         listing = self.spark.createDataFrame(rows, "part string, path string, schema string")
-        listing.coalesce(1).write.mode("overwrite").json(f"{self.path}/_versions/{number:08d}")
+        listing.coalesce(1).write.mode("append").json(f"{self.path}/_versions/{number:08d}")
+        self.register()
         return number
 
+    def commit(self, stage: Callable[[], Version], tries: int = 5) -> int:
+        """Stage and publish; what another writer overtakes is staged again on its version."""
+        for left in reversed(range(tries)):
+            staged = stage()
+            try:
+                return self.publish(staged)
+            except Conflict:
+                self.discard(staged)
+                if not left:
+                    raise
+        raise ValueError("tries must be positive")
+
+    # -- catalog ---------------------------------------------------------------
+
+    def _held(self, version: Version) -> str:
+        """Name of the external table of a version; it depends on the folders, so it never changes
+        what it shows."""
+        folders = f"{self.path} {sorted(version.parts)} {version.schema.json()}"
+        return f"{self.name[1]}__v{version.base:08d}_{zlib.crc32(folders.encode()):08x}".lower()
+
+    def register(self) -> None:
+        """Let the catalog name show the newest version. One statement switches it, so a query sees
+        one version or the other."""
+        if self.name is None or not self.exists():
+            return
+        version = self.current()
+        database, table = (quoted(n) for n in self.name)
+        held = f"{database}.{quoted(self._held(version))}"
+        columns = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in version.schema.fields]
+        run = self.spark.sql
+        run(f"CREATE DATABASE IF NOT EXISTS {database}")
+        folders = [f"'{self.path}/{path}'" for _, path in version.parts]
+        if all(part == WHOLE for part, _ in version.parts) and len(folders) == 1:
+            run(f"CREATE TABLE IF NOT EXISTS {held} ({', '.join(columns)}) USING parquet LOCATION {folders[0]}")
+        else:
+            keyed = ", ".join([*columns, f"{PART} string", "_run string"])
+            run(f"CREATE TABLE IF NOT EXISTS {held} ({keyed}) USING parquet PARTITIONED BY ({PART}, _run) LOCATION '{self.path}/data'")
+            keys = [f"PARTITION ({PART} = '{part}', _run = '{path.split('/')[1]}')" for part, path in version.parts]
+            if keys:
+                run(f"ALTER TABLE {held} ADD IF NOT EXISTS " + " ".join(f"{k} LOCATION {f}" for k, f in zip(keys, folders, strict=True)))
+        shown = ", ".join(quoted(f.name) for f in version.schema.fields if f.name != EVENT_AT)
+        run(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT {shown} FROM {held}")
+
+    def _unregister(self, versions: list[Version]) -> None:
+        for version in versions if self.name else ():
+            self.spark.sql(f"DROP TABLE IF EXISTS {quoted(self.name[0])}.{quoted(self._held(version))}")
+
     def discard(self, staged: Version) -> None:
         """Delete the files of a staged state that will not be published."""
-        used = {path.split("/")[1] for _, path in self.current().parts} if self.exists() else set()
+        used = self._runs(self._published())
         for run in {path.split("/")[1] for _, path in staged.parts} - used:
             folder, fs = hadoop_path(self.spark, f"{self.path}/data/{run}")
             fs.delete(folder, True)
@@ -210,38 +346,74 @@ class Table:
     def expire(self, keep: int = 7) -> None:
         """Drop all but the newest ``keep`` versions and the files only they refer to.
 
-        Also removes files of failed or rejected runs, so not to be called while one is
-        staged.
+        Files that no version refers to may belong to a writer at work; those older than
+        ``FAILED_AFTER`` are of a run that failed, and go too.
         """
         newest = self._newest()
         if newest is None or keep < 1:
             return
-        kept = [n for n in range(max(1, newest - keep + 1), newest + 1)]
-        listed = self.spark.read.schema("path string").json([f"{self.path}/_versions/{n:08d}" for n in kept])
-        used = {r.path.split("/")[1] for r in listed.where("path IS NOT NULL").distinct().collect()}
-        for status in self._listing("_versions"):
-            if int(status.getPath().getName()) not in kept:
-                hadoop_path(self.spark, self.path)[1].delete(status.getPath(), True)
+        _, fs = hadoop_path(self.spark, self.path)
+        numbers = [int(s.getPath().getName()) for s in self._listing("_versions")]
+        done = self._published()
+        kept = done[-keep:]
+        dropped = [n for n in numbers if n < kept[0]]
+        used, gone = self._runs(kept), self._runs([n for n in dropped if n in done])
+        if self.name:
+            self._unregister([self.version(n) for n in dropped if n in done])
+        for n in dropped:
+            fs.delete(hadoop_path(self.spark, f"{self.path}/_versions/{n:08d}")[0], True)
+        before = (time.time() - FAILED_AFTER.total_seconds()) * 1000
         for status in self._listing("data"):
-            if status.getPath().getName() not in used:
-                hadoop_path(self.spark, self.path)[1].delete(status.getPath(), True)
+            run = status.getPath().getName()
+            if run not in used and (run in gone or status.getModificationTime() < before):
+                fs.delete(status.getPath(), True)
+
+    def _published(self) -> list[int]:
+        numbers = sorted(int(s.getPath().getName()) for s in self._listing("_versions"))
+        _, fs = hadoop_path(self.spark, self.path)
+        return [n for n in numbers if fs.exists(hadoop_path(self.spark, f"{self.path}/_versions/{n:08d}/_SUCCESS")[0])]
+
+    def _runs(self, numbers: list[int]) -> set[str]:
+        """Folders below ``data`` that versions refer to."""
+        if not numbers:
+            return set()
+        listed = self.spark.read.schema("path string").json([f"{self.path}/_versions/{n:08d}" for n in numbers])
+        # one row per part
+        return {r.path.split("/")[1] for r in listed.where("path IS NOT NULL").distinct().collect()}
 
 
 class Layers:
-    """Tables and views by layer below one root folder."""
+    """Tables and views by layer below one root folder.
+
+    Each layer is a database of the catalog, named ``<prefix><layer>``.
+    """
 
     LAYERS = ("raw", "silver", "gold")
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.prefix = prefix
 
     def ensure(self) -> None:
         for layer in self.LAYERS:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(self.prefix + layer)}")
 
     def table(self, layer: str, name: str, event_time: str | None = None) -> Table:
-        return Table(self.spark, f"{self.root}/{layer}/{name}", event_time)
+        return Table(self.spark, f"{self.root}/{layer}/{name}", event_time, (self.prefix + layer, re.sub(r"\W", "_", name)))
+
+    def attach(self) -> list[str]:
+        """Register every published table, for a session whose catalog does not know them yet."""
+        self.ensure()
+        found = []
+        for layer in self.LAYERS:
+            hpath, fs = hadoop_path(self.spark, f"{self.root}/{layer}")
+            for status in fs.listStatus(hpath) if fs.exists(hpath) else ():
+                table = self.table(layer, status.getPath().getName())
+                if table.exists():
+                    table.register()
+                    found.append(".".join(table.name))
+        return sorted(found)
 
     def view(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         """Register for SQL users as ``<layer>_<name>``."""

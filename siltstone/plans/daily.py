@@ -3,20 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.functions.casts import to_ntz
+from siltstone.functions.casts import to_ntz, try_ntz
 from siltstone.functions.exprs import lookback_window, ntz_literal
 from siltstone.functions.jsonx import encode_complex_columns
 from siltstone.operators import quality
 from siltstone.operators.incremental import newer_than
-from siltstone.operators.tables import Layers, Table
-from siltstone.plans import gold, silver
+from siltstone.operators.tables import EVENT_AT, Conflict, Layers, Table, Version
+from siltstone.plans.models import Fact, Frames, Model, Project, default_project
 from siltstone.session import configure, hadoop_path
 from siltstone.sources.catalog import DatasetSpec, Reader, datasets
 from siltstone.sources.flatten import flatten_struct
@@ -45,10 +44,14 @@ def with_lineage(df: DataFrame, spec: DatasetSpec, as_of: dt.datetime) -> DataFr
 def load_raw(table: Table, rows: DataFrame, spec: DatasetSpec, as_of: dt.datetime) -> quality.Preflight:
     """Full refresh of one raw table; a batch that fails its checks is not published.
 
-    The landed text is parsed once; the counts behind the verdict come from the columns
+    A dataset with an event column is split by its month, and keeps the typed time beside the
+    text. The landed text is parsed once; the counts behind the verdict come from the columns
     they need in the files written.
     """
     flat = encode_complex_columns(with_lineage(flatten_struct(rows), spec, as_of))
+    if spec.event_column and table.event_time == EVENT_AT:
+        known = spec.event_column in flat.columns
+        flat = flat.withColumn(EVENT_AT, try_ntz(spec.event_column) if known else F.lit(None).cast("timestamp_ntz"))
     staged = table.stage_refresh(flat)
     counts = table.measure(staged, *quality.preflight_metrics(flat, spec))
     verdict = quality.preflight_verdict(spec, counts)
@@ -60,6 +63,10 @@ def load_raw(table: Table, rows: DataFrame, spec: DatasetSpec, as_of: dt.datetim
     return verdict
 
 
+def raw_table(layers: Layers, spec: DatasetSpec) -> Table:
+    return layers.table("raw", spec.name, EVENT_AT if spec.event_column else None)
+
+
 def ingest(
     layers: Layers,
     location: str,
@@ -77,7 +84,7 @@ def ingest(
     def one(spec: DatasetSpec) -> quality.Preflight | None:
         try:
             rows = in_window(reader.read(layers.spark, spec, location), spec, window)
-            verdict = load_raw(layers.table("raw", spec.name), rows, spec, as_of)
+            verdict = load_raw(raw_table(layers, spec), rows, spec, as_of)
             if not verdict.ok:
                 layers.alert(as_of, spec.name, "; ".join(verdict.errors), "WARNING")
             for warning in verdict.warnings:
@@ -94,88 +101,43 @@ def ingest(
 
 # -- silver and gold -------------------------------------------------------------------
 
-SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "launches": silver.launches,
-    "rockets": silver.rockets,
-    "payloads": silver.payloads,
-    "cores": silver.cores,
-    "solar_events": silver.solar_events,
-}
-
-
-# Facts do not depend on each other; this many are built at a time.
+# Facts of one level do not depend on each other; this many are built at a time.
 FACT_THREADS = 4
+# Times a fact is built again because another writer published it meanwhile.
+PUBLISH_TRIES = 3
 
 
-@dataclass(frozen=True)
-class Fact:
-    """An incremental fact: ``build(frames, as_of)`` with ``frames['launches']`` or, for
-    ``source='raw'``, the raw launches, already reduced to what the run has to load."""
-
-    name: str
-    key: str
-    build: Callable[[dict[str, DataFrame], dt.datetime], DataFrame]
-    source: str = "silver"
-    event_time: str = "launch_at_utc"
-    tags: tuple[str, ...] = field(default=("incremental", "daily"))
-
-
-FACTS = (
-    Fact(
-        "launches_performance",
-        "launch_id",
-        lambda f, at: gold.performance(f["launches"], f["rockets"], f["payloads"], f["solar_events"], at),
-        tags=("incremental", "daily", "performance"),
-    ),
-    Fact(
-        "launch_roi",
-        "launch_id",
-        lambda f, at: gold.roi(f["launches"], f["rockets"], f["payloads"], at),
-        source="raw",
-        tags=("incremental", "daily", "roi"),
-    ),
-    Fact(
-        "space_weather_impact",
-        "surrogate_key",
-        lambda f, at: gold.weather(f["launches"], f["solar_events"], at),
-        tags=("incremental", "daily", "space_weather"),
-    ),
-)
-
-
-def select_facts(tag: str | None = None) -> list[Fact]:
-    return [f for f in FACTS if tag is None or tag in f.tags]
-
-
-def raw_tables(layers: Layers) -> dict[str, DataFrame]:
+class Raws:
     """The raw tables that exist, as of now: a run resolves each once and sticks to it."""
-    stored = {name: layers.table("raw", name) for name in datasets()}
-    return {name: table.read() for name, table in stored.items() if table.exists()}
+
+    def __init__(self, layers: Layers, project: Project):
+        found = {name: raw_table(layers, spec) for name, spec in project.specs.items()}
+        self.tables = {name: table for name, table in found.items() if table.exists()}
+        self.versions = {name: table.current() for name, table in self.tables.items()}
+        self.frames = {f"raw.{name}": table.read(self.versions[name]) for name, table in self.tables.items()}
+
+    def since(self, name: str, at: dt.datetime) -> DataFrame:
+        return self.tables[name].since(at, self.versions[name])
 
 
-def source_checks(raws: dict[str, DataFrame], as_of: dt.datetime) -> DataFrame:
+def source_checks(spark: SparkSession, raws: Raws, project: Project, as_of: dt.datetime) -> DataFrame:
     """Freshness, recency, keys of the raw tables; a table never loaded is an error."""
-    spark = next(iter(raws.values())).sparkSession if raws else SparkSession.active()
     checks = []
-    for spec in datasets().values():
-        raw = raws.get(spec.name)
+    for spec in project.specs.values():
+        raw = raws.frames.get(f"raw.{spec.name}")
         if raw is None:
             row = [(f"loaded_{spec.name}", 1, "error")]
             checks.append(spark.createDataFrame(row, "check_name string, failing_rows long, status string"))
             continue
-        key = spec.id_column or "activityID"
-        checks.append(
-            quality.measure(
-                raw,
-                quality.stale(f"freshness_{spec.name}", "ingestion_timestamp", as_of),
-                quality.newest_older_than(
-                    f"recency_{spec.name}", "ingestion_timestamp", as_of, quality.RECENT_WITHIN
-                ),
-                quality.nulls_in(f"not_null_{spec.name}", key),
-            )
-        )
+        parts = [
+            quality.stale(f"freshness_{spec.name}", "ingestion_timestamp", as_of),
+            quality.newest_older_than(f"recency_{spec.name}", "ingestion_timestamp", as_of, quality.RECENT_WITHIN),
+        ]
+        if spec.key_column:
+            parts.append(quality.nulls_in(f"not_null_{spec.name}", spec.key_column))
+        checks.append(quality.measure(raw, *parts))
         if spec.id_column:
-            checks.append(quality.unique(raw, f"unique_{spec.name}", key))
+            checks.append(quality.unique(raw, f"unique_{spec.name}", spec.id_column))
     return quality.union_checks(checks)
 
 
@@ -191,50 +153,80 @@ def gate(layers: Layers, checks: DataFrame, as_of: dt.datetime) -> None:
         raise GateFailed(", ".join(sorted(blocking)))
 
 
-def register_views(layers: Layers, raws: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Raw tables and silver views for SQL users; returns the silver frames."""
-    for name, raw in raws.items():
-        layers.view("raw", name, raw)
-    return {name: layers.view("silver", name, build(raws[name])) for name, build in SILVER.items()}
+def register_views(layers: Layers, raws: Raws, project: Project, models: Iterable[Model], as_of: dt.datetime) -> dict[str, DataFrame]:
+    """Raw tables and silver views for SQL users of the session; returns all frames by full name."""
+    frames = dict(raws.frames)
+    for name, raw in raws.frames.items():
+        layers.view("raw", name.removeprefix("raw."), raw)
+    for model in project.ordered(m.full_name for m in models if not isinstance(m, Fact)):
+        frames[model.full_name] = layers.view(model.layer, model.name, model.build(frames, as_of))
+    return frames
+
+
+def reduced(project: Project, name: str, raws: Raws, at: dt.datetime, as_of: dt.datetime) -> DataFrame:
+    """A raw table or a view of views on raw tables, of rows not before ``at`` (and some others).
+
+    Only a name with a single raw table below it can be cut by time without changing its rows.
+    """
+    below = [n for n in project.ancestors(name) | {name} if n.startswith("raw.")]
+    frames = dict(raws.frames)
+    if len(below) == 1:
+        frames[below[0]] = raws.since(below[0].removeprefix("raw."), at)
+    for model in project.ordered(n for n in project.ancestors(name) | {name} if not n.startswith("raw.")):
+        frames[model.full_name] = model.build(frames, as_of)
+    return frames[name]
+
+
+def typed_time(frame: DataFrame, fact: Fact, spec: DatasetSpec | None) -> DataFrame:
+    """The frame with the fact's event time, which raw rows hold as text."""
+    if fact.event_time in frame.columns or spec is None or spec.event_column is None:
+        return frame
+    return frame.withColumn(fact.event_time, to_ntz(spec.event_column))
 
 
 def stage_fact(
     layers: Layers,
     fact: Fact,
-    frames: dict[str, DataFrame],
-    raw_launches: DataFrame,
+    project: Project,
+    frames: Frames,
+    raws: Raws,
     as_of: dt.datetime,
     full_refresh: bool = False,
     empty_target: str = "nothing",
-):
-    """Write the fact's next state without publishing it."""
+) -> tuple[Table, Version]:
+    """Write the fact's next state without publishing it.
+
+    A run after the first reads the raw months from the mark on, and of the other sides those the
+    new rows can reach. Facts on facts, and facts that load nothing, are built from whole frames.
+    """
     table = layers.table("gold", fact.name, fact.event_time)
-    source = frames["launches"]
-    if fact.source == "raw":
-        source = raw_launches.withColumn(fact.event_time, to_ntz("date_utc"))
+    if fact.loads is None:
+        return table, table.stage_refresh(fact.build(frames, as_of))
     first_run = full_refresh or not table.exists()
-    mark = None if first_run else table.high_water_mark()
-    batch = fact.build(
-        {**frames, "launches": newer_than(source, fact.event_time, mark, first_run, empty_target)}, as_of
-    )
-    staged = table.stage_full(batch) if first_run else table.stage_delete_insert(batch, fact.key)
+    # the mark and what the batch is merged into are of one version
+    old = None if first_run else table.current()
+    mark = None if old is None else table.high_water_mark(old)
+    given = dict(frames)
+
+    def cut(name: str, at: dt.datetime) -> DataFrame:
+        on_facts = any(a.startswith("gold.") for a in project.ancestors(name) | {name})
+        return frames[name] if on_facts else reduced(project, name, raws, at, as_of)
+
+    if mark is not None:
+        given[fact.loads] = cut(fact.loads, mark)
+        for name, distance in fact.reach.items():
+            given[name] = cut(name, mark - distance)
+    source = typed_time(given[fact.loads], fact, project.specs.get(fact.loads.removeprefix("raw.")))
+    given[fact.loads] = newer_than(source, fact.event_time, mark, first_run, empty_target)
+    batch = fact.build(given, as_of)
+    staged = table.stage_full(batch) if first_run else table.stage_delete_insert(batch, fact.key, old)
     return table, staged
 
 
-def fact_checks(fact: Fact, rows: DataFrame, frames: dict[str, DataFrame]) -> list[DataFrame]:
+def fact_checks(fact: Fact, rows: DataFrame, frames: Frames) -> list[DataFrame]:
     """Checks a staged state has to pass before readers see it."""
-    checks = [quality.not_null(rows, f"not_null_{fact.name}", fact.key)]
-    if fact.name == "launches_performance":
-        checks.append(
-            quality.same_day_before_check(
-                rows,
-                frames["solar_events"],
-                "launch_after_solar_event",
-                "launch_at_utc",
-                "event_at_utc",
-            )
-        )
-    return checks
+    checks = [quality.not_null(rows, f"not_null_{fact.name}", fact.key)] if fact.key else []
+    return checks + (fact.checks(rows, frames) if fact.checks else [])
 
 
 def run(
@@ -247,40 +239,73 @@ def run(
     tag: str | None = None,
     full_refresh: bool = False,
     empty_target: str = "nothing",
+    project: Project | None = None,
+    prefix: str = "",
 ) -> dict[str, int]:
     """One day's run; returns the published version per fact.
 
-    Datasets requested by window are read for ``window``, or else for the days up to
-    ``as_of`` (``lookback_window``). Nothing of a later step is published once a gate has
-    failed; the files it staged are deleted. A fact whose months lie in many folders is
-    merged after publishing, and old versions are dropped.
+    ``specs`` replace datasets of the project by name or add to them; every dataset is loaded and
+    checked. Datasets requested by window are read for ``window``, or else for the days up to
+    ``as_of`` (``lookback_window``). ``tag`` selects facts, with whatever they are built from.
+
+    Nothing of a later step is published once a gate has failed; the files it staged are deleted.
+    A fact that another run has published meanwhile is built and checked again on that. A fact
+    whose months lie in many folders is merged after publishing, and old versions are dropped.
+    Raw tables and facts are tables of the catalog in the databases ``<prefix>raw`` and ``<prefix>gold``.
     """
     landed, fs = hadoop_path(spark, location)
     configure(spark, *([location] if fs.exists(landed) else []))
-    layers = Layers(spark, root)
+    project = (project or default_project()).with_datasets(*(specs or ()))
+    models = project.selected(tag)
+    layers = Layers(spark, root, prefix)
     layers.ensure()
-    ingest(layers, location, as_of, specs, window=window or lookback_window(as_of.date()))
-    raws = raw_tables(layers)
-    gate(layers, source_checks(raws, as_of), as_of)
-    frames = register_views(layers, raws)
-
-    def stage(fact: Fact):
-        return fact, *stage_fact(
-            layers, fact, frames, raws["launches"], as_of, full_refresh, empty_target
-        )
-
-    with ThreadPoolExecutor(max_workers=FACT_THREADS) as pool:
-        staged = list(pool.map(stage, select_facts(tag)))
-    checks = [c for fact, table, state in staged for c in fact_checks(fact, table.frame(state), frames)]
+    ingest(layers, location, as_of, project.specs.values(), window=window or lookback_window(as_of.date()))
+    raws = Raws(layers, project)
+    gate(layers, source_checks(spark, raws, project, as_of), as_of)
+    frames = register_views(layers, raws, project, project.selected(), as_of)
+
+    def stage(fact: Fact) -> tuple[Fact, Table, Version]:
+        return fact, *stage_fact(layers, fact, project, frames, raws, as_of, full_refresh, empty_target)
+
+    views = [c for m in models if not isinstance(m, Fact) and m.checks for c in m.checks(frames[m.full_name], frames)]
+    if views:
+        gate(layers, quality.union_checks(views), as_of)
+    staged: list[tuple[Fact, Table, Version]] = []
+    facts = [m for m in models if isinstance(m, Fact)]
     try:
-        gate(layers, quality.union_checks(checks), as_of)
+        for level in project.levels(facts):
+            with ThreadPoolExecutor(max_workers=FACT_THREADS) as pool:
+                made = list(pool.map(stage, level))
+            staged += made
+            frames |= {fact.full_name: table.read(state) for fact, table, state in made}
+        checks = [c for fact, _, _ in staged for c in fact_checks(fact, frames[fact.full_name], frames)]
+        if checks:
+            gate(layers, quality.union_checks(checks), as_of)
     except GateFailed:
         for _, table, state in staged:
             table.discard(state)
         raise
     out = {}
     for fact, table, state in staged:
-        out[fact.name] = table.publish(state)
+        out[fact.name] = publish(layers, fact, table, state, stage, frames, as_of)
         table.tidy()
         layers.view("gold", fact.name, table.read())
     return out
+
+
+def publish(layers: Layers, fact: Fact, table: Table, state: Version, stage, frames: dict[str, DataFrame], as_of: dt.datetime) -> int:
+    for left in reversed(range(PUBLISH_TRIES)):
+        try:
+            return table.publish(state)
+        except Conflict:
+            table.discard(state)
+            if not left:
+                raise
+        _, table, state = stage(fact)
+        rows = table.read(state)
+        try:
+            gate(layers, quality.union_checks(fact_checks(fact, rows, {**frames, fact.full_name: rows})), as_of)
+        except GateFailed:
+            table.discard(state)
+            raise
+    raise AssertionError("unreachable")

@@ -39,6 +39,7 @@ from siltstone.operators.interval import interval_aggregate, interval_join
 from siltstone.operators.tables import Layers, Table
 from siltstone.operators.unnest import element_sums
 from siltstone.plans import daily, gold, kpi, reports, roles, silver
+from siltstone.plans.models import Fact, Model, default_project
 from siltstone.plans.roles import AS_OF, table
 from siltstone.session import configure, fresh_path
 from siltstone.sources.catalog import CONTRACTS, DatasetSpec, contract, datasets
@@ -581,6 +582,76 @@ def daily_run_incremental(spark, sf):
     return Layers(spark, root).table("gold", "launch_roi", "launch_at_utc").read()
 
 
+@query
+def catalog_tables(spark, sf):
+    """What another session reads from the catalog after a run that published and a run that its
+    gate stopped: the fact by name, and the raw launches of each month."""
+    root, prefix = fresh_path(spark, "layers"), "entry_"
+    for copies in (1, 2):
+        location = fresh_path(spark, "landed")
+        roles.land(spark, sf, location, lambda orders, n=copies: orders.withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(n)))))
+        try:
+            daily.run(spark, root, location, AS_OF, window=ALL_DAYS, specs=_specs(), tag="roi", prefix=prefix)
+        except daily.GateFailed:
+            pass
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    fact = other.table(f"{prefix}gold.launch_roi").select("launch_id", "rocket_name", "usd_per_kg", "launch_at_utc")
+    landed = other.sql(
+        f"SELECT concat('raw ', substr(date_utc, 1, 7)) AS launch_id, count(*) AS n FROM {prefix}raw.launches GROUP BY 1"
+    )
+    return fact.withColumn("n", F.lit(1).cast("long")).unionByName(landed, allowMissingColumns=True)
+
+
+def _accounts_project():
+    """The launches' customers as a dataset of its own, a view, and two facts: one that grows with
+    the launches, one built on facts."""
+    accounts = Model(
+        "accounts",
+        lambda f, at: f["raw.accounts"].select(F.col("id").alias("account_id"), "segment", to_decimal("balance").alias("balance")),
+        ("raw.accounts",),
+    )
+
+    def per_launch(f, at):
+        carried = explode_text(f["silver.launches"], "payload_ids", "account_id", "launch_id", "launch_at_utc")
+        return carried.join(f["silver.accounts"], "account_id").select("launch_id", "launch_at_utc", "segment", "balance")
+
+    def per_segment(f, at):
+        joined = f["gold.launch_accounts"].select("launch_id", "segment", "balance").join(f["gold.launch_roi"], "launch_id")
+        return joined.groupBy("segment").agg(
+            F.count(F.lit(1)).alias("launches"),
+            F.sum("balance").alias("balance"),
+            F.max("launch_at_utc").alias("last_at"),
+            F.max("usd_per_kg").alias("dearest"),
+        )
+
+    return default_project().with_datasets(
+        DatasetSpec("accounts", "id string, segment string, balance double", required=("segment",), json_lines=True)
+    ).with_models(
+        accounts,
+        Fact("launch_accounts", per_launch, ("silver.launches", "silver.accounts"), key="launch_id", loads="silver.launches"),
+        Fact("segment_costs", per_segment, ("gold.launch_accounts", "gold.launch_roi"), ("segments",), key="segment", event_time=None),
+    )
+
+
+@query
+def added_dataset(spark, sf):
+    """A sixth dataset through two daily runs, the first before the cutoff: the fact built on two
+    facts that the runs added to, selected by its own tag."""
+    root, prefix = fresh_path(spark, "layers"), "added_"
+    customers = table(spark, sf, "customer")
+    for known in (_before_cutoff, lambda orders: orders):
+        location = fresh_path(spark, "landed")
+        roles.land(spark, sf, location, known)
+        customers.select(
+            F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance")
+        ).write.json(f"{location}/accounts")
+        daily.run(
+            spark, root, location, AS_OF, window=ALL_DAYS, specs=_specs(), tag="segments", project=_accounts_project(), prefix=prefix
+        )
+    return spark.table(f"{prefix}gold.segment_costs")
+
+
 @query
 def ingest_alerts(spark, sf):
     """Alerts of an ingestion in which one dataset lacks a required column, one has no

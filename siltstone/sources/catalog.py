@@ -71,6 +71,13 @@ class DatasetSpec:
     # text column holding the event time, for datasets requested by window
     window_column: str | None = None
     json_lines: bool = False
+    # text column by whose month the raw table is split
+    event_column: str | None = None
+
+    @property
+    def key_column(self) -> str | None:
+        """The column that identifies a record, or else the first it cannot lack."""
+        return self.id_column or next(iter(self.required), None)
 
     @property
     def schema(self) -> T.StructType:
@@ -83,7 +90,7 @@ class DatasetSpec:
 def datasets() -> dict[str, DatasetSpec]:
     specs = (
         DatasetSpec("rockets", ROCKETS),
-        DatasetSpec("launches", LAUNCHES, required=REQUIRED["launches"]),
+        DatasetSpec("launches", LAUNCHES, required=REQUIRED["launches"], event_column="date_utc"),
         DatasetSpec("payloads", PAYLOADS),
         DatasetSpec("cores", CORES),
         DatasetSpec(
@@ -92,6 +99,7 @@ def datasets() -> dict[str, DatasetSpec]:
             required=REQUIRED["solar_events"],
             id_column=None,
             window_column="startTime",
+            event_column="startTime",
         ),
     )
     return {spec.name: spec for spec in specs}

@@ -1,10 +1,15 @@
 import datetime as dt
 import json
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from siltstone.operators.tables import Layers
 from siltstone.plans import daily
+from siltstone.plans.models import Fact, Model, default_project
+from siltstone.sources.catalog import DatasetSpec, datasets
+from tests.conftest import plan_of
 
 ROCKETS = [{"id": "r1", "name": "One", "type": "rocket", "active": True, "cost_per_launch": 1000, "success_rate_pct": 40, "payload_weights": [{"id": "leo", "kg": 450}]}]
 PAYLOADS = [{"id": "p1", "mass_kg": 100, "customers": ["x"]}, {"id": "p2", "mass_kg": 50.5, "customers": []}]
@@ -101,7 +106,8 @@ def test_a_published_but_empty_fact_stays_empty_unless_told_otherwise(site):
 
 def test_tags_select_facts(site):
     assert list(site.run(tag="roi")) == ["launch_roi"]
-    assert [f.name for f in daily.select_facts("daily")] == ["launches_performance", "launch_roi", "space_weather_impact"]
+    chosen = [m.full_name for m in default_project().selected("roi")]
+    assert sorted(chosen) == ["gold.launch_roi", "silver.payloads", "silver.rockets"] and chosen[-1] == "gold.launch_roi"
 
 
 def test_a_failing_dataset_stops_no_other(site, as_of):
@@ -192,6 +198,88 @@ def test_custom_reader(site, spark, as_of):
         def read(self, session, spec, location):
             return session.createDataFrame([("c9",)], "id string")
 
-    spec = daily.datasets()["cores"]
+    spec = datasets()["cores"]
     results = daily.ingest(site.layers, "nowhere", as_of, [spec], Fixed())
     assert results["cores"].rows == 1
+
+
+def test_the_second_run_reads_one_month_of_raw_launches(spark, site, as_of, monkeypatch):
+    """The mark reaches the scan: months before it are not listed, and the typed time is pushed down.
+    Of the events only those within the fact's reach are read."""
+    months = [launch(f"m{m}", f"2022-{m:02d}-15T10:00:00Z") for m in range(1, 12)]
+    site.land(launches=[*months, launch("bad time", None)])
+    site.run(tag="roi")
+    site.run(tag="space_weather")
+    site.land(launches=[*months, launch("new", "2022-11-20T10:00:00Z")])
+    seen = {}
+    for name, tag in (("launch_roi", "roi"), ("space_weather_impact", "space_weather")):
+        fact = default_project().models[f"gold.{name}"]
+        build = fact.build
+        spied = replace(fact, build=lambda f, at, n=name, b=build: seen.setdefault(n, (dict(f), b(f, at)))[1])
+        daily.run(spark, site.layers.root, site.location, as_of, window=WINDOW, tag=tag, project=default_project().with_models(spied))
+
+    def parts(df):
+        return {f.split("_part=")[1].split("/")[0] for f in df.inputFiles() if "_part=" in f}
+
+    frames, batch = seen["launch_roi"]
+    assert parts(frames["raw.launches"]) == {"2022-11"}
+    assert "GreaterThanOrEqual(_event_at,2022-11-15T10:00)" in plan_of(frames["raw.launches"])
+    frames, batch = seen["space_weather_impact"]
+    assert parts(frames["silver.launches"]) == {"2022-11"}
+    assert "GreaterThanOrEqual(_event_at,2022-11-08T10:00)" in plan_of(frames["silver.solar_events"])
+    assert sorted(r.launch_id for r in site.fact("launch_roi").collect()) == sorted(["bad time", "new", *(m["id"] for m in months)])
+
+
+def test_a_run_overtaken_by_another_builds_its_fact_again(spark, site, as_of):
+    """While the first run is at work, a second one publishes; the first is refused and retries."""
+    site.run(tag="roi")
+    site.land(launches=[*LAUNCHES, launch("c", "2022-12-05T00:00:00Z"), launch("d", "2022-12-06T00:00:00Z")])
+    table = site.layers.table("gold", "launch_roi", "launch_at_utc")
+    fact = default_project().models["gold.launch_roi"]
+    build, calls = fact.build, []
+
+    def overtaken(frames, at):
+        calls.append(at)
+        if len(calls) == 1:  # another writer brings launch c
+            other = build(frames, at).where("launch_id = 'c'")
+            table.commit(lambda: table.stage_delete_insert(other, "launch_id"))
+        return build(frames, at)
+
+    project = default_project().with_models(replace(fact, build=overtaken))
+    assert site.run(tag="roi", project=project) == {"launch_roi": 3}
+    assert len(calls) == 2 and site.ids("launch_roi") == ["a", "b", "c", "d"]
+
+
+def test_an_added_dataset_is_checked_viewed_and_built_on(spark, site, as_of):
+    spec = DatasetSpec("pads", "id string, name string", required=("name",))
+    site.land(pads=[{"id": "p", "name": "North"}, {"id": "p", "name": "South"}])
+    with pytest.raises(daily.GateFailed, match="unique_pads"):
+        site.run(specs=[spec])
+    site.land(pads=[{"id": "p", "name": "North"}])
+    counts = Fact(
+        "counts", lambda f, at: f["gold.launch_roi"].crossJoin(f["silver.pads"]).groupBy("pad").count(), ("gold.launch_roi", "silver.pads"), ("pads",), event_time=None, key="pad"
+    )
+    pads = Model("pads", lambda f, at: f["raw.pads"].select(F.col("name").alias("pad")), ("raw.pads",))
+    project = default_project().with_datasets(spec).with_models(counts, pads)
+    assert site.run(project=project, tag="pads") == {"launch_roi": 1, "counts": 1}
+    assert [tuple(r) for r in spark.table("gold.counts").collect()] == [("North", 2)]
+    assert spark.sql("SELECT pad FROM silver_pads").first().pad == "North"
+
+
+def test_the_graph_refuses_what_cannot_be_built():
+    project = default_project()
+
+    def nothing(f, at):
+        return None
+
+    with pytest.raises(ValueError, match="silver.x depends on unknown raw.nowhere"):
+        project.with_models(Model("x", nothing, ("raw.nowhere",)))
+    with pytest.raises(ValueError, match="depend on each other"):
+        project.with_models(Model("x", nothing, ("silver.y",)), Model("y", nothing, ("silver.x",)))
+    with pytest.raises(ValueError, match="does not depend on"):
+        project.with_models(Fact("x", nothing, ("raw.cores",), key="id", loads="raw.launches"))
+    with pytest.raises(ValueError, match="needs a key"):
+        project.with_models(Fact("x", nothing, ("raw.cores",), loads="raw.cores"))
+    more = project.with_models(Fact("x", nothing, ("gold.launch_roi", "silver.cores"), ("x",), event_time=None))
+    levels = [{m.name for m in level} for level in more.levels(more.selected("x"))]
+    assert levels == [{"rockets", "payloads", "cores"}, {"launch_roi"}, {"x"}]

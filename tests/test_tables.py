@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 
 from siltstone.operators.incremental import add_columns, delete_insert, high_water_mark, newer_than
-from siltstone.operators.tables import Layers, Table
+from siltstone.operators import tables
+from siltstone.operators.tables import EVENT_AT, Conflict, Layers, Table
 
 SCHEMA = "k string, at timestamp_ntz, v int"
 
@@ -173,3 +174,89 @@ def test_layers_and_alerts(spark, tmp_path, frame, as_of):
         ("CRITICAL", "launches", "boom"),
         ("WARNING", "rockets", "no rows"),
     ]
+
+
+def test_of_two_publishers_one_builds_again(spark, tmp_path, frame):
+    """Both build on version 1; whoever comes second is refused, stages again, and nothing is lost."""
+    first, second = (Table(spark, str(tmp_path / "fact"), "at") for _ in range(2))
+    first.publish(first.stage_delete_insert(frame([("a", day(1), 1), ("b", day(1), 1)]), "k"))
+    mine = first.stage_delete_insert(frame([("a", day(2), 2)]), "k")
+    other = second.stage_delete_insert(frame([("b", day(2), 3), ("c", day(2, 2), 3)]), "k")
+    assert first.publish(mine) == 2
+    with pytest.raises(Conflict, match="version 2 was published after 1"):
+        second.publish(other)
+    second.discard(other)
+    assert second.commit(lambda: second.stage_delete_insert(frame([("b", day(2), 3), ("c", day(2, 2), 3)]), "k")) == 3
+    assert rows(first.read(), "k", "v") == [("a", 2), ("b", 3), ("c", 3)]
+    assert rows(first.frame(first.version(2)), "k", "v") == [("a", 2), ("b", 1)]
+
+
+def test_two_writers_at_once_lose_no_version(spark, tmp_path, frame):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(n):
+        table = Table(spark, str(tmp_path / "fact"), "at")
+        return table.commit(lambda: table.stage_delete_insert(frame([(f"k{n}", day(n), n)]), "k"), tries=20)
+
+    with ThreadPoolExecutor(4) as pool:
+        numbers = list(pool.map(write, range(1, 5)))
+    assert sorted(numbers) == [1, 2, 3, 4]
+    assert rows(Table(spark, str(tmp_path / "fact")).read(), "v") == [(1,), (2,), (3,), (4,)]
+
+
+def test_a_writer_that_died_holds_nobody_up(fact, frame, tmp_path, monkeypatch):
+    fact.publish(fact.stage_full(frame([("a", day(1), 1)])))
+    claimed = tmp_path / "fact" / "_versions" / "00000002"
+    claimed.mkdir()
+    (claimed / "_owner").write_text("")
+    monkeypatch.setattr(tables, "CLAIM_SECONDS", 0.5)
+    assert fact.publish(fact.stage_full(frame([("b", day(1), 1)]))) == 3
+    assert rows(fact.read(), "k") == [("b",)]
+    fact.expire(keep=1)
+    assert [p.name for p in (tmp_path / "fact" / "_versions").iterdir()] == ["00000003"]
+
+
+def test_tables_of_the_catalog(spark, tmp_path, frame):
+    layers = Layers(spark, str(tmp_path), prefix="t1_")
+    layers.ensure()
+    gold, raw = layers.table("gold", "things", "at"), layers.table("raw", "odd names")
+    raw.publish(raw.stage_refresh(frame([(1, "x")], "`a.b` int, `c d` string")))
+    gold.publish(gold.stage_delete_insert(frame([("a", day(1), 1), ("b", day(1, 2), 2), ("n", None, 3)]), "k"))
+    other = spark.newSession()
+    assert [tuple(r) for r in other.table("t1_raw.odd_names").collect()] == [(1, "x")]
+    before = other.table("t1_gold.things")
+    assert rows(before) == rows(gold.read())
+    staged = gold.stage_delete_insert(frame([("b", day(3, 2), "new")], "k string, at timestamp_ntz, w string"), "k")
+    assert rows(other.table("t1_gold.things")) == rows(before)
+    gold.publish(staged)
+    assert other.table("t1_gold.things").columns == ["k", "at", "v", "w"]
+    assert rows(other.table("t1_gold.things"), "k", "w") == [("a", None), ("b", "new"), ("n", None)]
+    for n in range(3):
+        gold.publish(gold.stage_delete_insert(frame([("a", day(4 + n), n)]), "k"))
+    gold.expire(keep=2)
+    held = [r.tableName for r in other.sql("SHOW TABLES IN t1_gold LIKE 'things__v*'").collect()]
+    assert sorted(h.split("_")[-2] for h in held) == ["v00000004", "v00000005"]
+    assert rows(other.table("t1_gold.things"), "k", "v") == [("a", 2), ("b", None), ("n", 3)]
+    # a session that knows nothing yet finds what is published
+    again = Layers(spark, str(tmp_path), prefix="t2_")
+    assert again.attach() == ["t2_gold.things", "t2_raw.odd_names"]
+    assert rows(spark.table("t2_gold.things"), "k", "v") == [("a", 2), ("b", None), ("n", 3)]
+
+
+def test_empty_table_of_the_catalog(spark, tmp_path, frame):
+    table = Layers(spark, str(tmp_path), prefix="t3_").table("gold", "none", "at")
+    table.publish(table.stage_delete_insert(frame([]), "k"))
+    assert spark.table("t3_gold.none").count() == 0
+
+
+def test_rows_since_a_time_come_from_few_months(spark, tmp_path, frame):
+    from tests.conftest import plan_of
+
+    table = Table(spark, str(tmp_path / "raw"), EVENT_AT)
+    data = [(f"k{m}-{d}", day(d, m), m) for m in range(1, 13) for d in (1, 20)] + [("n", None, 0)]
+    table.publish(table.stage_refresh(frame(data).withColumn(EVENT_AT, F.col("at"))))
+    assert table.read().columns == ["k", "at", "v"]
+    since = table.since(day(10, 11))
+    assert rows(since, "k") == [("k11-20",), ("k12-1",), ("k12-20",), ("n",)]
+    assert {f.split("_part=")[1].split("/")[0] for f in since.inputFiles()} == {"2022-11", "2022-12", "none"}
+    assert f"PushedFilters: [Or(GreaterThanOrEqual({EVENT_AT},2022-11-10T00:00),IsNull({EVENT_AT}))]" in plan_of(since)
