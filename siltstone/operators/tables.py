@@ -39,6 +39,9 @@ WHOLE = "all"
 MONTH = re.compile(r"\d{4}-\d{2}$")
 # A typed event time that is stored beside the rows and not shown to readers.
 EVENT_AT = "_event_at"
+# Keys of a batch up to which they are looked up by value: Parquet then skips row groups by their
+# Bloom filters. More keys are found by a join with the key column.
+FEW_KEYS = 2000
 # Folders of one month above which ``tidy`` merges them.
 MERGE_ABOVE = 4
 # A claim without a finished list is another writer at work, and after this a writer that died.
@@ -66,8 +69,17 @@ def quoted(name: str) -> str:
 
 
 class Table:
-    def __init__(self, spark: SparkSession, path: str, event_time: str | None = None, name: tuple[str, str] | None = None):
-        """``name`` is the table's (database, table) in the catalog."""
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        event_time: str | None = None,
+        name: tuple[str, str] | None = None,
+        key: str | None = None,
+    ):
+        """``name`` is the table's (database, table) in the catalog; ``key`` the column by which a batch
+        replaces rows, whose files get Bloom filters."""
+        self.key = key
         self.spark = spark
         self.path = path
         self.event_time = event_time
@@ -141,8 +153,10 @@ class Table:
     def _write(self, df: DataFrame, label: str) -> list[tuple[str, str]]:
         """Write new files; returns their parts."""
         run = f"data/{label}-{uuid.uuid4().hex}"
+        blooms = {f"parquet.bloom.filter.enabled#{self.key}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+        options = blooms if self.key in df.columns else {}
         if self.event_time is None:
-            df.write.parquet(f"{self.path}/{run}")
+            df.write.options(**options).parquet(f"{self.path}/{run}")
             return [(WHOLE, run)]
         # Few files per month: rows of a month are brought together first, and a month too
         # large for one task is split again by its size.
@@ -150,6 +164,7 @@ class Table:
             df.withColumn(PART, month_of(self.event_time))
             .hint("rebalance", PART)
             .write.partitionBy(PART)
+            .options(**options)
             .parquet(f"{self.path}/{run}")
         )
         names = [s.getPath().getName() for s in self._listing(run) if s.isDirectory()]
@@ -206,18 +221,28 @@ class Table:
         if staged.isEmpty():
             return Version(schema, old.parts, old.base)
         keys = staged.select(key).where(F.col(key).isNotNull()).distinct()
-        target = self.frame(old)
-        if self.event_time is None:
-            hit = {WHOLE}
-        else:
-            # one row per month
-            months = target.join(keys, key, "left_semi").select(month_of(self.event_time).alias("m")).distinct()
-            hit = {r.m for r in months.collect()}
+        hit = self._hit(old, keys, key)
         kept = [p for p in old.parts if p[0] not in hit]
         if hit:
             kept += self._write(without_keys(self.frame(old, hit), keys, key), "kept")
         return Version(schema, tuple(kept + batch_parts), old.base)
 
+    def with_keys(self, version: Version, keys: DataFrame, key: str) -> DataFrame:
+        """Rows of a version whose key is among ``keys`` (distinct, not null)."""
+        rows = self.frame(version)
+        # at most FEW_KEYS values reach the driver
+        few = [r[0] for r in keys.limit(FEW_KEYS + 1).collect()]
+        if len(few) <= FEW_KEYS and not isinstance(rows.schema[key].dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return rows.where(F.col(key).isin(few))
+        return rows.join(keys, key, "left_semi")
+
+    def _hit(self, old: Version, keys: DataFrame, key: str) -> set[str]:
+        """Parts that hold one of the keys."""
+        if self.event_time is None:
+            return {WHOLE}
+        months = self.with_keys(old, keys, key).select(month_of(self.event_time).alias("m")).distinct()
+        return {r.m for r in months.collect()}  # one row per month
+
     def stage_compacted(self, above: int = 1) -> Version:
         """The same rows with one directory again for months that have more than ``above``."""
         version = self.current()
@@ -399,8 +424,8 @@ class Layers:
         for layer in self.LAYERS:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(self.prefix + layer)}")
 
-    def table(self, layer: str, name: str, event_time: str | None = None) -> Table:
-        return Table(self.spark, f"{self.root}/{layer}/{name}", event_time, (self.prefix + layer, re.sub(r"\W", "_", name)))
+    def table(self, layer: str, name: str, event_time: str | None = None, key: str | None = None) -> Table:
+        return Table(self.spark, f"{self.root}/{layer}/{name}", event_time, key=key, name=(self.prefix + layer, re.sub(r"\W", "_", name)))
 
     def attach(self) -> list[str]:
         """Register every published table, for a session whose catalog does not know them yet."""

@@ -199,7 +199,7 @@ def stage_fact(
     A run after the first reads the raw months from the mark on, and of the other sides those the
     new rows can reach. Facts on facts, and facts that load nothing, are built from whole frames.
     """
-    table = layers.table("gold", fact.name, fact.event_time)
+    table = layers.table("gold", fact.name, fact.event_time, fact.key or None)
     if fact.loads is None:
         return table, table.stage_refresh(fact.build(frames, as_of))
     first_run = full_refresh or not table.exists()

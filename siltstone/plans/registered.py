@@ -537,7 +537,7 @@ def published_incremental(spark, sf):
     """Two published versions of a table: a first load, then delete-and-insert of a batch
     that replaces old rows, adds new ones and brings a new column."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
-    target = Table(spark, fresh_path(spark, "gold"), "o_orderdate")
+    target = Table(spark, fresh_path(spark, "gold"), "o_orderdate", key="o_orderkey")
     target.publish(target.stage_delete_insert(_before_cutoff(orders), "o_orderkey"))
     batch = _recalculated(orders).withColumn("o_band", risk_band(F.col("o_totalprice") / 250))
     target.publish(target.stage_delete_insert(batch, "o_orderkey"))

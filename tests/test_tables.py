@@ -260,3 +260,44 @@ def test_rows_since_a_time_come_from_few_months(spark, tmp_path, frame):
     assert rows(since, "k") == [("k11-20",), ("k12-1",), ("k12-20",), ("n",)]
     assert {f.split("_part=")[1].split("/")[0] for f in since.inputFiles()} == {"2022-11", "2022-12", "none"}
     assert f"PushedFilters: [Or(GreaterThanOrEqual({EVENT_AT},2022-11-10T00:00),IsNull({EVENT_AT}))]" in plan_of(since)
+
+
+def rows_scanned(df):
+    """Rows that the scan of a frame gave, once it has run."""
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        again = df.sparkSession.createDataFrame([], df.schema).unionByName(df)
+        again.collect()
+        scan, todo = 0, [again._jdf.queryExecution().executedPlan()]
+        while todo:
+            node = todo.pop()
+            if node.nodeName().startswith("Scan parquet"):
+                scan += node.metrics().apply("numOutputRows").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+        return scan
+    finally:
+        df.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_keys_skip_row_groups_by_bloom_filters(spark, tmp_path):
+    """Every month holds keys from the whole range, so only Bloom filters tell which has a key."""
+    n = F.col("id")
+    data = spark.range(24_000).select(
+        F.md5(n.cast("string")).alias("k"), F.make_timestamp_ntz(F.lit(2022), n % 12 + 1, F.lit(3), F.lit(0), F.lit(0), F.lit(0)).alias("at"), n.alias("v")
+    )
+    table = Table(spark, str(tmp_path / "fact"), "at", key="k")
+    table.publish(table.stage_full(data))
+    version = table.current()
+    absent = spark.range(15).select(F.md5((n + 10**6).cast("string")).alias("k"))
+    assert rows_scanned(table.with_keys(version, absent, "k")) <= 2000
+    present = spark.range(1).select(F.md5((n + 4).cast("string")).alias("k"))
+    found = table.with_keys(version, present, "k")
+    assert rows(found, "v") == [(4,)] and rows_scanned(found) <= 4000
+    before = dict(version.parts)
+    batch = present.select("k", F.lit(dt.datetime(2022, 12, 9)).cast("timestamp_ntz").alias("at"), F.lit(-1).cast("long").alias("v"))
+    staged = table.stage_delete_insert(batch, "k")
+    kept = dict(p for p in staged.parts if p[0] != "2022-12")
+    assert {m for m in before if m != "2022-12" and kept[m] != before[m]} == {"2022-05"}
+    # more keys than are looked up by value
+    many = spark.range(5_000).select(F.md5((n * 2).cast("string")).alias("k"))
+    assert table.with_keys(version, many, "k").count() == 5_000
