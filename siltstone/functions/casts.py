@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 DECIMAL = "decimal(38,18)"
 
-# Relative error up to which a double stands for the decimal it was written as.
-DOUBLE_STEP = 1e-15
+# Relative error up to which an exact number stands for the number that was read. Twelve digits are
+# kept of every number of a millionth or more, however many digits its text or double has.
+EXACT_STEP = 1e-12
 
 # A zone suffix counts only behind a time of day, so plain dates stay untouched.
 _ZONE_AFTER_TIME = r"(:\d{2}(?:\.\d+)?)\s*(?:[Zz]|UTC|[+-]\d{2}(?::?\d{2})?)$"
@@ -48,11 +49,12 @@ def to_bool(c: Column | str) -> Column:
 def to_decimal(c: Column | str, type_name: str = DECIMAL) -> Column:
     """Number or text to an exact number.
 
-    A value that would lose digits a double can tell apart fails instead of being rounded:
-    a mass of 1e-19 must not turn into 0.
+    Digits below the scale are rounded off as long as twelve are left; a value that would lose
+    more fails: a mass of 1e-19 must not turn into 0. The column is used several times, so pass
+    one that is computed already.
     """
     exact, double = _col(c).cast(type_name), _col(c).cast("double")
-    lost = F.abs(exact.cast("double") - double) > F.abs(double) * F.lit(DOUBLE_STEP)
+    lost = F.abs(exact.cast("double") - double) > F.abs(double) * F.lit(EXACT_STEP)
     message = F.concat(F.lit(f"more digits than {type_name} holds: "), _col(c).cast("string"))
     return F.when(lost, F.raise_error(message).cast(type_name)).otherwise(exact)
 

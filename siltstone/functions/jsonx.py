@@ -23,6 +23,18 @@ def first_element_key(json_text: Column | str, key: str) -> Column:
     return F.variant_get(F.parse_json(json_text), f"$[0].{key}", "string")
 
 
+def first_fields(df: DataFrame, json_column: str, **keys: str) -> DataFrame:
+    """The frame with a text column per ``name=key`` of element 0 of a JSON list of objects.
+
+    The list is parsed once for all of them. It goes through a generator of one row, which the
+    optimizer does not push filters through: a filter on a field would parse the list again.
+    """
+    shape = ", ".join(f"`{key}`: string" for key in keys.values())
+    first = F.try_variant_get(F.parse_json(json_column), "$[0]", f"struct<{shape}>")
+    parsed = df.select("*", F.explode_outer(F.array(first)).alias("_first"))
+    return parsed.select(*(F.col(f"`{c}`") for c in df.columns), *(F.col(f"_first.`{key}`").alias(name) for name, key in keys.items()))
+
+
 def elements_text(json_text: Column | str) -> Column:
     """JSON list to array of text; anything that is not a list raises."""
     return F.from_json(json_text, "array<string>", {"mode": "FAILFAST"})

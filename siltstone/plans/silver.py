@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.casts import to_bool, to_decimal, to_int, to_ntz, to_text
-from siltstone.functions.jsonx import first_element, first_element_key
+from siltstone.functions.jsonx import first_element, first_fields
 
 
 def launches(raw: DataFrame) -> DataFrame:
@@ -25,14 +25,15 @@ def launches(raw: DataFrame) -> DataFrame:
 
 
 def rockets(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    weighed = first_fields(raw, "payload_weights", _kg="kg")
+    return weighed.select(
         F.col("id").alias("rocket_id"),
         F.col("name").alias("rocket_name"),
         F.col("type").alias("rocket_type"),
         to_bool("active").alias("is_active"),
         to_decimal("cost_per_launch").alias("cost_per_launch_usd"),
         to_int("success_rate_pct").alias("success_rate_pct"),
-        to_decimal(first_element_key("payload_weights", "kg")).alias("max_payload_kg_leo"),
+        to_decimal("_kg").alias("max_payload_kg_leo"),
         F.col("ingestion_timestamp").alias("ingested_at"),
     )
 
@@ -64,16 +65,18 @@ def cores(raw: DataFrame) -> DataFrame:
 
 def solar_events(raw: DataFrame) -> DataFrame:
     """Only the first analysis of an event counts; events without a speed are dropped."""
-    flattened = raw.select(
+    analysed = first_fields(
+        raw, "cmeAnalyses", _speed="speed", _type="type", _half_angle="halfAngle", _accurate="isMostAccurate"
+    )
+    return analysed.where(F.col("_speed").isNotNull()).select(
         F.col("activityID").alias("activityid"),
         F.col("catalog").alias("catalog_source"),
         to_ntz("startTime").alias("event_at_utc"),
-        to_decimal(first_element_key("cmeAnalyses", "speed")).alias("speed_km_s"),
-        to_text(first_element_key("cmeAnalyses", "type")).alias("cme_type"),
-        to_decimal(first_element_key("cmeAnalyses", "halfAngle")).alias("half_angle"),
-        to_bool(first_element_key("cmeAnalyses", "isMostAccurate")).alias("is_most_accurate"),
+        to_decimal("_speed").alias("speed_km_s"),
+        to_text("_type").alias("cme_type"),
+        to_decimal("_half_angle").alias("half_angle"),
+        to_bool("_accurate").alias("is_most_accurate"),
         F.col("sourceLocation").alias("source_location"),
         F.col("note").alias("event_description"),
         F.col("ingestion_timestamp").alias("ingested_at"),
     )
-    return flattened.where(F.col("speed_km_s").isNotNull())

@@ -2,6 +2,7 @@ import datetime as dt
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from siltstone.functions import casts, exprs, jsonx
 
@@ -170,3 +171,21 @@ def test_months(spark):
 def test_null_aware_defaults(spark):
     assert one(spark, None, "long", exprs.zero_if_null) == 0
     assert one(spark, 3, "long", exprs.zero_if_null) == 3
+
+
+def test_ordinary_small_doubles_are_taken(spark):
+    assert str(one(spark, 1.2345678901234567e-05, "double", casts.to_decimal)) == "0.000012345678901235"
+    assert str(one(spark, 0.1 + 0.2, "double", casts.to_decimal)).startswith("0.30000000000000004")
+
+
+def test_fields_of_the_first_element(spark):
+    from siltstone.functions.jsonx import first_fields
+
+    texts = ['[{"k": 1.5, "m": [1]}, {"k": 2}]', "[]", '{"k": 1}', "[3]", '[{"k": null}]', None, '[{"m": {"x": "y"}}]', "7"]
+    df = spark.createDataFrame([(i, t, "kept") for i, t in enumerate(texts)], "i int, j string, `a.b` string")
+    out = first_fields(df, "j", key="k", _m="m")
+    assert out.columns == ["i", "j", "a.b", "key", "_m"]
+    got = {r.i: (r.key, r._m) for r in out.collect()}
+    assert got == {0: ("1.5", "[1]"), 1: (None, None), 2: (None, None), 3: (None, None), 4: (None, None), 5: (None, None), 6: (None, '{"x":"y"}'), 7: (None, None)}
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+        first_fields(df.select(F.lit("[{").alias("j")), "j", key="k").collect()

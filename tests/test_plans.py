@@ -43,6 +43,11 @@ def test_only_needed_columns_are_read(spark, name, schema):
     assert schema in plan(spark, name)
 
 
+@pytest.mark.parametrize("name", ["silver_solar_events", "silver_rockets"])
+def test_json_lists_are_parsed_once(spark, name):
+    assert plan(spark, name).count("parseJson") == 1
+
+
 def test_top_k_does_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in plan(spark, "top5_cheapest")
 
