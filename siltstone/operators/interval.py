@@ -26,8 +26,8 @@ from siltstone.session import require_utc
 # BLOCK_ROWS x BLOCK_ROWS rows for one key.
 BLOCK_ROWS = 4096
 
-# A cell of one level is made of 2**LEVEL_BITS cells of the level below; so many are kept together.
-LEVEL_BITS = 6
+# A cell of one level is made of 2**LEVEL_BITS cells of the level below.
+LEVEL_BITS = 4
 
 
 def _micros(delta: dt.timedelta) -> int:
@@ -220,12 +220,12 @@ def interval_aggregate(
     ``count``, ``sum``, ``max`` or ``min``. Returns distinct ``left_ts`` values that have
     at least one right row, with the aggregates.
 
-    The right side is summed up in time cells at several levels, each 64 times as wide as the one
-    below, and the occupied cells within a wider one are kept as a list of at most 64. A window is
-    cut into runs of cells: at each level one at its left end and one at its right end, each within one
-    wider cell, and what lies between is left to the next level. So a left time needs at most two
-    lookups a level (14 for a day in microseconds) however many rows its window holds, and no pair
-    is formed. All groupings combine before they shuffle, so a hot instant or day is no hot key.
+    The right side is summed up in time cells at several levels, each 16 times as wide as the one
+    below. A window is cut into runs of cells: at each level one at its left end and one at its
+    right end, each within one wider cell, and what lies between is left to the next level. So a left
+    time needs at most two lookups a level, each of which meets the at most 16 cells of a wider
+    one, however many rows its window holds: no pair is formed and no group is gathered. All
+    groupings combine before they shuffle, so a hot instant or day is no hot key.
     """
     require_utc(left.sparkSession)
     first = {"count": F.count, "sum": F.sum, "max": F.max, "min": F.min}
@@ -247,12 +247,6 @@ def interval_aggregate(
         .groupBy("_level", F.expr(f"shiftright(_u, {LEVEL_BITS} * _level)").alias("_cell"))
         .agg(*merged())
     )
-    kinds = {f.name: f.dataType for f in cells.schema.fields}
-    # at most 64 cells a list
-    lists = cells.groupBy("_level", F.shiftright("_cell", LEVEL_BITS).alias("_wide")).agg(
-        F.collect_list(F.struct("_cell", *aggregates)).alias("_cells")
-    )
-
     windows = (
         left.select(left_ts)
         .distinct()
@@ -276,19 +270,14 @@ def interval_aggregate(
     # where no wider cell is whole, the cells lie in one wide cell or on both sides of one border
     left_end = F.when(lo_up <= hi_up, lo_up).otherwise(hi)
     right_start = F.when(lo_up <= hi_up, hi_up).otherwise(hi)
-    if_any = F.filter(F.array(run(lo, left_end), run(right_start, hi)), lambda r: r["from"] < r["to"])
-    runs = windows.select(left_ts, "_level", F.explode(if_any).alias("_run")).select(
-        left_ts, "_level", F.shiftright("_run.from", LEVEL_BITS).alias("_wide"), "_run"
+    some = F.filter(F.array(run(lo, left_end), run(right_start, hi)), lambda r: r["from"] < r["to"])
+    runs = windows.select(left_ts, "_level", F.explode(some).alias("_run")).select(
+        left_ts,
+        "_level",
+        F.shiftright("_run.from", LEVEL_BITS).alias("_wide"),
+        F.col("_run.from").alias("_from"),
+        F.col("_run.to").alias("_to"),
     )
-
-    def total(name: str, fn: str) -> Column:
-        values = F.filter(F.transform("_met", lambda c: c[name]), lambda v: v.isNotNull())
-        if fn in ("max", "min"):
-            return F.array_max(values) if fn == "max" else F.array_min(values)
-        summed = F.aggregate(values, F.lit(0).cast(kinds[name]), lambda a, v: (a + v).cast(kinds[name]))
-        return F.when(F.size(values) > 0, summed)
-
-    inside = F.filter("_cells", lambda c: (c["_cell"] >= F.col("_run.from")) & (c["_cell"] < F.col("_run.to")))
-    met = runs.join(lists, ["_level", "_wide"]).select(left_ts, inside.alias("_met")).where(F.size("_met") > 0)
-    parts = met.select(left_ts, *(total(name, fn).alias(name) for name, (fn, _) in aggregates.items()))
-    return parts.groupBy(left_ts).agg(*merged())
+    wide = cells.withColumn("_wide", F.shiftright("_cell", LEVEL_BITS))
+    met = runs.join(wide, ["_level", "_wide"]).where((F.col("_cell") >= F.col("_from")) & (F.col("_cell") < F.col("_to")))
+    return met.groupBy(left_ts).agg(*merged())

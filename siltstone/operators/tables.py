@@ -218,29 +218,28 @@ class Table:
         schema = T.StructType(old.schema.fields + [f for f in columns if f.name not in known])
         batch_parts = self._write(cast, "batch")
         staged = self.frame(Version(schema, tuple(batch_parts)))
-        if staged.isEmpty():
+        size = staged.count()  # from the footers
+        if not size:
             return Version(schema, old.parts, old.base)
         keys = staged.select(key).where(F.col(key).isNotNull()).distinct()
-        hit = self._hit(old, keys, key)
+        hit = self._hit(old, keys, key, size)
         kept = [p for p in old.parts if p[0] not in hit]
         if hit:
             kept += self._write(without_keys(self.frame(old, hit), keys, key), "kept")
         return Version(schema, tuple(kept + batch_parts), old.base)
 
-    def with_keys(self, version: Version, keys: DataFrame, key: str) -> DataFrame:
-        """Rows of a version whose key is among ``keys`` (distinct, not null)."""
+    def with_keys(self, version: Version, keys: DataFrame, key: str, most: int) -> DataFrame:
+        """Rows of a version whose key is among ``keys`` (distinct, not null, at most ``most``)."""
         rows = self.frame(version)
-        # at most FEW_KEYS values reach the driver
-        few = [r[0] for r in keys.limit(FEW_KEYS + 1).collect()]
-        if len(few) <= FEW_KEYS and not isinstance(rows.schema[key].dataType, (T.ArrayType, T.MapType, T.StructType)):
-            return rows.where(F.col(key).isin(few))
+        if most <= FEW_KEYS and isinstance(rows.schema[key].dataType, T.AtomicType):
+            return rows.where(F.col(key).isin([r[0] for r in keys.collect()]))
         return rows.join(keys, key, "left_semi")
 
-    def _hit(self, old: Version, keys: DataFrame, key: str) -> set[str]:
+    def _hit(self, old: Version, keys: DataFrame, key: str, most: int) -> set[str]:
         """Parts that hold one of the keys."""
         if self.event_time is None:
             return {WHOLE}
-        months = self.with_keys(old, keys, key).select(month_of(self.event_time).alias("m")).distinct()
+        months = self.with_keys(old, keys, key, most).select(month_of(self.event_time).alias("m")).distinct()
         return {r.m for r in months.collect()}  # one row per month
 
     def stage_compacted(self, above: int = 1) -> Version:

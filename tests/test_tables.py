@@ -289,9 +289,9 @@ def test_keys_skip_row_groups_by_bloom_filters(spark, tmp_path):
     table.publish(table.stage_full(data))
     version = table.current()
     absent = spark.range(15).select(F.md5((n + 10**6).cast("string")).alias("k"))
-    assert rows_scanned(table.with_keys(version, absent, "k")) <= 2000
+    assert rows_scanned(table.with_keys(version, absent, "k", 15)) <= 2000
     present = spark.range(1).select(F.md5((n + 4).cast("string")).alias("k"))
-    found = table.with_keys(version, present, "k")
+    found = table.with_keys(version, present, "k", 1)
     assert rows(found, "v") == [(4,)] and rows_scanned(found) <= 4000
     before = dict(version.parts)
     batch = present.select("k", F.lit(dt.datetime(2022, 12, 9)).cast("timestamp_ntz").alias("at"), F.lit(-1).cast("long").alias("v"))
@@ -300,4 +300,4 @@ def test_keys_skip_row_groups_by_bloom_filters(spark, tmp_path):
     assert {m for m in before if m != "2022-12" and kept[m] != before[m]} == {"2022-05"}
     # more keys than are looked up by value
     many = spark.range(5_000).select(F.md5((n * 2).cast("string")).alias("k"))
-    assert table.with_keys(version, many, "k").count() == 5_000
+    assert table.with_keys(version, many, "k", 5_000).count() == 5_000
