@@ -239,14 +239,12 @@ def interval_aggregate(
         return [again[fn](name).alias(name) for name, (fn, _) in aggregates.items()]
 
     levels = F.explode(F.sequence(F.lit(0), F.lit(top)))
-    instants = right.groupBy(epoch_micros(right_ts).alias("_u")).agg(
-        *(first[fn](F.col(c)).alias(name) for name, (fn, c) in aggregates.items())
-    )
     cells = (
-        instants.withColumn("_level", levels)
+        right.select(epoch_micros(right_ts).alias("_u"), *(F.col(c).alias(name) for name, (_, c) in aggregates.items()), levels.alias("_level"))
         .groupBy("_level", F.expr(f"shiftright(_u, {LEVEL_BITS} * _level)").alias("_cell"))
-        .agg(*merged())
+        .agg(*(first[fn](name).alias(name) for name, (fn, _) in aggregates.items()))
     )
+
     windows = (
         left.select(left_ts)
         .distinct()

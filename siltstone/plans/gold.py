@@ -18,17 +18,18 @@ from siltstone.functions.exprs import (
     zero_if_null,
 )
 from siltstone.operators.interval import interval_aggregate, interval_join
-from siltstone.operators.unnest import element_sums
+from siltstone.operators.unnest import element_sums, element_values
 
 # The windows around a launch.
 RISK_LOOKBACK = dt.timedelta(hours=24)
 IMPACT_WINDOW = dt.timedelta(days=7)
 
 
-def solar_risk(launches: DataFrame, solar: DataFrame) -> DataFrame:
-    """Event count and top speed in the 24 hours up to a launch, per launch id.
+def launch_measures(launches: DataFrame, payloads: DataFrame, solar: DataFrame) -> DataFrame:
+    """Payload mass, and event count and top speed in the 24 hours up to a launch, per launch id.
 
-    Both are null for a launch without any event.
+    Masses of list elements and figures of launch times are tagged by their columns and meet in one
+    grouping, which combines before its shuffle. What a launch has none of is null.
     """
     windows = interval_aggregate(
         launches,
@@ -39,11 +40,13 @@ def solar_risk(launches: DataFrame, solar: DataFrame) -> DataFrame:
         after=dt.timedelta(0),
         aggregates={"_events": ("count", "activityid"), "_top_speed": ("max", "speed_km_s")},
     )
+    risk = launches.select("launch_id", "launch_at_utc").join(windows, "launch_at_utc").drop("launch_at_utc")
+    mass = element_values(launches, "payload_ids", ["launch_id"], payloads, "payload_id", "mass_kg", "inner")
     return (
-        launches.select("launch_id", "launch_at_utc")
-        .join(windows, "launch_at_utc", "left")
+        risk.unionByName(mass.withColumnRenamed("_value", "_mass"), allowMissingColumns=True)
         .groupBy("launch_id")
         .agg(
+            F.sum("_mass").alias("total_payload_mass_kg"),
             F.sum("_events").alias("solar_events_count"),
             F.max("_top_speed").alias("max_solar_speed_km_s"),
         )
@@ -55,15 +58,11 @@ def performance(
 ) -> DataFrame:
     """One row per successful launch with a known rocket."""
     base = launches.where(F.col("is_success") == F.lit(True))
-    mass = element_sums(
-        base, "payload_ids", ["launch_id"], payloads, "payload_id", "mass_kg", "total_payload_mass_kg", "left"
-    )
-    risk = solar_risk(base, solar)
+    measures = launch_measures(base, payloads, solar)
     return (
         base.select("launch_id", "launch_name", "launch_at_utc", "rocket_id")
         .join(rockets.select("rocket_id", "rocket_name", "cost_per_launch_usd"), "rocket_id")
-        .join(mass, "launch_id", "left")
-        .join(risk, "launch_id", "left")
+        .join(measures, "launch_id", "left")
         .select(
             "launch_id",
             "launch_name",
