@@ -244,6 +244,29 @@ def response_shapes(spark, sf):
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
+@query
+def datasource_responses(spark, sf):
+    """Orders landed as pages with their records below a path, one page a file, and read record by
+    record; a page without the path and a page with one object are among them."""
+    location = fresh_path(spark, "responses")
+    orders = table(spark, sf, "orders")
+    record = F.struct(
+        F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"), F.array("o_orderstatus").alias("tags"), "o_totalprice"
+    )
+    # a page holds at most a thousand of the unique keys
+    pages = orders.groupBy(F.expr("o_orderkey div 1000").alias("page")).agg(F.sort_array(F.collect_list(record)).alias("orders"))
+    last = orders.agg(F.max(record).alias("orders"))
+    bodies = [
+        pages.select(F.to_json(F.struct("page", F.struct("orders", F.lit(1).alias("more")).alias("data"))).alias("value")),
+        last.select(F.to_json(F.struct(F.struct("orders").alias("data"))).alias("value")),
+        last.select(F.to_json(F.struct(F.struct(F.array("orders").alias("others")).alias("data"))).alias("value")),
+    ]
+    for i, body in enumerate(bodies):
+        body.repartition(F.col("value")).write.option("maxRecordsPerFile", 1).text(f"{location}/{i}")
+    spec = DatasetSpec("pages", "id long, name string, tags string, o_totalprice double", json_path="data.orders", streamed=True)
+    return read_responses(spark, spec, location)
+
+
 # -- filters and joins ------------------------------------------------------------------
 
 

@@ -71,6 +71,8 @@ class DatasetSpec:
     # text column holding the event time, for datasets requested by window
     window_column: str | None = None
     json_lines: bool = False
+    # read files as streams of records instead of whole: for pages too large for one row
+    streamed: bool = False
     # text column by whose month the raw table is split
     event_column: str | None = None
 

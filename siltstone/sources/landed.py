@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from siltstone.functions.casts import to_ntz
 from siltstone.functions.exprs import within_days
 from siltstone.sources.catalog import DatasetSpec
+from siltstone.sources.responses import stream_responses
 
 
 def _record_list(body: Column, json_path: str) -> Column:
@@ -40,6 +41,8 @@ def read_responses(spark: SparkSession, spec: DatasetSpec, location: str) -> Dat
     list keeps the columns. Files other than JSON Lines are read by one task each, so land
     one response page per file. ``json_path`` bodies likewise.
     """
+    if spec.streamed:
+        return stream_responses(spark, location, spec.schema, spec.json_path)
     if spec.json_path:
         bodies = spark.read.text(location, wholetext=True)
         return records_at(bodies, "value", spec.json_path, spec.schema)

@@ -155,3 +155,63 @@ def test_contracts(spark):
     with pytest.raises(ValueError, match="no contract"):
         contract("unknown")
     assert set(CONTRACTS) == {"launches"}
+
+
+def streamed(text, path=""):
+    import io
+
+    from siltstone.sources.responses import records
+
+    return list(records(io.StringIO(text), tuple(p for p in path.split(".") if p)))
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 7, 1 << 16])
+def test_records_of_a_stream(monkeypatch, chunk):
+    from siltstone.sources import responses
+
+    monkeypatch.setattr(responses, "CHUNK", chunk)
+    assert streamed('[{"a": 1}, {"b": [2, "]"]} , 3 ]') == ['{"a": 1}', '{"b": [2, "]"]}', "3"]
+    assert streamed(' {"a": 1}\n{"a": 22}\n') == ['{"a": 1}', '{"a": 22}']
+    assert streamed("[ ]") == [] and streamed("") == [] and streamed("17") == [] and streamed("{}", "a") == []
+    body = '{"x": {"list": [9]}, "data": {"n": 12345, "list": [{"k": "\\"é"}, {"k": 2}]}, "y": null}'
+    assert streamed(body, "data.list") == ['{"k": "\\"é"}', '{"k": 2}']
+    assert streamed(body, "data") == ['{"n": 12345, "list": [{"k": "\\"é"}, {"k": 2}]}']
+    assert streamed(body, "data.n") == streamed(body, "data.n.z") == streamed(body, "nothing.at.all") == streamed("[1]", "a") == []
+    for broken in ('[{"a": 1}', '[{"a": 1} 2]', '{"a" 1}', "[nul]"):
+        with pytest.raises(ValueError):
+            streamed(broken, "a" if broken.startswith("{") else "")
+
+
+def test_a_large_page_is_read_record_by_record(spark, tmp_path):
+    """60 MB of records in one file: no row and no buffer as large as the page."""
+    from siltstone.sources import responses
+
+    page = tmp_path / "pages" / "one.json"
+    page.parent.mkdir()
+    with page.open("w") as out:
+        out.write('{"data": {"rows": [')
+        for i in range(6000):
+            out.write(("," if i else "") + json.dumps({"id": i, "text": f"é{i} " * 1500}, ensure_ascii=False))
+        out.write("]}}")
+    assert page.stat().st_size > 60_000_000
+    largest = 0
+    with page.open() as stream:
+        text = responses.JsonText(stream)
+        for _ in responses._below(text, ("data", "rows")):
+            largest = max(largest, len(text.text))
+    assert largest < 500_000
+    spec = DatasetSpec("pages", "id long, text string", json_path="data.rows", streamed=True)
+    found = LandedReader().read(spark, spec, str(tmp_path)).selectExpr("count(*)", "sum(id)", "max(length(text))").first()
+    assert tuple(found) == (6000, 5999 * 3000, 1500 * 6)
+
+
+def test_streamed_files_of_any_shape(spark, tmp_path):
+    shapes = {"a.json": '[{"id": 1, "tags": ["x"]}]', "b.json": '{"id": 2}\n{"id": 3}', "c.json": "[]", "_SUCCESS": "", "d.json": ""}
+    (tmp_path / "things").mkdir()
+    for name, body in shapes.items():
+        (tmp_path / "things" / name).write_text(body)
+    spec = DatasetSpec("things", "id long, tags string", streamed=True)
+    assert sorted(map(tuple, LandedReader().read(spark, spec, str(tmp_path)).collect())) == [(1, '["x"]'), (2, None), (3, None)]
+    (tmp_path / "things" / "e.json").write_text('[{"id": 4}')
+    with pytest.raises(Exception, match="malformed JSON|JSONDecodeError|Expecting"):
+        LandedReader().read(spark, spec, str(tmp_path)).collect()
