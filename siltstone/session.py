@@ -82,12 +82,6 @@ def work_dir(spark: SparkSession) -> str:
     return configured
 
 
-def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``checkpoint()`` usable where the cluster names no folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(work_dir(spark))
-
-
 def require_utc(spark: SparkSession) -> None:
     """Differences of timestamps without zone are exact only in a session without
     daylight saving."""
