@@ -17,9 +17,9 @@ The index is dealt by substring number and the leading bits of its value, in blo
 bounded size; a query travels to the parts its balls touch. A task returns the best `k` per
 query, never its candidates. A pair is ranked only under the first substring that meets it.
 
-Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
-those whose length is not the most common one. Ties go to the smaller id; a query's own id is
-no candidate. Repeated rows are candidates each. A query that met fewer than `k` looks again
+Vectors that are null, empty, zero or hold null or non-finite components take no part. Vectors of
+different lengths are searched apart from each other. Ties go to the smaller id; a query's own row
+is no candidate, but other rows of its id are. Repeated rows are queries and candidates each. A query that met fewer than `k` looks again
 with the largest radius, so all candidates are returned where there are fewer. An empty table gives no rows; extra columns do not matter.
 """
 
@@ -148,45 +148,54 @@ def search(
     """(query_id, rank, id, score): the `k` nearest found for each row where `queries` holds."""
     empty = "query_id long, rank int, id long, score double"
     rows = df.select(
-        df[id_col].cast("long").alias("id"), df[vector_col].cast("array<double>").alias("v"), F.coalesce(queries, F.lit(False)).alias("asks")
-    ).where(usable("v") & F.col("id").isNotNull())
-    rows = staged(rows, "mih-rows")
-    size = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    if not size:
-        return df.sparkSession.createDataFrame([], empty)
-    rows = rows.where(F.size("v") == size[0]["d"])
+        df[id_col].cast("long").alias("name"), df[vector_col].cast("array<double>").alias("v"), F.coalesce(queries, F.lit(False)).alias("asks")
+    ).where(usable("v") & F.col("name").isNotNull())
+    # rows are told apart by a number of their own, which is fixed once it is written
+    rows = staged(rows.withColumn("id", F.monotonically_increasing_id()), "mih-rows")
+    found = df.sparkSession.createDataFrame([], empty)
+    # one row per length of vectors
+    for d in sorted(r["d"] for r in rows.select(F.size("v").alias("d")).distinct().collect()):
+        alike = rows.where(F.size("v") == d)
+        if alike.where("asks").limit(1).count():
+            found = found.unionByName(search_alike(alike, k, rotations, sample_rows, calibration_queries, reach, block_rows))
+    return found
+
+
+def search_alike(
+    rows: DataFrame, k: int, rotations: int, sample_rows: int, calibration_queries: int, reach: float, block_rows: int
+) -> DataFrame:
+    """The search among rows (id, name, v, asks) whose vectors have one length."""
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     longest = rows.agg(F.max(length)).first()[0]
     coder = Coder(sample(rows, "v", sample_rows, 21), longest, rotations)
     asked = rows.where("asks").orderBy(F.xxhash64(F.lit(5), "id"), "id").limit(calibration_queries).select("id", "v").toPandas()
-    if asked.empty:
-        return df.sparkSession.createDataFrame([], empty)
     radius = radius_of(rows, coder, asked, k, reach)
 
     total = rows.count()
     bits = coder.width * rotations
     if total <= k + 1:
         radius = bits
-    asks = rows.where("asks").select("id", "v")
+    asks = rows.where("asks").select("id", "v", "name")
     found = staged(probe(rows, asks, coder, radius, k, total, block_rows), "mih-found")
     # whoever met too few looks again, without a limit to the distance
-    enough = found.groupBy("query_id").agg(F.count("*").alias("met")).where(F.col("met") >= min(k, total - 1))
-    short = staged(asks.join(enough, asks["id"] == enough["query_id"], "left_anti"), "mih-short")
+    enough = found.groupBy("asker").agg(F.count("*").alias("met")).where(F.col("met") >= min(k, total - 1))
+    short = staged(asks.join(enough, asks["id"] == enough["asker"], "left_anti"), "mih-short")
     if short.limit(1).count():
         again = probe(rows, short, coder, bits, k, total, block_rows)
-        found = found.join(short.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(again)
+        found = found.join(short.select(F.col("id").alias("asker")), "asker", "left_anti").unionByName(again)
     return found.select("query_id", "rank", "id", "score")
 
 
 def probe(rows: DataFrame, asks: DataFrame, coder: Coder, radius: int, k: int, total: int, block_rows: int) -> DataFrame:
-    """(query_id, rank, id, score): the best of all rows whose code is within `radius`."""
+    """(asker, query_id, rank, id, score): the best of all rows whose code is within `radius`; `asker`
+    is the number of the query's row, `query_id` and `id` are names."""
     parts = coder.width * len(coder.turns) // SUBSTRING_BITS
     each = np.array([radius // parts - (j > radius % parts) for j in range(parts)])
     used = [j for j in range(parts) if each[j] >= 0]
     lead = SUBSTRING_BITS - LEAD_BITS
     # leading bits that some value within the ball can have
     leads = {(j, v): sorted({w >> lead for w in range(256) if POPCOUNT[v ^ w] <= each[j]}) for j in used for v in range(256)}
-    schema = "part int, lead int, id long, code binary, v array<double>"
+    schema = "part int, lead int, id long, code binary, v array<double>, name long"
 
     def places(query: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,13 +213,13 @@ def probe(rows: DataFrame, asks: DataFrame, coder: Coder, radius: int, k: int, t
                 take = pa.array(row, pa.int64())
                 codes = pa.array([c.tobytes() for c in code], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part, pa.int32()), pa.array(first, pa.int32()), batch.column(0).take(take), codes.take(take), batch.column(1).take(take)],
-                    names=["part", "lead", "id", "code", "v"],
+                    [pa.array(part, pa.int32()), pa.array(first, pa.int32()), batch.column(0).take(take), codes.take(take), batch.column(1).take(take), batch.column(2).take(take)],
+                    names=["part", "lead", "id", "code", "v", "name"],
                 )
 
         return run
 
-    index = rows.select("id", "v").mapInArrow(places(False), schema)
+    index = rows.select("id", "v", "name").mapInArrow(places(False), schema)
     probes = asks.mapInArrow(places(True), schema)
     cuts = max(1, -(-total // (block_rows << LEAD_BITS)))
     query_cuts = max(1, -(-asks.count() // block_rows))
@@ -222,19 +231,20 @@ def probe(rows: DataFrame, asks: DataFrame, coder: Coder, radius: int, k: int, t
 
     def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({"query_id": [], "id": [], "score": []})
+            return pd.DataFrame({"asker": [], "query_id": [], "id": [], "score": []})
         return cell_best(a, b, int(a["part"].iloc[0]), each, radius, k)
 
-    found = probes.groupBy(*cell).cogroup(index.groupBy(*cell)).applyInPandas(meet, "query_id long, id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    found = probes.groupBy(*cell).cogroup(index.groupBy(*cell)).applyInPandas(meet, "asker long, query_id long, id long, score double")
+    order = Window.partitionBy("asker").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
+    return ranked.select("asker", "query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
 
 
 def cell_best(a: pd.DataFrame, b: pd.DataFrame, part: int, each: np.ndarray, radius: int, k: int) -> pd.DataFrame:
     """The best k candidates of one cell for each of its queries."""
     qx, qc, qid = np.stack(a["v"]), np.frombuffer(b"".join(a["code"]), np.uint8).reshape(len(a), -1), a["id"].to_numpy()
     x, code, ids = np.stack(b["v"]), np.frombuffer(b"".join(b["code"]), np.uint8).reshape(len(b), -1), b["id"].to_numpy()
+    asker, names = a["name"].to_numpy(), b["name"].to_numpy()
     words = -(-code.shape[1] // 8) * 8
     wide = np.zeros((len(code), words), np.uint8)
     wide[:, : code.shape[1]] = code
@@ -257,6 +267,6 @@ def cell_best(a: pd.DataFrame, b: pd.DataFrame, part: int, each: np.ndarray, rad
             at = at[~earlier.any(axis=1)]
         if len(at):
             score = inner(x[at], qx[i])
-            top = best(score, ids[at], k)
-            out += zip([int(qid[i])] * len(top), ids[at[top]].tolist(), score[top].tolist(), strict=True)
-    return pd.DataFrame(out, columns=["query_id", "id", "score"])
+            top = best(score, names[at], k)
+            out += zip([int(qid[i])] * len(top), [int(asker[i])] * len(top), names[at[top]].tolist(), score[top].tolist(), strict=True)
+    return pd.DataFrame(out, columns=["asker", "query_id", "id", "score"])

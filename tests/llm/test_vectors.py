@@ -85,6 +85,28 @@ def test_few_candidates_are_all_returned(spark):
     assert len(rows) == 3 * 11 and {r["rank"] for r in rows} == set(range(1, 12))
 
 
+def test_repeated_ids_and_two_lengths(spark):
+    """Rows of one id are queries and candidates of their own; each length is searched by itself."""
+    rng = np.random.default_rng(9)
+    rows = [(i if i % 3 else 5 * (i // 15), rng.normal(size=8 if i % 5 < 3 else 6).tolist()) for i in range(150)]
+    rows += [rows[0], rows[0], rows[1]]
+    df = spark.createDataFrame([(i, [float(x) for x in v], 0) for i, v in rows], "vec_id long, embedding array<double>, label int").repartition(4)
+    found = multi_index.search(df, F.col("vec_id") % 5 == 0, reach=1.0).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append((r["rank"], r["id"], round(r["score"], 9)))
+    want, exact = {}, 0
+    for at, (q, v) in enumerate(rows):
+        if q % 5 == 0:
+            scored = [(-float(np.dot(v, w)), i) for n, (i, w) in enumerate(rows) if n != at and len(w) == len(v)]
+            want.setdefault(q, []).extend((rank, i, round(-s, 9)) for rank, (s, i) in enumerate(sorted(scored)[:20], 1))
+    assert {q: len(p) for q, p in got.items()} == {q: len(p) for q, p in want.items()}
+    for q, pairs in want.items():
+        left = list(got[q])
+        exact += sum(p in left and not left.remove(p) for p in pairs)
+    assert exact >= 0.9 * sum(map(len, want.values()))
+
+
 def test_every_code_within_the_radius_is_met():
     rng = np.random.default_rng(6)
     code = rng.integers(0, 256, (500, 4)).astype(np.uint8)
@@ -92,7 +114,7 @@ def test_every_code_within_the_radius_is_met():
 
     for radius in (3, 6, 9):
         each = np.array([radius // 4 - (j > radius % 4) for j in range(4)])
-        table = pd.DataFrame({"id": np.arange(500), "code": [c.tobytes() for c in code], "v": list(np.ones((500, 2)))})
+        table = pd.DataFrame({"id": np.arange(500), "code": [c.tobytes() for c in code], "v": list(np.ones((500, 2))), "name": np.arange(500)})
         met = []
         for part in range(4):
             if each[part] >= 0:
