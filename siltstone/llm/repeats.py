@@ -11,10 +11,13 @@ is one segment too, however long, and counts as one segment per window.
 2. *Candidates*: an anchor that occurs once cannot be in a repeated window. Anchors are
    counted with map-side combining, and only segments whose anchor occurs again go on.
 3. *Texts*: candidate texts, one of each group of equal ones, meet their segments once.
-4. *Marks*: the operator's own method counts windows exactly within an anchor's bucket. An
-   anchor with very many segments would fill one task; its windows travel as 128-bit digests
-   instead, which combine before the shuffle, so a hot passage is spread and stays exact.
-5. *Results*: marked runs go back to their text, which is cut.
+4. *Strings*: the string that a segment's windows cover is named by its digest. Names are
+   counted with map-side combining: a string at several places repeats all its windows, and
+   one of its places stands for all, so a hot passage is one row of its anchor's bucket.
+5. *Marks*: the operator's own method counts windows exactly within a bucket. A bucket of very
+   many different strings is dealt again by a longer gram, which cuts its strings into shorter
+   runs of windows, and so on, at last by whole windows.
+6. *Results*: marked runs go back to their text, which is cut.
 
 A text that occurs more than once is repeated as a whole: all its windows are, and its
 copies need neither marks nor their text.
@@ -26,7 +29,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.llm.common import (
-    POWERS,
+    BASE,
     gram_hash,
     mix,
     prefix_hash,
@@ -46,8 +50,8 @@ from siltstone.llm.common import (
     words_by_text,
 )
 
-# Segments of one anchor that a task takes together; windows of others travel as digests.
-HOT = 20_000
+# Different strings of one bucket that a task takes together; a larger bucket is dealt again.
+BUCKET = 4096
 # Windows of a run that travel as one string, and bytes of strings that travel together.
 RUN_WINDOWS, BODY_BYTES = 1 << 14, 1 << 18
 # Windows that one sorting step takes together.
@@ -62,6 +66,11 @@ class Windows:
     length: int
     gram: int
 
+    @property
+    def next(self) -> Windows:
+        """The same windows with a gram half as far from the whole window."""
+        return replace(self, gram=self.gram + (self.length - self.gram + 1) // 2)
+
     @property
     def most(self) -> int:
         """Windows that can share an anchor at one place; a segment of more is a run."""
@@ -185,11 +194,11 @@ def profile(df: DataFrame, keep: list[str], text_col: str, w: Windows) -> DataFr
 
 
 def candidates(rows: DataFrame, w: Windows) -> DataFrame:
-    """(tid, anchor, first, count, hot) of segments whose anchor occurs again, also in a run."""
+    """(tid, anchor, first, count) of segments whose anchor occurs again, also in a run."""
     each = rows.select("tid", F.explode("segments").alias("s")).select("tid", "s.*")
     places = F.when(F.col("count") > w.most, F.col("count")).otherwise(1)
     again = each.groupBy("anchor").agg(F.sum(places).alias("n")).where("n > 1")
-    return each.join(again, "anchor").select("tid", "anchor", "first", "count", (F.col("n") > HOT).alias("hot"))
+    return each.join(again, "anchor").select("tid", "anchor", "first", "count")
 
 
 def candidate_texts(df: DataFrame, id_col: str, text_col: str, rows: DataFrame, w: Windows) -> DataFrame:
@@ -198,7 +207,7 @@ def candidate_texts(df: DataFrame, id_col: str, text_col: str, rows: DataFrame,
     Of equal texts the row with the smallest id stands for all; rows that are equal in the
     id too all stay, which only makes their windows repeat, as they do.
     """
-    grouped = candidates(rows, w).groupBy("tid").agg(F.collect_set(F.struct("first", "count", "anchor", "hot")).alias("segments"))
+    grouped = candidates(rows, w).groupBy("tid").agg(F.collect_set(F.struct("first", "count", "anchor")).alias("segments"))
     classes = rows.groupBy("tid").agg(F.count("*").alias("copies"), F.min(id_col).alias("rep"))
     text = F.coalesce(df[text_col], F.lit(""))
     texts = df.select(F.unhex(F.md5(text.cast("binary"))).alias("tid"), df[id_col].alias("id"), text.alias("text"))
@@ -206,52 +215,92 @@ def candidate_texts(df: DataFrame, id_col: str, text_col: str, rows: DataFrame,
     return chosen.select("tid", "copies", "text", "segments")
 
 
-def packing_of(w: Windows, hot: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Batches (tid, text, segments) to (anchor, tid, first, body): the units that a segment's
-    windows cover, as one string, and a long run's in several. Words are joined by one space."""
+# -- strings ----------------------------------------------------------------------------
+
+# A place: the windows first, first + 1, ... of a text that one string covers.
+PLACE = "anchor long, name binary, tid binary, first int, count int"
+
+
+class Strings:
+    """Strings on their way out of a task, in batches of bounded size."""
+
+    def __init__(self, w: Windows, bodies: bool) -> None:
+        self.w, self.bodies = w, bodies
+        self.clear()
+
+    def clear(self) -> None:
+        self.out: list[list] = [[], [], [], [], [], []]
+        self.size = 0
+
+    def cut(self, units: list[bytes] | bytes, anchor: int, tid: bytes, first: int, count: int, base: int) -> Iterator[pa.RecordBatch]:
+        """The string of windows [first, first + count) of `units`, a long run's in several;
+        `base` is the place of `units` in the text. Words are joined by one space."""
+        for lo in range(first, first + count, RUN_WINDOWS):
+            n = min(RUN_WINDOWS, first + count - lo)
+            body = units[lo : lo + n + self.w.length - 1]
+            body = b" ".join(body) if self.w.unit == "word" else body
+            name = hashlib.md5(body, usedforsecurity=False).digest()
+            for values, value in zip(self.out, (anchor, name, tid, base + lo, n, body if self.bodies else b""), strict=True):
+                values.append(value)
+            self.size += len(body)
+            if self.size >= BODY_BYTES:
+                yield self.batch()
+
+    def batch(self) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
+        names = ["anchor", "name", "tid", "first", "count", "body"]
+        columns = [pa.array(c, k) for c, k in zip(self.out, kinds, strict=True)]
+        keep = 6 if self.bodies else 5
+        self.clear()
+        return pa.RecordBatch.from_arrays(columns[:keep], names=names[:keep])
+
+
+def units_of(raw: bytes, w: Windows) -> list[bytes] | bytes:
+    return raw.split() if w.unit == "word" else raw
+
 
-    def emitted(out: list[list]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["anchor", "tid", "first", "body"])
+def strings(texts: DataFrame, w: Windows, bodies: bool) -> DataFrame:
+    """A row per place of the segments of (tid, text, segments); with its string where `bodies`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Strings(w, bodies)
         for batch in batches:
-            tids = batch.column(0).to_pylist()
             raw, offsets = text_spans(batch.column(1))
             stops = np.cumsum(batch.column(2).value_lengths().to_numpy(zero_copy_only=False))
             flat = batch.column(2).flatten()
-            column = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("first", "count", "anchor", "hot")}
-            out: list[list] = [[], [], [], []]
-            size = 0
-            for i, tid in enumerate(tids):
-                part = raw[offsets[i] : offsets[i + 1]].tobytes()
-                units = part.split() if w.unit == "word" else part
-                begin = stops[i - 1] if i else 0
-                for at in np.flatnonzero(column["hot"][begin : stops[i]] == hot) + begin:
-                    first, anchor = int(column["first"][at]), int(column["anchor"][at])
-                    end = first + int(column["count"][at])
-                    for lo in range(first, end, RUN_WINDOWS):
-                        body = units[lo : min(lo + RUN_WINDOWS, end) + w.length - 1]
-                        row = (anchor, tid, lo, b" ".join(body) if w.unit == "word" else body)
-                        for values, value in zip(out, row, strict=True):
-                            values.append(value)
-                        size += len(row[-1])
-                        if size >= BODY_BYTES:
-                            yield emitted(out)
-                            out, size = [[], [], [], []], 0
-            yield emitted(out)
+            first, count, anchor = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("first", "count", "anchor"))
+            for i, tid in enumerate(batch.column(0).to_pylist()):
+                units = units_of(raw[offsets[i] : offsets[i + 1]].tobytes(), w)
+                for at in range(stops[i - 1] if i else 0, stops[i]):
+                    yield from out.cut(units, int(anchor[at]), tid, int(first[at]), int(count[at]), 0)
+            yield out.batch()
 
-    return run
+    return texts.select("tid", "text", "segments").mapInArrow(run, PLACE + (", body binary" if bodies else ""))
 
 
-def with_segments(texts: DataFrame, hot: bool) -> DataFrame:
-    chosen = texts.select("tid", "text", F.filter("segments", lambda s: s["hot"] == F.lit(hot)).alias("segments"))
-    return chosen.where(F.size("segments") > 0)
+def dealt_again(rows: DataFrame, w: Windows, bodies: bool) -> DataFrame:
+    """A row per place of the segments that `w` cuts the strings (anchor, tid, first, body) into.
 
+    The new bucket is that of the old anchor and the new one: equal windows share both.
+    """
 
-def packed_segments(texts: DataFrame, w: Windows) -> DataFrame:
-    schema = "anchor long, tid binary, first int, body binary"
-    return with_segments(texts, False).mapInArrow(packing_of(w, False), schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Strings(w, bodies)
+        for batch in batches:
+            for anchor, tid, base, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                raw = np.frombuffer(body, np.uint8)
+                values = raw
+                if w.unit == "word":
+                    starts, stops, _ = words_by_text(raw, np.array([0, len(raw)]))
+                    values = span_hash(prefix_hash(raw), starts, stops)
+                _, first, count, _, new = segments_of(values, np.array([0, len(values)]), w)
+                both = mix(new + np.array([anchor], np.int64).view(np.uint64) * np.uint64(BASE)).view(np.int64)
+                units = units_of(body, w)
+                for key, lo, n in zip(both.tolist(), first.tolist(), count.tolist(), strict=True):
+                    yield from out.cut(units, key, tid, lo, n, base)
+            yield out.batch()
+
+    return rows.select("anchor", "tid", "first", "body").mapInArrow(run, PLACE + (", body binary" if bodies else ""))
 
 
 # -- marks ------------------------------------------------------------------------------
@@ -261,6 +310,39 @@ MARKS = "tid binary, first int, stop int"
 Counter = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
+def marks_of_strings(texts: DataFrame, w: Windows, repeated: Counter, label: str) -> DataFrame:
+    """Runs of windows [first, stop) of the texts that are repeated.
+
+    Each round counts strings of a bucket by name. Those at several places are marked there;
+    where a bucket has different strings, or a run, one place of each goes to the bucket's task,
+    or, from a bucket of more than BUCKET strings, to the next round.
+    """
+    made = lambda bodies: strings(texts, w, bodies)
+    found: list[DataFrame] = []
+    while True:
+        places = staged(made(False), f"{label}-places")
+        by_name = places.groupBy("anchor", "name").agg(
+            F.count("*").alias("n"), F.min(F.struct("tid", "first")).alias("one"), F.first("count").alias("count")
+        )
+        buckets = by_name.groupBy("anchor").agg(F.count("*").alias("m"))
+        known = by_name.join(buckets, "anchor").where((F.col("n") > 1) | (F.col("m") > 1) | (F.col("count") > w.most))
+        known = staged(known.select("anchor", "name", "n", "m", "one"), f"{label}-names")
+        several = known.where("n > 1").select("anchor", "name")
+        stop = (F.col("first") + F.col("count")).alias("stop")
+        found.append(places.join(several, ["anchor", "name"]).select("tid", "first", stop))
+        ones = known.where((F.col("m") > 1) | (F.col("n") == 1)).select("one.tid", "one.first", "m")
+        # strings of a bucket of whole windows are equal, or runs of one unit in different lengths
+        whole = w.gram == w.length
+        small = made(True).join(ones.where((F.col("m") <= BUCKET) | F.lit(whole)).drop("m"), ["tid", "first"])
+        found.append(bucket_marks(small.select("anchor", "tid", "first", "body"), w, repeated))
+        large = ones.where(F.col("m") > BUCKET).drop("m")
+        if whole or large.isEmpty():
+            break
+        rows, w = staged(made(True).join(large, ["tid", "first"]), f"{label}-large"), w.next
+        made = partial(dealt_again, rows, w)
+    return reduce(DataFrame.unionByName, found)
+
+
 def bucket_marks(packed: DataFrame, w: Windows, repeated: Counter) -> DataFrame:
     """Runs of windows [first, stop) that are repeated, found within each anchor's bucket.
 
@@ -356,65 +438,6 @@ def sorted_marks(todo: list[tuple], w: Windows, repeated: Counter) -> list[tuple
     ]
 
 
-def digest_marks(texts: DataFrame, w: Windows) -> DataFrame:
-    """Repeated windows of anchors with very many segments, by 128-bit digests of windows.
-
-    Digests are counted by a grouping that combines before its shuffle, so it does not
-    matter how many windows are equal or share an anchor.
-    """
-
-    pack = packing_of(w, True)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pack(batches):
-            out: list[list] = [[], [], [], []]
-            for _, tid, first, body in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if w.unit == "word":
-                    raw = np.frombuffer(body, np.uint8)
-                    starts, stops, _ = words_by_text(raw, np.array([0, len(raw)]))
-                    values = span_hash(prefix_hash(raw), starts, stops)
-                else:
-                    values = np.frombuffer(body, np.uint8)
-                a = gram_hash(values, w.length)
-                b = gram_hash(mix(values.astype(np.uint64) + np.uint64(0x5851F42D4C957F2D)), w.length)
-                out[0].append(a.view(np.int64))
-                out[1].append(b.view(np.int64))
-                out[2] += [tid] * len(a)
-                out[3].append((np.arange(len(a)) + first).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([np.zeros(0, np.int64), *out[0]])),
-                    pa.array(np.concatenate([np.zeros(0, np.int64), *out[1]])),
-                    pa.array(out[2], pa.binary()),
-                    pa.array(np.concatenate([np.zeros(0, np.int32), *out[3]])),
-                ],
-                names=["a", "b", "tid", "first"],
-            )
-
-    each = with_segments(texts, True).mapInArrow(run, "a long, b long, tid binary, first int")
-    again = each.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    # 64 neighbouring windows are one number, so a text's marks do not grow with its windows
-    bit = F.expr("shiftleft(1L, first % 64)")
-    blocks = each.join(again, ["a", "b"]).groupBy("tid", F.expr("first div 64").alias("block")).agg(F.bit_or(bit).alias("bits"))
-    return blocks.mapInArrow(block_runs, MARKS)
-
-
-def block_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(tid, block, bits) to the runs of set bits."""
-    for batch in batches:
-        bits = batch.column(2).to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8)
-        edge = np.zeros((len(bits), 66), np.int8)
-        edge[:, 1:-1] = np.unpackbits(bits, axis=1, bitorder="little")
-        turn = np.diff(edge, axis=1)
-        row, first = np.nonzero(turn == 1)
-        stop = np.nonzero(turn == -1)[1]
-        base = batch.column(1).to_numpy()[row] * 64
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(row)), pa.array((base + first).astype(np.int32)), pa.array((base + stop).astype(np.int32))],
-            names=["tid", "first", "stop"],
-        )
-
-
 # -- results ----------------------------------------------------------------------------
 
 
@@ -477,7 +500,7 @@ def remove_repeats(df: DataFrame, keep: list[str], text_col: str, w: Windows, re
     """
     rows = staged(profile(df, keep, text_col, w), f"{label}-profile")
     texts = staged(candidate_texts(df, keep[0], text_col, rows, w), f"{label}-texts")
-    marks = bucket_marks(packed_segments(texts, w), w, repeated).unionByName(digest_marks(texts, w))
+    marks = marks_of_strings(texts, w, repeated, label)
     alone = texts.where("copies = 1").select("tid", "text")
     spanned = alone.join(spans_of(marks, w), "tid").select("tid", "text", "spans")
     cuts = cut_texts(spanned, w).withColumn("cut_sha", F.sha2("kept", 256))
@@ -499,5 +522,3 @@ def remove_repeats(df: DataFrame, keep: list[str], text_col: str, w: Windows, re
         )
     )
 
-
-__all__ = ["POWERS", "Windows", "remove_repeats"]

@@ -2,7 +2,6 @@ import hashlib
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 from siltstone.llm import repeats, suffix_radix, superkmer
@@ -39,9 +38,9 @@ def sample_texts(seed=3):
     return texts
 
 
-@pytest.mark.parametrize("hot", [20_000, 3])
-def test_both_operators_equal_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(repeats, "HOT", hot)  # 3: most anchors go through window digests
+@pytest.mark.parametrize("bucket", [4096, 2])
+def test_both_operators_equal_brute_force(spark, monkeypatch, bucket):
+    monkeypatch.setattr(repeats, "BUCKET", bucket)  # 2: buckets are dealt again, several times
     texts = sample_texts()
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for unit, length, gram, run in (
@@ -65,9 +64,9 @@ def run_texts():
     return ["a" * 7000, f"x{words}{'a' * 300}", "abc " * 900 + words, f"{'ab ' * 400}y {words} {'ab ' * 400}", "z" * 61, "q" * 60, "0" * 159 + "1"]
 
 
-@pytest.mark.parametrize("hot", [20_000, 3])
-def test_runs_equal_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(repeats, "HOT", hot)
+@pytest.mark.parametrize("bucket", [4096, 2])
+def test_runs_equal_brute_force(spark, monkeypatch, bucket):
+    monkeypatch.setattr(repeats, "BUCKET", bucket)
     texts = run_texts()
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for unit, length, gram, run in (
@@ -83,12 +82,37 @@ def test_a_run_is_few_segments_and_travels_in_steps():
     w = repeats.Windows("byte", 200, 40)
     text, first, count, _, anchor = repeats.segments_of(np.full(size, 32, np.uint8), np.array([0, size]), w)
     assert len(text) <= 12 and count.sum() == size - 199
-    segments = [{"first": f, "count": c, "anchor": a, "hot": True} for f, c, a in zip(first.tolist(), count.tolist(), anchor.view(np.int64).tolist(), strict=True)]
-    kind = pa.list_(pa.struct([("first", pa.int32()), ("count", pa.int32()), ("anchor", pa.int64()), ("hot", pa.bool_())]))
-    batch = pa.RecordBatch.from_arrays([pa.array([b"t"]), pa.array([" " * size]), pa.array([segments], kind)], names=["tid", "text", "segments"])
-    parts = list(repeats.packing_of(w, True)([batch]))
+    out = repeats.Strings(w, True)
+    parts = [p for f, c, a in zip(first.tolist(), count.tolist(), anchor.view(np.int64).tolist(), strict=True) for p in out.cut(b" " * size, a, b"t", f, c, 0)]
+    parts.append(out.batch())
     assert max(p.nbytes for p in parts) < 400_000
-    assert sum(len(b.as_py()) - 199 for p in parts for b in p.column(3)) == size - 199
+    assert sum(len(b.as_py()) - 199 for p in parts for b in p.column(5)) == size - 199
+
+
+def test_a_passage_in_many_near_copies(spark, monkeypatch):
+    """One passage between different words: its inner strings are one row each, the buckets of
+    its edges are larger than a task takes and are dealt again."""
+    monkeypatch.setattr(repeats, "BUCKET", 50)
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(400)]
+    passage = " ".join(rng.choice(words, 30))
+    texts = [f"{' '.join(rng.choice(words, 20))} {passage} {' '.join(rng.choice(words, 20))}" for _ in range(1500)]
+    texts += [f"{passage[:80]} {' '.join(rng.choice(words, 20))}" for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for unit, length, gram, run in (
+        ("word", 10, 4, superkmer.remove_repeated_windows),
+        ("byte", 60, 12, suffix_radix.remove_repeated_bytes),
+    ):
+        got = {r["doc_id"]: (r["n_units"], r["n_removed"], r["n_spans"], r["sha"]) for r in run(df, length=length, gram=gram).collect()}
+        assert got == dict(enumerate(brute(texts, unit, length)))
+
+
+def test_grams_grow_to_the_whole_window():
+    w, grams = repeats.Windows("byte", 200, 40), []
+    while w.gram < w.length:
+        w = w.next
+        grams.append(w.gram)
+    assert grams == [120, 160, 180, 190, 195, 198, 199, 200]
 
 
 def test_anchor_depends_on_the_window_alone():
