@@ -317,7 +317,7 @@ def marks_of_strings(texts: DataFrame, w: Windows, repeated: Counter, label: str
     where a bucket has different strings, or a run, one place of each goes to the bucket's task,
     or, from a bucket of more than BUCKET strings, to the next round.
     """
-    made = lambda bodies: strings(texts, w, bodies)
+    made = partial(strings, texts, w)
     found: list[DataFrame] = []
     while True:
         places = staged(made(False), f"{label}-places")
@@ -330,16 +330,18 @@ def marks_of_strings(texts: DataFrame, w: Windows, repeated: Counter, label: str
         several = known.where("n > 1").select("anchor", "name")
         stop = (F.col("first") + F.col("count")).alias("stop")
         found.append(places.join(several, ["anchor", "name"]).select("tid", "first", stop))
-        ones = known.where((F.col("m") > 1) | (F.col("n") == 1)).select("one.tid", "one.first", "m")
         # strings of a bucket of whole windows are equal, or runs of one unit in different lengths
-        whole = w.gram == w.length
-        small = made(True).join(ones.where((F.col("m") <= BUCKET) | F.lit(whole)).drop("m"), ["tid", "first"])
-        found.append(bucket_marks(small.select("anchor", "tid", "first", "body"), w, repeated))
-        large = ones.where(F.col("m") > BUCKET).drop("m")
-        if whole or large.isEmpty():
+        large = (F.col("m") > BUCKET) & F.lit(w.gram < w.length)
+        ones = known.where((F.col("m") > 1) | (F.col("n") == 1)).select("one.tid", "one.first", large.alias("large"))
+        ones = made(True).join(ones, ["tid", "first"]).select("anchor", "tid", "first", "body", "large")
+        again = not known.where(large).isEmpty()
+        if again:
+            ones = staged(ones, f"{label}-strings")
+        found.append(bucket_marks(ones.where("not large").drop("large"), w, repeated))
+        if not again:
             break
-        rows, w = staged(made(True).join(large, ["tid", "first"]), f"{label}-large"), w.next
-        made = partial(dealt_again, rows, w)
+        w = w.next
+        made = partial(dealt_again, ones.where("large"), w)
     return reduce(DataFrame.unionByName, found)
 
 
