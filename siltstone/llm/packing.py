@@ -12,6 +12,7 @@ remainder, and remainders wait in a pool of bounded size. No shuffle, no large s
 hot source or group of copies is spread as the input is. Partitions are deterministic for
 files; after a shuffle, stage the rows first.
 
+The string of an added token in a text is that token, as the tokenizer's own library has it.
 Null or empty texts are examples without tokens (with a separator: one token). Repeated rows
 are packed each on their own. An empty table gives no rows. Other columns do not matter,
 whatever their names.
@@ -203,10 +204,12 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 @lru_cache(maxsize=2)
 def encoder(ranks_file: str, exact_file: str) -> Callable[[str], list[int]]:
-    """Text to ids of the byte-level vocabulary; both files hold the same vocabulary.
+    """Text to the ids that the library of `exact_file` gives; both files hold the same
+    vocabulary.
 
-    The rank file's library is several times faster; it gives up on some very long runs of
-    one kind of character, and there the other one takes over.
+    The rank file's library is several times faster, but does not know the strings of added
+    tokens (such as the end of a text) and gives up on some very long runs of one kind of
+    character: there the exact one takes over.
     """
     import public_tokenizers
     import tiktoken
@@ -215,18 +218,18 @@ def encoder(ranks_file: str, exact_file: str) -> Callable[[str], list[int]]:
     with open(ranks_file, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    exact: list = []
+    exact = Tokenizer.from_file(exact_file)
+    added = [t.content for t in exact.get_added_tokens_decoder().values()]
 
     def encode(text: str) -> list[int]:
-        try:
-            return fast.encode_ordinary(text)
-        except (KeyboardInterrupt, SystemExit, MemoryError):
-            raise
-        except BaseException:  # the library panics with a class of its own
-            if not exact:
-                exact.append(Tokenizer.from_file(exact_file))
-                exact[0].encode_special_tokens = True
-            return exact[0].encode(text, add_special_tokens=False).ids
+        if not any(a in text for a in added):
+            try:
+                return fast.encode_ordinary(text)
+            except (KeyboardInterrupt, SystemExit, MemoryError):
+                raise
+            except BaseException:  # the library panics with a class of its own
+                pass
+        return exact.encode(text, add_special_tokens=False).ids
 
     return encode
 

@@ -91,3 +91,15 @@ def test_odd_rows_and_no_rows(spark):
     assert sum(r["length"] for r in by_row[1]) == 1 and len(by_row[4]) >= 2 and None in by_row
     check_sequences(by_sequence, 1024, packing.MAX_SEGMENTS, 1024)
     assert packing.pack_texts(no_rows(spark)).count() == 0
+
+
+def test_ids_of_special_strings_are_the_tokenizer_s_own(spark):
+    texts = ["<|endoftext|>", "a <|endoftext|> b<|endoftext|><|endoftext|>", "<|endoftext", "été <|endoftext|>\n" * 40, None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    by_row, by_sequence = pieces_of(packing.pack_texts(df, max_tokens=64).collect())
+    exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for i, text in enumerate(texts):
+        ids = np.array([*exact.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        assert b"".join(bytes(r["ids"]) for r in sorted(by_row[i], key=lambda r: r["start"])) == ids.tobytes()
+    assert np.frombuffer(by_row[0][0]["ids"], "<u4").tolist() == [50256, 0]
+    check_sequences(by_sequence, 64, packing.MAX_SEGMENTS, 64)
