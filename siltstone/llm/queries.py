@@ -101,7 +101,8 @@ def op3_suffix(spark, sf):
 def op4_mixing(spark, sf):
     docs = read(spark, sf, "documents")
     taken, sources = mixing.mix(docs, "doc_id", F.array("source"))
-    return taken.join(F.broadcast(sources), F.col("sources")[0].eqNullSafe(F.col("source"))).select(
+    rows = mixing.one_row_each(taken)
+    return rows.join(sources, F.col("sources")[0].eqNullSafe(F.col("source"))).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"
     )
 
@@ -174,7 +175,7 @@ def op13_ptolemaic(spark, sf):
 _SQL["op4_mixing"] = """
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         md5('17:' || coalesce(doc_id::VARCHAR, '')) AS digest
+         md5('17:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS digest
   FROM documents
 ), s AS (
   SELECT source, sum(size)::DOUBLE AS source_size,

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -37,12 +39,17 @@ def test_flow_reads_before_it_repeats():
     assert flows[1][1] == 5
 
 
+def mixed(df, **options):
+    entries, sources = mixing.mix(df, "doc_id", F.array("source"), **options)
+    return mixing.one_row_each(entries), sources
+
+
 def test_documents_meet_their_flow(spark):
     rng = np.random.default_rng(1)
     rows = [(i, " ".join(["w"] * int(rng.integers(0, 60))), rng.choice(["a", "b", "c", None], p=[0.7, 0.1, 0.1, 0.1])) for i in range(600)]
     df = spark.createDataFrame([(i, t, None if s is None else str(s)) for i, t, s in rows], "doc_id long, text string, source string")
-    taken, sources = mixing.mix(df, "doc_id", F.array("source"))
-    again, _ = mixing.mix(df.repartition(7), "doc_id", F.array("source"))
+    taken, sources = mixed(df)
+    again, _ = mixed(df.repartition(7))
     got = {r["id"]: r for r in taken.collect()}
     assert {i: r["taken"] for i, r in got.items()} == {r["id"]: r["taken"] for r in again.collect()}
     for s in sources.collect():
@@ -55,13 +62,69 @@ def test_documents_meet_their_flow(spark):
 
 def test_ranges_do_not_change_the_choice(spark, monkeypatch):
     df = spark.createDataFrame([(i, "w " * (i % 9 + 1), "ab"[i % 2]) for i in range(300)], "doc_id long, text string, source string")
-    whole = {r["id"]: r["taken"] for r in mixing.mix(df, "doc_id", F.array("source"))[0].collect()}
+    whole = {r["id"]: r["taken"] for r in mixed(df)[0].collect()}
     monkeypatch.setattr(mixing, "RANGE_ROWS", 10)
-    assert whole == {r["id"]: r["taken"] for r in mixing.mix(df, "doc_id", F.array("source"))[0].collect()}
+    assert whole == {r["id"]: r["taken"] for r in mixed(df)[0].collect()}
 
 
 def test_odd_rows_and_no_rows(spark):
-    rows = mixing.mix(odd_rows(spark), "doc_id", F.array("source"))[0].collect()
+    rows = mixed(odd_rows(spark))[0].collect()
     assert len(rows) == 9 and all(r["taken"] == 0 for r in rows if not r["size"])
-    taken, sources = mixing.mix(no_rows(spark), "doc_id", F.array("source"))
+    taken, sources = mixed(no_rows(spark))
     assert taken.count() == 0 and sources.count() == 0
+
+
+def brute(rows, seed=17):
+    """Water-filled targets, then one row after the other in the seeded order."""
+    names = sorted({s for _, _, s in rows}, key=lambda s: (s is None, [ord(c) for c in s or ""]))
+    words = {s: sum(len((t or "").split()) for _, t, x in rows if x == s) for s in names}
+    weights = [mixing.WEIGHTS[i % 3] for i in range(len(names))]
+    targets = mixing.water_fill([words[s] for s in names], weights, 1.5 * sum(words.values()), 2)
+    out = []
+    for s, target in zip(names, targets, strict=True):
+        order = sorted(
+            (hashlib.md5(f"{seed}:{'' if i is None else i}:{t or ''}".encode()).hexdigest(), i, len((t or "").split()))
+            for i, t, x in rows
+            if x == s
+        )
+        at = 0
+        for _, i, size in order:
+            at += size
+            copies = sum(2 * (c * words[s] + at) - size <= 2 * round(target) for c in range(2))
+            out.append((i, size, copies * size))
+    return sorted(out, key=str), dict(zip(names, targets, strict=True))
+
+
+def test_against_one_row_after_the_other(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(int(rng.integers(0, 3)), "w " * int(rng.integers(0, 6)), str(rng.choice(["é", "z", "😀", "￿"], p=[0.5, 0.3, 0.1, 0.1]))) for _ in range(900)]
+    rows += [(None, "same text", "hot")] * 700 + [(None, None, None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want, targets = brute(rows)
+    for frame in (df.coalesce(1), df.repartition(7)):
+        for ranges in (4096, 50):
+            monkeypatch.setattr(mixing, "RANGE_ROWS", ranges)
+            taken, sources = mixed(frame)
+            got = sorted(((r["id"], r["size"], r["taken"]) for r in taken.collect()), key=str)
+            assert got == want
+            assert {r["source"]: r["target"] for r in sources.collect()} == pytest.approx(targets)
+
+
+def test_many_sources_need_no_solver(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "overlapping", None)
+    df = spark.range(100_000).selectExpr("id as doc_id", "repeat('w ', cast(id % 13 as int)) as text", "concat('host', id div 3) as source")
+    taken, sources = mixed(df)
+    rows = sources.toPandas().sort_values("source")
+    sizes = rows["source_size"].tolist()
+    weights = [mixing.WEIGHTS[i % 3] for i in range(len(sizes))]
+    assert rows["target"].tolist() == pytest.approx(mixing.water_fill(sizes, weights, 1.5 * sum(sizes), 2))
+    assert taken.count() == 100_000
+
+
+def test_overlapping_sources_are_bounded(spark):
+    df = spark.createDataFrame([(i, "w " * 9, ["a", f"s{i}"]) for i in range(30)], "doc_id long, text string, sources array<string>")
+    entries, sources = mixing.mix(df, "doc_id", F.col("sources"))
+    got = mixing.one_row_each(entries).collect()
+    assert len(got) == 30 and sum(r["taken"] for r in got) == pytest.approx(1.5 * 270, abs=9 * 31)
+    with pytest.raises(ValueError, match="overlapping"):
+        mixing.mix(df, "doc_id", F.col("sources"), most_patterns=29)
