@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.session import fresh_path
@@ -136,10 +136,21 @@ def words_by_text(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 # -- samples and groups -----------------------------------------------------------------
 
 
-def seeded(seed: int, *columns) -> F.Column:
+def seeded(seed: int, *columns) -> Column:
     return F.xxhash64(F.lit(seed), *columns)
 
 
+def piece(text: Column, seed: int, most_bytes: int) -> Column:
+    """The text, or of one with more bytes a seeded piece within them; a piece without a
+    letter gives way to the one that starts with the text's first letter, if it has any."""
+    most = most_bytes // 4  # characters of any size
+    at = F.pmod(seeded(seed, text), F.greatest(F.length(text) - most, F.lit(1))).cast("int") + 1
+    here = F.substring(text, at, F.lit(most))
+    first = F.regexp_instr(text, F.lit(r"\p{L}"))
+    chosen = F.when(here.rlike(r"\p{L}") | (first == 0), here).otherwise(F.substring(text, first, F.lit(most)))
+    return F.when(F.octet_length(text) <= most_bytes, text).otherwise(chosen)
+
+
 def connected_components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, component) for every node of the undirected edges (a, b); component is the
     smallest node reachable.

@@ -8,8 +8,9 @@ small margin over the second nearest flags the text as ambiguous.
 Up to five languages have the exhaustive code (every split into two sides once); for more,
 seeded random columns are drawn, ten per binary digit of the language count.
 
-Classifiers are fitted on a bounded sample of labelled rows (`rows`, about equally many per
-language, texts up to `train_bytes` bytes, picked by a seeded hash). Prediction is a map
+Classifiers are fitted on a bounded sample of labelled texts: `rows` in all, equally many per
+language (all, of a language with fewer), each text once however often it occurs, picked by a
+seeded hash; of a text of more than `train_bytes` bytes a seeded piece. Prediction is a map
 over the rows, on whole texts. A null text or one without a letter is `und` with score 0 and
 not ambiguous; so is every text if nothing could be learned. With one language learned it is
 always predicted, with score 1. Repeated rows get equal results; extra columns do not matter.
@@ -22,10 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import seeded, staged, steps, text_spans
+from siltstone.llm.common import piece, seeded, staged, steps, text_spans
 
 DIM = 4096
 AMBIGUOUS = 0.2  # of the score's distance between the first and the second language
@@ -120,17 +121,24 @@ def decode(codes: Codes, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", rows: int = 1600, train_bytes: int = 1 << 16, seed: int = 11) -> Codes:
-    """Fit on at most `rows` rows with a language, about `rows` / languages of each."""
+    """Fit on at most `rows` texts with a language, `rows` / languages of each."""
     usable = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.lower(text_col).alias("text"), F.col(lang_col).alias("lang")
     )
-    usable = usable.where(F.octet_length("text") <= train_bytes).withColumn("_h", seeded(seed, F.col("text")))
-    counts = staged(usable.groupBy("lang").count(), "lang-counts")
-    share = rows / max(counts.count(), 1)
-    # the hash, spread over [0, 1), is below a language's rate for about `share` of its rows
+    usable = usable.withColumn("_h", seeded(seed, F.col("text")))
+    # equal texts are one key, however many they are
+    keys = staged(usable.groupBy("lang", "_h").agg(F.count("*").alias("copies")), "lang-keys")
+    counts = staged(keys.groupBy("lang").count(), "lang-counts")
+    share = max(rows // max(counts.count(), 1), 1)
+    # the hash, spread over [0, 1), is below a language's rate for some 2 * `share` of its keys
     spread = F.col("_h").cast("double") / F.lit(2.0**64) + 0.5
-    picked = usable.join(counts, "lang").where(spread < share / F.col("count"))
-    sample = staged(picked.select("text", "lang", "_h").orderBy("_h", "lang").limit(rows), "lang-sample")
+    thinned = keys.join(counts, "lang").where(spread < (2 * share + 20) / F.col("count"))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("_h"))
+    picked = thinned.select("lang", "_h", turn.alias("turn")).where(F.col("turn") <= share).orderBy("turn", "_h", "lang").limit(rows)
+    picked = staged(picked.select("lang", "_h"), "lang-picked")
+    # at most `rows` keys, so they can go to every task
+    texts = usable.join(F.broadcast(picked), ["lang", "_h"]).select(piece(F.col("text"), seed, train_bytes).alias("text"), "lang", "_h")
+    sample = staged(texts.groupBy("lang", "_h").agg(F.first("text").alias("text")).select("text", "lang", "_h"), "lang-sample")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,8 +5,8 @@ document, each filter keeps its maximum per chunk, and mean and maximum over the
 through a small hidden layer into one probability. Scoring is a map over the rows: no
 shuffle, and a step works on a fixed number of chunks, however long the text is.
 
-The network is fitted on a bounded sample of labels (`rows`, picked by a seeded hash, of
-texts up to `train_bytes` bytes); every row is scored on its whole text.
+The network is fitted on a bounded sample of labels (`rows`, picked by a seeded hash; of a
+text of more than `train_bytes` bytes a seeded piece); every row is scored on its whole text.
 
 Null text counts as empty; an empty text has a score too (one chunk of padding). Repeated
 rows get equal scores. Labels that are null, or whose document is missing, are not learned
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import seeded, staged, steps, text_spans
+from siltstone.llm.common import piece, seeded, staged, steps, text_spans
 
 CHUNK, OVERLAP, KERNEL, STRIDE = 512, 64, 8, 2
 DEPTH, FILTERS, HIDDEN = 8, 32, 16
@@ -53,7 +53,7 @@ def chunk_bytes(raw: np.ndarray, offsets: np.ndarray, row: np.ndarray, start: np
     inside = at < offsets[row + 1][:, None]
     if not len(raw):
         return np.full(at.shape, PAD, np.int16)
-    return np.where(inside, raw[np.minimum(at, len(raw) - 1)], PAD).astype(np.int16)
+    return np.where(inside, raw[np.minimum(at, len(raw) - 1)].astype(np.int16), np.int16(PAD))
 
 
 def convolve(w: dict[str, np.ndarray], chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,16 +175,20 @@ def fit(
     train_bytes: int = 1 << 16,
     seed: int = 7,
 ) -> Network:
-    """Fit on at most `rows` labels, picked by a seeded hash of their id, whose document has
-    at most `train_bytes` bytes. Only the texts of these few documents are moved."""
-    picked = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-    picked = picked.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"), seeded(seed, F.col(id_col)).alias("_h"))
+    """Fit on at most `rows` labels, picked by a seeded hash of their id among those that
+    have a document; of a text of more than `train_bytes` bytes on a seeded piece. Labels of
+    one id and kind count once, and so do their documents. Only the texts of these few
+    documents are moved."""
+    given = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+    given = given.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label")).distinct()
+    there = docs.select(F.col(id_col).alias("_id")).distinct()
+    picked = given.join(there, "_id", "left_semi").withColumn("_h", seeded(seed, F.col("_id")))
     picked = staged(picked.orderBy("_h", "label").limit(rows), "cnn-labels")
     # at most `rows` rows, so they can go to every task
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    sample = texts.join(F.broadcast(picked), "_id").where(F.octet_length("text") <= train_bytes)
-    order = ("_h", "text", "label")
-    got = staged(sample.orderBy(*order).limit(rows), "cnn-sample").orderBy(*order).collect()
+    sample = texts.join(F.broadcast(picked), "_id").withColumn("text", piece(F.col("text"), seed, train_bytes))
+    sample = staged(sample.groupBy("_id", "label", "_h").agg(F.min("text").alias("text")), "cnn-sample")
+    got = sample.orderBy("_h", "label").collect()
     return train([r["text"].encode() for r in got], np.array([r["label"] for r in got], np.float32), seed=seed)
 
 

@@ -100,3 +100,104 @@ def test_quality_odd_rows_and_no_rows(spark):
     assert len({r["score"] for r in rows if r["doc_id"] in (1, 2)}) == 1
     assert quality_cnn.score(no_rows(spark), network, ["doc_id"]).count() == 0
     assert quality_cnn.fit(no_rows(spark), no_rows(spark).selectExpr("doc_id", "1 as quality")).constant == 0.5
+
+
+def plain_language(codes, text):
+    """One text, one n-gram and one bit at a time."""
+    folded = [b if b >= 128 or chr(b).isalpha() else 32 for b in text.lower().encode()]
+    counts = {}
+    for size in (1, 2, 3):
+        for at in range(len(folded) - size + 1):
+            value = 0
+            # a shorter gram's value is built up by the longer ones
+            for k in range(size):
+                value = (value * 0x01000193 + folded[at + k] + k + 1) % 2**32
+            slot = (value * 0x9E3779B1) % 2**32 >> 20
+            counts[slot] = counts.get(slot, 0) + 1
+    norm = max(sum(counts.values()) ** 0.5, 1e-9)
+    costs = []
+    for word in codes.words:
+        cost = 0.0
+        for bit, sign in enumerate(word):
+            z = codes.bias[bit] + sum(n**0.5 / norm * float(codes.weights[s, bit]) for s, n in counts.items())
+            cost += np.log1p(np.exp(-z * sign)) if z * sign > -30 else -z * sign
+        costs.append(cost)
+    near = [np.exp(-(c - min(costs)) / max(1.0, codes.words.shape[1] / 2)) for c in costs]
+    return codes.languages[int(np.argmin(costs))], max(near) / sum(near)
+
+
+def test_languages_against_one_text_at_a_time(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, prose(rng, lang, int(rng.integers(1, 60))), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 30)]
+    rows += [(900, "Ü", None), (901, "ka " * 5000, "aa")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    codes = language_ecoc.fit(df)
+    for r in language_ecoc.predict(df.join(df.select("doc_id"), "doc_id"), codes, ["doc_id", "text"]).collect():
+        lang, p = plain_language(codes, r["text"])
+        assert r["score"] == pytest.approx(p, abs=1e-4)
+        assert r["lang_pred"] == lang or abs(p - 0.5) < 1e-3
+
+
+def test_a_language_of_one_hot_text_or_of_long_texts_is_learned(spark):
+    rng = np.random.default_rng(5)
+    hot = [("aa", prose(rng, "aa", 30))] * 3000
+    many = [("bb", prose(rng, "bb", 30)) for _ in range(400)]
+    long = [("cc", "1 " * 40_000 + prose(rng, "cc", 20_000)) for _ in range(3)]
+    rows = [(i, t, lang) for i, (lang, t) in enumerate([*hot, *many, *long])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    for seed in range(3):
+        codes = language_ecoc.fit(df, rows=30, seed=seed)
+        assert codes.languages == ["aa", "bb", "cc"]
+    new = spark.createDataFrame([(k, prose(rng, lang, 40)) for k, lang in enumerate(["aa", "bb", "cc"])], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_ecoc.predict(new, codes, ["doc_id"]).collect()}
+    assert got == {0: "aa", 1: "bb", 2: "cc"}
+
+
+def plain_score(w, raw):
+    """One chunk, one window and one filter at a time."""
+    step = quality_cnn.CHUNK - quality_cnn.OVERLAP
+    starts = [0]
+    while starts[-1] + quality_cnn.CHUNK < len(raw):
+        starts.append(starts[-1] + step)
+    tops = []
+    for start in starts:
+        chunk = [*raw[start : start + quality_cnn.CHUNK]]
+        chunk += [quality_cnn.PAD] * (quality_cnn.CHUNK - len(chunk))
+        windows = range(0, quality_cnn.CHUNK - quality_cnn.KERNEL + 1, quality_cnn.STRIDE)
+        tops.append(
+            [
+                max(0.0, w["bias"][f] + max(sum(w["embed"][chunk[at + k]] @ w["filters"][k * quality_cnn.DEPTH : (k + 1) * quality_cnn.DEPTH, f] for k in range(quality_cnn.KERNEL)) for at in windows))
+                for f in range(3)
+            ]
+        )
+    return np.array(tops).mean(axis=0), np.array(tops).max(axis=0)
+
+
+def test_scores_against_one_window_at_a_time(spark):
+    rng = np.random.default_rng(6)
+    texts = ["", "x", prose(rng, "aa", 30), prose(rng, "cc", 90), "é" * 700]
+    network = quality_cnn.train([t.encode() for t in texts], np.array([0, 1, 0, 1, 1], np.float32), epochs=2)
+    w = {k: v.astype(np.float64) for k, v in network.weights.items()}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {r["doc_id"]: r["score"] for r in quality_cnn.score(df, network, ["doc_id"]).collect()}
+    for i, text in enumerate(texts):
+        raw = text.encode()
+        pool = quality_cnn.pooled(network.weights, np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]
+        mean, most = plain_score(w, raw)
+        assert pool[:3] == pytest.approx(mean, abs=1e-4) and pool[32:35] == pytest.approx(most, abs=1e-4)
+        hidden = [np.tanh(sum(pool[k] * w["inner"][k, h] for k in range(64)) + w["inner_bias"][h]) for h in range(16)]
+        z = sum(hidden[h] * w["outer"][h, 0] for h in range(16)) + w["outer_bias"][0]
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-5)
+
+
+def test_labels_without_document_and_hot_or_long_documents(spark):
+    rng = np.random.default_rng(7)
+    docs = [(i, prose(rng, "aa", 40), 1) for i in range(20)] + [(100 + i, "$" * 70_000, 0) for i in range(20)]
+    hot = [(500, "hot text", 1)] * 2000
+    df = spark.createDataFrame(docs + hot, "doc_id long, text string, quality int").repartition(3)
+    gone = spark.createDataFrame([(10_000 + i, i % 2) for i in range(5000)], "doc_id long, quality int")
+    labels = df.select("doc_id", "quality").unionByName(gone)
+    network = quality_cnn.fit(df, labels, rows=41)
+    assert network.constant is None
+    got = {r["doc_id"]: r["score"] for r in quality_cnn.score(df, network, ["doc_id"]).collect()}
+    assert all((got[i] >= 0.5) == bool(q) for i, _, q in docs)
