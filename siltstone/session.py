@@ -37,12 +37,13 @@ def build_session(
     return builder.getOrCreate()
 
 
-def configure(spark: SparkSession, *input_paths: str) -> SparkSession:
-    """Apply the runtime settings and size the shuffles for the given inputs."""
+def configure(spark: SparkSession, *input_paths: str, factor: float = 1) -> SparkSession:
+    """Apply the runtime settings and size the shuffles for the given inputs, of which the
+    widest shuffle writes `factor` times the bytes."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     if input_paths:
-        size_shuffles(spark, *input_paths)
+        size_shuffles(spark, *input_paths, factor=factor)
     return spark
 
 
@@ -52,7 +53,7 @@ def hadoop_path(spark: SparkSession, path: str):
     return hpath, hpath.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def size_shuffles(spark: SparkSession, *paths: str) -> int:
+def size_shuffles(spark: SparkSession, *paths: str, factor: float = 1) -> int:
     """Raise the shuffle partition count so that the inputs give 128 MiB partitions.
 
     Only ever raises it: adaptive execution merges partitions that turn out small, but
@@ -64,7 +65,7 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
         total += fs.getContentSummary(hpath).getLength()
     wanted = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
-        math.ceil(total / SHUFFLE_PARTITION_BYTES),
+        math.ceil(total * factor / SHUFFLE_PARTITION_BYTES),
     )
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return wanted

@@ -68,4 +68,20 @@ def test_session_settings(spark, tmp_path):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     before = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert size_shuffles(spark, SF_DIR) == before
+
+
+def test_shuffles_follow_the_length_of_files(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with open(tmp_path / "large", "wb") as sparse:
+        sparse.truncate(30 * 2**30)
+    try:
+        configure(spark, str(tmp_path))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "240"
+        configure(spark, str(tmp_path), factor=5)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "1200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_scratch_folder_is_the_session_s(spark):
     assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
