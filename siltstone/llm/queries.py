@@ -28,11 +28,17 @@ from siltstone.session import configure
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
+# The table that a query reads, where not the documents, and the bytes that its widest shuffle
+# writes for a byte of it, where more than one.
+_TABLE = {"op9": "embeddings", "op10": "embeddings", "op11": "conversations", "op13": "embeddings"}
+_SHUFFLED = {"op2": 4, "op3": 5, "op5": 4, "op9": 32, "op10": 32, "op11": 2}
 
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        configure(spark)
+        number = fn.__name__.partition("_")[0]
+        table = f"{sf_dir}/{_TABLE.get(number, 'documents')}.parquet"
+        configure(spark, table, factor=_SHUFFLED.get(number, 1))
         # whole texts can be long, so few of them travel to Python at a time
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
         return fn(spark, sf_dir)

@@ -495,10 +495,11 @@ def cut_texts(texts: DataFrame, w: Windows) -> DataFrame:
 
 
 def remove_repeats(df: DataFrame, keep: list[str], text_col: str, w: Windows, repeated: Counter, label: str) -> DataFrame:
-    """Per row of `df`: `keep` (the id first), tid, n_units, n_removed, n_spans, sha, kept.
+    """Per row of `df`: `keep` (the id first), tid, n_units, n_removed, n_spans, sha, kept, spans.
 
     `kept` (binary) and its digest `sha` hold what is left; `kept` is null where nothing is
-    removed, and then the row's text is whole. n_spans counts maximal removed runs.
+    removed, and then the row's text is whole. `spans` are the maximal removed runs, n_spans
+    their number; they are null also where all goes because the whole text is repeated.
     """
     rows = staged(profile(df, keep, text_col, w), f"{label}-profile")
     texts = staged(candidate_texts(df, keep[0], text_col, rows, w), f"{label}-texts")
@@ -521,6 +522,7 @@ def remove_repeats(df: DataFrame, keep: list[str], text_col: str, w: Windows, re
             F.when(several, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", F.lit(0))).alias("n_spans"),
             F.when(several, empty).otherwise(F.coalesce("cut_sha", "sha")).alias("sha"),
             F.when(several, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
+            F.when(~several | several.isNull(), F.col("spans")).alias("spans"),
         )
     )
 

@@ -8,14 +8,18 @@ groups left after the last pass are exactly the repeated windows. A digit is a r
 repeated window is removed.
 
 Null is an empty text; texts shorter than a window stay whole. Rows with equal text (also
-equal in everything) repeat each other. Cuts may fall inside a character: `kept` is binary.
+equal in everything) repeat each other. Cuts may fall inside a character: `kept` is binary,
+and `whole_characters` makes it a text again.
 An empty table gives no rows; extra columns do not matter.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.llm.repeats import Windows, remove_repeats
 from siltstone.llm.superkmer import pair_names, run_names
@@ -62,3 +66,40 @@ def remove_repeated_bytes(
         return radix_groups(values, starts, group, length)
 
     return remove_repeats(df, [id_col], text_col, Windows("byte", length, min(gram, length)), repeated, "suffix")
+
+
+def uncut(kept: bytes | None, spans) -> str | None:
+    """What is left of a text without the characters that the removed spans cut in two.
+
+    Only bytes at a cut go; all else stays as it was, replacement characters too."""
+    if kept is None:
+        return None
+    pieces, at, gone = [], 0, 0
+    for s in () if spans is None else spans:
+        cut = s["first"] - gone
+        pieces.append(kept[at:cut])
+        at, gone = cut, gone + s["stop"] - s["first"]
+    pieces.append(kept[at:])
+    out = []
+    for i, piece in enumerate(pieces):
+        if i:  # the end of a character whose beginning went
+            skip = next((k for k in range(min(3, len(piece))) if piece[k] & 0xC0 != 0x80), min(3, len(piece)))
+            piece = piece[skip:]
+        if i + 1 < len(pieces):  # the beginning of one whose end went
+            for k in range(1, min(3, len(piece)) + 1):
+                lead = piece[-k]
+                if lead & 0xC0 != 0x80:
+                    size = 1 + (lead >= 0xC0) + (lead >= 0xE0) + (lead >= 0xF0)
+                    piece = piece[:-k] if size > k else piece
+                    break
+        out.append(piece)
+    return b"".join(out).decode("utf-8", "replace")
+
+
+def whole_characters(kept: Column, spans: Column) -> Column:
+    """The text of `kept` without characters cut in two; null where nothing was removed."""
+
+    def run(kept: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([uncut(k, s) for k, s in zip(kept, spans, strict=True)], dtype=object)
+
+    return F.pandas_udf(run, T.StringType())(kept, spans)
