@@ -140,6 +140,18 @@ def seeded(seed: int, *columns) -> Column:
     return F.xxhash64(F.lit(seed), *columns)
 
 
+def one_row_each(entries: DataFrame, count_col: str, step: int = 4096) -> DataFrame:
+    """Every row as often as its `count_col` says, with `nth` from 0 instead of it; one that
+    stands for many is written by many tasks."""
+    steps_ = F.sequence(F.lit(0).cast("long"), F.expr(f"({count_col} - 1) div {step}"))
+    dealt = entries.withColumn("nth_step", F.explode(steps_))
+    dealt = dealt.repartition(*entries.columns, "nth_step")
+    here = F.least(F.lit(step).cast("long"), F.col(count_col) - F.col("nth_step") * step) - 1
+    rest = [c for c in entries.columns if c != count_col]
+    rows = dealt.select(*rest, "nth_step", F.explode(F.sequence(F.lit(0).cast("long"), here)).alias("nth"))
+    return rows.select(*rest, (F.col("nth_step") * step + F.col("nth")).alias("nth"))
+
+
 def piece(text: Column, seed: int, most_bytes: int) -> Column:
     """The text, or of one with more bytes a seeded piece within them; a piece without a
     letter gives way to the one that starts with the text's first letter, if it has any."""

@@ -39,7 +39,7 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
 TOTAL_SHARE = 1.5
 MOST_COPIES = 2
-# Documents per range of the order digest, on average; also rows written out in one step.
+# Documents per range of the order digest, on average.
 RANGE_ROWS = 4096
 # Overlapping patterns that the solver on the driver takes.
 MOST_PATTERNS = 2000
@@ -147,7 +147,7 @@ def mix(
 ) -> tuple[DataFrame, DataFrame]:
     """Per entry (rows equal in all of this): id, `keep`, sources, size, taken (words of one
     row that the mix takes, copies counted) and `rows`, the number of rows it stands for;
-    and per source: source, source_size, target. `one_row_each` writes the rows out.
+    and per source: source, source_size, target. `common.one_row_each` writes the rows out.
 
     `sources` is an array of the row's source names; null elements are a source. `keep` names
     columns that follow from id and text.
@@ -201,14 +201,6 @@ def mix(
     return level.select("id", *keep, "sources", "size", (F.col("level.copies") * F.col("size")).alias("taken"), F.col("level.n").alias("rows")), per_source
 
 
-def one_row_each(entries: DataFrame) -> DataFrame:
-    """Every entry as often as its `rows` says; a large one is written by many tasks."""
-    steps = F.sequence(F.lit(0).cast("long"), F.expr(f"(rows - 1) div {RANGE_ROWS}"))
-    step = entries.withColumn("step", F.explode(steps)).repartition("id", "step")
-    here = F.least(F.lit(RANGE_ROWS).cast("long"), F.col("rows") - F.col("step") * RANGE_ROWS)
-    return step.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), here))).drop("rows", "step", "row")
-
-
 def separate(patterns: DataFrame, weights: tuple[float, ...], total_share: float, most: int) -> DataFrame:
     """`target` of patterns of one source each.
 

@@ -22,7 +22,7 @@ from siltstone.llm import (
     suffix_radix,
     superkmer,
 )
-from siltstone.llm.common import read
+from siltstone.llm.common import one_row_each, read
 from siltstone.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,7 +107,7 @@ def op3_suffix(spark, sf):
 def op4_mixing(spark, sf):
     docs = read(spark, sf, "documents")
     taken, sources = mixing.mix(docs, "doc_id", F.array("source"))
-    rows = mixing.one_row_each(taken)
+    rows = one_row_each(taken, "rows")
     return rows.join(sources, F.col("sources")[0].eqNullSafe(F.col("source"))).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"
     )

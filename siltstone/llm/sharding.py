@@ -20,14 +20,13 @@ group. An empty table gives no rows; extra columns do not matter.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import staged
+from siltstone.llm.common import one_row_each, staged
 
 SHARDS = 16
 BUCKET_GROUPS = 4096
@@ -110,25 +109,23 @@ def shard_by_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     light = groups.where(F.col("bytes") <= limit).withColumn("bucket", F.pmod(F.xxhash64("tid"), F.lit(buckets)))
     dealt = light.groupBy("bucket").applyInPandas(one_bucket, "tid binary, shard int")
     fixed = spark.createDataFrame([(bytes(r["tid"]), int(s)) for r, s in zip(heavy, placed, strict=True)], "tid binary, shard int")
-    placed_rows = staged(rows.join(dealt.unionByName(fixed), "tid"), "shard-placed")
-    return numbered(placed_rows, shards)
+    return numbered(rows.join(dealt.unionByName(fixed), "tid"), shards)
 
 
 def numbered(rows: DataFrame, shards: int) -> DataFrame:
-    """`slot`: gapless numbers within a shard. Rows are numbered within small ranges, and a
-    range starts where the ranges before it end."""
-    n = rows.count()
-    ranges = max(1, n // (BUCKET_GROUPS * shards))
-    ranged = rows.withColumn("range", F.pmod(F.xxhash64("id", "tid"), F.lit(ranges)))
-    counts = ranged.groupBy("shard", "range").agg(F.count("*").alias("n"))
+    """`slot`: gapless numbers within a shard. Rows equal in id and text are one entry with
+    their number; entries are numbered within small ranges, and a range starts where the ones
+    before it end."""
+    entries = staged(rows.groupBy("shard", "id", "tid", "size", "text_crc32").agg(F.count("*").alias("n")), "shard-entries")
+    ranges = max(1, entries.count() // (BUCKET_GROUPS * shards))
+    ranged = entries.withColumn("range", F.pmod(F.xxhash64("id", "tid"), F.lit(ranges)))
+    counts = ranged.groupBy("shard", "range").agg(F.sum("n").alias("rows"))
     before = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("shard", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("shard", "range").orderBy("id", "tid")
-    return (
-        ranged.withColumn("place", F.row_number().over(inside) - 1)
+    starts = counts.select("shard", "range", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("shard", "range").orderBy("id", "tid").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        ranged.withColumn("place", F.coalesce(F.sum("n").over(inside), F.lit(0)))
         .join(starts, ["shard", "range"])
-        .select("id", "size", "text_crc32", "shard", (F.col("base") + F.col("place")).cast("long").alias("slot"))
+        .select("id", "size", "text_crc32", "shard", "n", (F.col("base") + F.col("place")).cast("long").alias("first"))
     )
-
-
-__all__ = ["Iterator", "difference", "shard_by_bytes"]
+    return one_row_each(placed, "n").select("id", "size", "text_crc32", "shard", (F.col("first") + F.col("nth")).alias("slot"))

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone.llm import mixing
+from siltstone.llm.common import one_row_each
 from tests.llm.helpers import no_rows, odd_rows
 
 
@@ -41,7 +42,7 @@ def test_flow_reads_before_it_repeats():
 
 def mixed(df, **options):
     entries, sources = mixing.mix(df, "doc_id", F.array("source"), **options)
-    return mixing.one_row_each(entries), sources
+    return one_row_each(entries, "rows"), sources
 
 
 def test_documents_meet_their_flow(spark):
@@ -124,7 +125,7 @@ def test_many_sources_need_no_solver(spark, monkeypatch):
 def test_overlapping_sources_are_bounded(spark):
     df = spark.createDataFrame([(i, "w " * 9, ["a", f"s{i}"]) for i in range(30)], "doc_id long, text string, sources array<string>")
     entries, sources = mixing.mix(df, "doc_id", F.col("sources"))
-    got = mixing.one_row_each(entries).collect()
+    got = one_row_each(entries, "rows").collect()
     assert len(got) == 30 and sum(r["taken"] for r in got) == pytest.approx(1.5 * 270, abs=9 * 31)
     with pytest.raises(ValueError, match="overlapping"):
         mixing.mix(df, "doc_id", F.col("sources"), most_patterns=29)

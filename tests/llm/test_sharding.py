@@ -1,8 +1,11 @@
 import itertools
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from siltstone.llm import sharding
+from siltstone.llm.common import one_row_each
 from tests.llm.helpers import no_rows, odd_rows
 
 
@@ -55,3 +58,28 @@ def test_odd_rows_and_no_rows(spark):
     assert len(rows) == 9 and {r["size"] for r in rows if r["id"] in (1, 2)} == {1}
     assert len({r["shard"] for r in rows if r["id"] in (4, 5)}) == 1
     assert sharding.shard_by_bytes(no_rows(spark)).count() == 0
+
+
+@pytest.fixture
+def unmerged(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_equal_rows_are_numbered_by_many_tasks(unmerged):
+    spark = unmerged
+    df = spark.range(200_000).selectExpr("cast(null as long) as doc_id", "'same' as text")
+    df = df.unionByName(spark.range(1000).selectExpr("id as doc_id", "concat('t', id % 700) as text"))
+    out = sharding.shard_by_bytes(df, shards=4)
+    got = out.withColumn("task", F.spark_partition_id()).toPandas()
+    assert len(got) == 201_000
+    for _, part in got.groupby("shard"):
+        assert sorted(part["slot"]) == list(range(len(part)))
+    assert got[got["id"].isna()]["task"].nunique() > 1
+
+
+def test_rows_come_back_as_often_as_they_count(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 10), ("c", 23)], "v string, n long")
+    got = sorted((r["v"], r["nth"]) for r in one_row_each(df, "n", step=10).collect())
+    assert got == [(v, k) for v, n in (("a", 1), ("b", 10), ("c", 23)) for k in range(n)]
