@@ -262,7 +262,7 @@ def datasource_responses(spark, sf):
         last.select(F.to_json(F.struct(F.struct(F.array("orders").alias("others")).alias("data"))).alias("value")),
     ]
     for i, body in enumerate(bodies):
-        body.repartition(F.col("value")).write.option("maxRecordsPerFile", 1).text(f"{location}/{i}")
+        body.write.option("maxRecordsPerFile", 1).text(f"{location}/{i}")
     spec = DatasetSpec("pages", "id long, name string, tags string, o_totalprice double", json_path="data.orders", streamed=True)
     return read_responses(spark, spec, location)
 

@@ -1,4 +1,5 @@
-"""Landed responses as a Python data source: one partition per file, records streamed out of it.
+"""Landed responses as a Python data source: records streamed out of the files, small files of one task
+one after another.
 
 Spark's JSON reader takes a file that is no JSON Lines file as one row, and a response whose records
 lie below a path as one value. Here a file is read in pieces and each record leaves as its own
@@ -23,6 +24,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 FORMAT = "landed_responses"
 # Characters read at a time, and characters of records that leave together.
 CHUNK, BATCH = 1 << 16, 1 << 20
+# Bytes of files up to which one task reads several, and what opening a file counts.
+TASK_BYTES, OPEN_BYTES = 128 << 20, 1 << 20
 _SPACE = " \t\r\n"
 _DECODER = json.JSONDecoder()
 
@@ -115,8 +118,25 @@ def _below(text: JsonText, path: tuple[str, ...]) -> Iterator[str]:
 
 
 @dataclass
-class File(InputPartition):
-    path: str
+class Files(InputPartition):
+    paths: tuple[str, ...]
+
+
+def dealt(sizes: list[tuple[str, int]], at_least: int) -> list[Files]:
+    """Files (path, bytes) in tasks: in ``at_least`` as long as there is something for each, and more
+    where a task would get more than ``TASK_BYTES``. A page too large for that is a task of its own."""
+    costs = [(path, size + OPEN_BYTES) for path, size in sizes]
+    most = min(TASK_BYTES, -(-sum(cost for _, cost in costs) // max(1, at_least)))
+    out: list[Files] = []
+    mine: list[str] = []
+    held = 0
+    for path, cost in costs:
+        if mine and held + cost > most:
+            out.append(Files(tuple(mine)))
+            mine, held = [], 0
+        mine.append(path)
+        held += cost
+    return [*out, Files(tuple(mine))]
 
 
 def _system(location: str) -> tuple[fs.FileSystem, str]:
@@ -124,33 +144,32 @@ def _system(location: str) -> tuple[fs.FileSystem, str]:
 
 
 class ResponsesReader(DataSourceReader):
-    def __init__(self, location: str, path: tuple[str, ...]):
-        self.location, self.path = location, path
+    def __init__(self, location: str, path: tuple[str, ...], tasks: int = 1):
+        self.location, self.path, self.tasks = location, path, tasks
 
-    def partitions(self) -> list[File]:
+    def partitions(self) -> list[Files]:
         system, root = _system(self.location)
         found = system.get_file_info(fs.FileSelector(root, recursive=True)) if system.get_file_info(root).type == fs.FileType.Directory else [system.get_file_info(root)]
-        files = sorted(f.path for f in found if f.type == fs.FileType.File and not f.base_name.startswith(("_", ".")))
+        files = sorted((f.path, f.size or 0) for f in found if f.type == fs.FileType.File and not f.base_name.startswith(("_", ".")))
         if not files and any(f.type == fs.FileType.NotFound for f in found):
             raise FileNotFoundError(self.location)
-        return [File(f) for f in files] or [File("")]
+        return dealt(files, self.tasks)
 
-    def read(self, partition: File) -> Iterator[pa.RecordBatch]:
-        if not partition.path:
-            return
+    def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         system, _ = _system(self.location)
-        with system.open_input_stream(partition.path) as raw:
-            # decoded in pieces; a character may lie across two of them
-            waiting: list[str] = []
-            size = 0
-            for record in records(_Utf8(raw), self.path):
-                waiting.append(record)
-                size += len(record)
-                if size >= BATCH:
-                    yield pa.RecordBatch.from_arrays([pa.array(waiting, pa.string())], names=["record"])
-                    waiting, size = [], 0
-            if waiting:
-                yield pa.RecordBatch.from_arrays([pa.array(waiting, pa.string())], names=["record"])
+        waiting: list[str] = []
+        size = 0
+        for path in partition.paths:
+            with system.open_input_stream(path) as raw:
+                # decoded in pieces; a character may lie across two of them
+                for record in records(_Utf8(raw), self.path):
+                    waiting.append(record)
+                    size += len(record)
+                    if size >= BATCH:
+                        yield pa.RecordBatch.from_arrays([pa.array(waiting, pa.string())], names=["record"])
+                        waiting, size = [], 0
+        if waiting:
+            yield pa.RecordBatch.from_arrays([pa.array(waiting, pa.string())], names=["record"])
 
 
 class _Utf8:
@@ -180,12 +199,13 @@ class LandedResponses(DataSource):
 
     def reader(self, schema: T.StructType) -> ResponsesReader:
         path = self.options.get("json_path") or ""
-        return ResponsesReader(self.options["path"], tuple(p for p in path.split(".") if p))
+        return ResponsesReader(self.options["path"], tuple(p for p in path.split(".") if p), int(self.options.get("tasks") or 1))
 
 
 def stream_responses(spark: SparkSession, location: str, schema: T.StructType, json_path: str | None = None) -> DataFrame:
     """The records of landed responses as rows of ``schema``; malformed text fails the job."""
     spark.dataSource.register(LandedResponses)
-    found = spark.read.format(FORMAT).option("json_path", json_path or "").load(location)
+    tasks = spark.sparkContext.defaultParallelism
+    found = spark.read.format(FORMAT).option("json_path", json_path or "").option("tasks", tasks).load(location)
     row = F.from_json("record", schema, {"mode": "FAILFAST"}).alias("row")
     return found.select(row).select("row.*")

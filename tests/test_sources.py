@@ -215,3 +215,21 @@ def test_streamed_files_of_any_shape(spark, tmp_path):
     (tmp_path / "things" / "e.json").write_text('[{"id": 4}')
     with pytest.raises(Exception, match="malformed JSON|JSONDecodeError|Expecting"):
         LandedReader().read(spark, spec, str(tmp_path)).collect()
+
+
+def test_small_files_share_a_task(spark, tmp_path):
+    """A thousand pages are no thousand tasks; pages too large to share have tasks of their own."""
+    from siltstone.sources.responses import OPEN_BYTES, TASK_BYTES, Files, dealt
+
+    (tmp_path / "pages").mkdir()
+    for i in range(1000):
+        (tmp_path / "pages" / f"{i}.json").write_text(json.dumps({"data": {"rows": [{"id": i}, {"id": -i}]}}))
+    spec = DatasetSpec("pages", "id long", json_path="data.rows", streamed=True)
+    rows = LandedReader().read(spark, spec, str(tmp_path))
+    assert rows.rdd.getNumPartitions() <= 16
+    assert tuple(rows.selectExpr("count(*)", "sum(abs(id))").first()) == (2000, 999 * 1000)
+    big = [("a", TASK_BYTES), ("b", 1), ("c", 1), ("d", TASK_BYTES * 3)]
+    assert dealt(big, 1) == [Files(("a",)), Files(("b", "c")), Files(("d",))]
+    assert [len(t.paths) for t in dealt([(str(i), 10) for i in range(8)], 4)] == [2, 2, 2, 2]
+    assert sum(len(t.paths) for t in dealt([(str(i), OPEN_BYTES) for i in range(10**4)], 4)) == 10**4
+    assert dealt([], 4) == [Files(())]
