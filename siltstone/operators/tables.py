@@ -64,6 +64,11 @@ class Version:
     base: int | None = None
 
 
+# States of published versions this process has read or written, by table path and number: they never
+# change, and reading one takes a job.
+_KNOWN: dict[tuple[str, int], Version] = {}
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -110,13 +115,16 @@ class Table:
         return self.version(newest)
 
     def version(self, number: int) -> Version:
+        if (self.path, number) in _KNOWN:
+            return _KNOWN[self.path, number]
         # one row per part: bounded by months and runs, not by the data
         rows = self.spark.read.schema("part string, path string, schema string").json(
             f"{self.path}/_versions/{number:08d}"
         )
         found = rows.collect()
         schema = T.StructType.fromJson(json.loads(next(r.schema for r in found if r.schema)))
-        return Version(schema, tuple((r.part, r.path) for r in found if r.path), number)
+        _KNOWN[self.path, number] = Version(schema, tuple((r.part, r.path) for r in found if r.path), number)
+        return _KNOWN[self.path, number]
 
     def frame(self, version: Version, parts: set[str] | None = None) -> DataFrame:
         """Rows of a version. Older files lacking a later column read as null there."""
@@ -302,6 +310,7 @@ class Table:
         rows = [(None, None, version.schema.json()), *((part, path, None) for part, path in version.parts)]
         listing = self.spark.createDataFrame(rows, "part string, path string, schema string")
         listing.coalesce(1).write.mode("append").json(f"{self.path}/_versions/{number:08d}")
+        _KNOWN[self.path, number] = replace(version, base=number)
         self.register()
         return number
 
@@ -385,6 +394,7 @@ class Table:
         if self.name:
             self._unregister([self.version(n) for n in dropped if n in done])
         for n in dropped:
+            _KNOWN.pop((self.path, n), None)
             fs.delete(hadoop_path(self.spark, f"{self.path}/_versions/{n:08d}")[0], True)
         before = (time.time() - FAILED_AFTER.total_seconds()) * 1000
         for status in self._listing("data"):
@@ -401,6 +411,8 @@ class Table:
         """Folders below ``data`` that versions refer to."""
         if not numbers:
             return set()
+        if all((self.path, n) in _KNOWN for n in numbers):
+            return {path.split("/")[1] for n in numbers for _, path in _KNOWN[self.path, n].parts}
         listed = self.spark.read.schema("path string").json([f"{self.path}/_versions/{n:08d}" for n in numbers])
         # one row per part
         return {r.path.split("/")[1] for r in listed.where("path IS NOT NULL").distinct().collect()}

@@ -16,7 +16,7 @@ from siltstone.operators import quality
 from siltstone.operators.incremental import newer_than
 from siltstone.operators.tables import EVENT_AT, Conflict, Layers, Table, Version
 from siltstone.plans.models import Fact, Frames, Model, Project, default_project
-from siltstone.session import configure, hadoop_path
+from siltstone.session import configure, hadoop_path, size_scans
 from siltstone.sources.catalog import DatasetSpec, Reader, datasets
 from siltstone.sources.flatten import flatten_struct
 from siltstone.sources.landed import LandedReader, in_window
@@ -255,6 +255,7 @@ def run(
     """
     landed, fs = hadoop_path(spark, location)
     configure(spark, *([location] if fs.exists(landed) else []))
+    size_scans(spark)
     project = (project or default_project()).with_datasets(*(specs or ()))
     models = project.selected(tag)
     layers = Layers(spark, root, prefix)

@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # jsonb keeps the last of two equal keys
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # a task writes its few months side by side: sorting wide rows by month first would hold them all
+    # in memory; what goes beyond this many months is sorted
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
 }
 
 # Only settable before the session starts: no capture of Python call sites, which costs
@@ -71,6 +74,12 @@ def size_shuffles(spark: SparkSession, *paths: str, factor: float = 1) -> int:
     return wanted
 
 
+def size_scans(spark: SparkSession) -> None:
+    """Split scans at least as often as shuffles. Published files hold many rows a byte, so a split of
+    Spark's usual size would be a task whose grouping or sorting holds millions of them."""
+    spark.conf.set("spark.sql.files.minPartitionNum", spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``. Only a session in one process
     (tests) may leave it unset: on a cluster a local folder would lose rows."""

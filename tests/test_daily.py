@@ -283,3 +283,9 @@ def test_the_graph_refuses_what_cannot_be_built():
     more = project.with_models(Fact("x", nothing, ("gold.launch_roi", "silver.cores"), ("x",), event_time=None))
     levels = [{m.name for m in level} for level in more.levels(more.selected("x"))]
     assert levels == [{"rockets", "payloads", "cores"}, {"launch_roi"}, {"x"}]
+
+
+def test_a_run_splits_scans_as_often_as_shuffles(spark, site):
+    """Published files hold many rows a byte: a split of the usual size is a task of millions."""
+    site.run(tag="roi")
+    assert spark.conf.get("spark.sql.files.minPartitionNum") == spark.conf.get("spark.sql.shuffle.partitions")

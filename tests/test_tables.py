@@ -301,3 +301,33 @@ def test_keys_skip_row_groups_by_bloom_filters(spark, tmp_path):
     # more keys than are looked up by value
     many = spark.range(5_000).select(F.md5((n * 2).cast("string")).alias("k"))
     assert table.with_keys(version, many, "k", 5_000).count() == 5_000
+
+
+def test_months_are_written_without_sorting_the_rows(spark, tmp_path):
+    """The rows a task writes are not held in memory to be sorted by month, nor lost where a task
+    has more months than it writes side by side."""
+    spark.sql("CREATE TABLE unsorted_months (k INT, m STRING) USING parquet PARTITIONED BY (m)")
+    try:
+        plan = spark.sql("EXPLAIN INSERT INTO unsorted_months SELECT CAST(id AS INT), CAST(id % 3 AS STRING) FROM range(9)").first()[0]
+    finally:
+        spark.sql("DROP TABLE unsorted_months")
+    assert "Sort" not in plan
+    rows = spark.range(0, 3000, 1, 1).selectExpr("id AS k", "timestampadd(MONTH, id % 100, timestamp_ntz'2000-01-01 00:00:00') AS at")
+    table = Table(spark, str(tmp_path / "t"), "at")
+    table.publish(table.stage_full(rows.coalesce(1)))
+    assert len(table.current().parts) == 100
+    assert sorted(tuple(r) for r in table.read().collect()) == sorted(tuple(r) for r in rows.collect())
+
+
+def test_a_published_state_is_read_once(spark, tmp_path):
+    """Asking for the newest version again, or for folders in use, starts no job."""
+    table = Table(spark, str(tmp_path / "t"), "at")
+    table.publish(table.stage_full(spark.sql("SELECT 1 AS k, timestamp_ntz'2000-01-01 00:00:00' AS at")))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("versions", "")
+    try:
+        version, used = table.current(), table._runs(table._published())
+        assert len(tracker.getJobIdsForGroup("versions")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert version.base == 1 and used == {path.split("/")[1] for _, path in version.parts}
