@@ -15,11 +15,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.exprs import ntz_literal
+from siltstone.functions.jsonx import encode_complex_columns
 
 AS_OF = dt.datetime(2024, 2, 1, 6, 0)
 
@@ -145,9 +147,10 @@ def order_solar_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- orders -----------------------------------------------------------------------------
 
 
-def order_launches(
+def order_launch_records(
     spark: SparkSession, sf_dir: str, known: Callable[[DataFrame], DataFrame] = lambda orders: orders
 ) -> DataFrame:
+    """The launches with lists as lists, as they are landed."""
     success = F.when(F.col("o_orderstatus") == "F", F.lit(True)).when(
         F.col("o_orderstatus") == "O", F.lit(False)
     )
@@ -160,13 +163,19 @@ def order_launches(
             F.col("o_orderpriority").alias("rocket"),
             success.alias("success"),
             F.col("o_orderstatus").alias("details"),
-            F.to_json(F.array(_text("o_custkey"))).alias("payloads"),
-            F.to_json(F.array()).alias("cores"),
+            F.array(_text("o_custkey")).alias("payloads"),
+            F.array().cast("array<string>").alias("cores"),
             F.col("o_orderpriority").alias("launchpad"),
         )
     )
 
 
+def order_launches(
+    spark: SparkSession, sf_dir: str, known: Callable[[DataFrame], DataFrame] = lambda orders: orders
+) -> DataFrame:
+    return encode_complex_columns(order_launch_records(spark, sf_dir, known))
+
+
 def priority_rockets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(
         table(spark, sf_dir, "orders")
@@ -264,7 +273,12 @@ def land(
         "payload_weights": "array<struct<kg: double>>",
         "cmeAnalyses": "array<struct<speed: double, type: string, halfAngle: double, isMostAccurate: boolean>>",
     }
-    for name, role in ORDER_ROLES.items():
-        df = order_launches(spark, sf_dir, known) if name == "launches" else role(spark, sf_dir)
-        parsed = {c: F.from_json(c, shapes[c]) for c in df.columns if c in shapes}
+
+    def write(name: str, role) -> None:
+        df = order_launch_records(spark, sf_dir, known) if name == "launches" else role(spark, sf_dir)
+        parsed = {c: F.from_json(c, shapes[c]) for c, kind in df.dtypes if c in shapes and kind == "string"}
         df.drop("ingestion_timestamp").withColumns(parsed).write.json(f"{location}/{name}")
+
+    # they do not depend on each other: one's last tasks leave cores to the next
+    with ThreadPoolExecutor(max_workers=len(ORDER_ROLES)) as pool:
+        list(pool.map(write, ORDER_ROLES.keys(), ORDER_ROLES.values()))

@@ -85,3 +85,19 @@ def test_shuffles_follow_the_length_of_files(spark, tmp_path):
 
 def test_scratch_folder_is_the_session_s(spark):
     assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_landed_launches_are_not_encoded_and_parsed_again(spark, tmp_path, monkeypatch):
+    """Launches are landed from lists as lists; their files still hold what the raw role says."""
+    from pyspark.sql import functions as F
+
+    from siltstone.plans import roles
+
+    shown = plan_of(roles.order_launch_records(spark, SF_DIR))
+    assert "to_json" not in shown and "structstojson" not in shown.lower()
+    parsed = []
+    monkeypatch.setattr(roles.F, "from_json", lambda c, shape, read=F.from_json: parsed.append(c) or read(c, shape))
+    roles.land(spark, SF_DIR, str(tmp_path / "landed"))
+    assert "cores" not in parsed and "payloads" not in parsed
+    landed = spark.read.schema("id string, payloads string, cores string").json(str(tmp_path / "landed/launches"))
+    assert landed.exceptAll(roles.order_launches(spark, SF_DIR).select("id", "payloads", "cores")).isEmpty()
