@@ -158,50 +158,53 @@ class Table:
 
     # -- writing ---------------------------------------------------------------
 
-    def _write(self, df: DataFrame, label: str) -> list[tuple[str, str]]:
-        """Write new files; returns their parts."""
+    def by_month(self, df: DataFrame) -> DataFrame:
+        """The rows of a month together, with its part, ready to be written.
+
+        Few files per month, and a month too large for one task is split again by its size. The
+        part may be there already, from rows of which each stands for many of these.
+        """
+        parted = df if PART in df.columns else df.withColumn(PART, month_of(self.event_time))
+        return parted.hint("rebalance", PART)
+
+    def _write(self, df: DataFrame, label: str, arranged: bool = False) -> list[tuple[str, str]]:
+        """Write new files; returns their parts. ``arranged`` rows come from ``by_month``."""
         run = f"data/{label}-{uuid.uuid4().hex}"
         blooms = {f"parquet.bloom.filter.enabled#{self.key}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
         options = blooms if self.key in df.columns else {}
         if self.event_time is None:
             df.write.options(**options).parquet(f"{self.path}/{run}")
             return [(WHOLE, run)]
-        # Few files per month: rows of a month are brought together first, and a month too
-        # large for one task is split again by its size.
-        (
-            df.withColumn(PART, month_of(self.event_time))
-            .hint("rebalance", PART)
-            .write.partitionBy(PART)
-            .options(**options)
-            .parquet(f"{self.path}/{run}")
-        )
+        rows = df if arranged else self.by_month(df)
+        rows.write.partitionBy(PART).options(**options).parquet(f"{self.path}/{run}")
         names = [s.getPath().getName() for s in self._listing(run) if s.isDirectory()]
         return [(n.split("=", 1)[1], f"{run}/{n}") for n in names]
 
-    def stage_full(self, df: DataFrame) -> Version:
+    def stage_full(self, df: DataFrame, arranged: bool = False) -> Version:
         """A new state holding exactly ``df``."""
-        return Version(df.schema, tuple(self._write(df, "full")))
+        return Version(df.drop(PART).schema, tuple(self._write(df, "full", arranged)))
 
-    def stage_refresh(self, df: DataFrame) -> Version:
+    def stage_refresh(self, df: DataFrame, arranged: bool = False) -> Version:
         """A new state holding ``df``, in the structure the table already has.
 
         Known columns are reordered and cast, absent ones are null, unknown ones fail.
         """
         if not self.exists():
-            return self.stage_full(df)
+            return self.stage_full(df, arranged)
         schema = self.current().schema
         if EVENT_AT in df.columns and EVENT_AT not in schema.fieldNames():
             schema = T.StructType([*schema.fields, df.schema[EVENT_AT]])
-        unknown = [c for c in df.columns if c not in schema.fieldNames()]
+        unknown = [c for c in df.columns if c not in schema.fieldNames() and c != PART]
         if unknown:
             raise ValueError(f"{self.path}: unknown columns {', '.join(unknown)}")
         aligned = df.select(
             *(
                 (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                 for f in schema.fields
-            )
+            ),
+            *(c for c in df.columns if c == PART),
         )
-        return replace(self.stage_full(aligned), schema=schema)
+        return replace(self.stage_full(aligned, arranged), schema=schema)
 
     def measure(self, version: Version, *metrics: Column) -> dict:
         """Row count and further aggregates of a staged state, from the files written.
@@ -221,8 +224,10 @@ class Table:
             return replace(self.stage_full(batch), base=0)
         old = old or self.current()
         known = {f.name: f for f in old.schema.fields}
-        columns = [known.get(f.name, f) for f in batch.schema.fields]
-        cast = batch.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in columns))
+        columns = [known.get(f.name, f) for f in batch.schema.fields if f.name != PART]
+        cast = batch.select(
+            *(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in columns), *(c for c in batch.columns if c == PART)
+        )
         schema = T.StructType(old.schema.fields + [f for f in columns if f.name not in known])
         batch_parts = self._write(cast, "batch")
         staged = self.frame(Version(schema, tuple(batch_parts)))

@@ -8,13 +8,14 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.functions.casts import to_ntz, try_ntz
 from siltstone.functions.exprs import lookback_window, ntz_literal
 from siltstone.functions.jsonx import encode_complex_columns
 from siltstone.operators import quality
 from siltstone.operators.incremental import newer_than
-from siltstone.operators.tables import EVENT_AT, Conflict, Layers, Table, Version
+from siltstone.operators.tables import EVENT_AT, PART, Conflict, Layers, Table, Version
 from siltstone.plans.models import Fact, Frames, Model, Project, default_project
 from siltstone.session import configure, hadoop_path, size_scans
 from siltstone.sources.catalog import DatasetSpec, Reader, datasets
@@ -48,11 +49,18 @@ def load_raw(table: Table, rows: DataFrame, spec: DatasetSpec, as_of: dt.datetim
     text. The landed text is parsed once; the counts behind the verdict come from the columns
     they need in the files written.
     """
+    by_event = spec.event_column is not None and table.event_time == EVENT_AT
+    # the landed rows change tasks as they are: flat, encoded and with their lineage they are far wider
+    early = by_event and isinstance(dict((f.name, f.dataType) for f in rows.schema.fields).get(spec.event_column), T.AtomicType)
+    if early:
+        rows = table.by_month(rows.withColumn(EVENT_AT, try_ntz(spec.event_column)))
     flat = encode_complex_columns(with_lineage(flatten_struct(rows), spec, as_of))
-    if spec.event_column and table.event_time == EVENT_AT:
+    if early:
+        flat = flat.select(*(F.col(f"`{c}`") for c in flat.columns if c not in (EVENT_AT, PART)), EVENT_AT, PART)
+    elif by_event:
         known = spec.event_column in flat.columns
         flat = flat.withColumn(EVENT_AT, try_ntz(spec.event_column) if known else F.lit(None).cast("timestamp_ntz"))
-    staged = table.stage_refresh(flat)
+    staged = table.stage_refresh(flat, arranged=early)
     counts = table.measure(staged, *quality.preflight_metrics(flat, spec))
     verdict = quality.preflight_verdict(spec, counts)
     if verdict.ok:

@@ -289,3 +289,32 @@ def test_a_run_splits_scans_as_often_as_shuffles(spark, site):
     """Published files hold many rows a byte: a split of the usual size is a task of millions."""
     site.run(tag="roi")
     assert spark.conf.get("spark.sql.files.minPartitionNum") == spark.conf.get("spark.sql.shuffle.partitions")
+
+
+def test_landed_rows_are_brought_together_before_they_are_widened(spark, site, as_of, monkeypatch):
+    """Of a dataset split by month, only landed columns, the time and its month change tasks."""
+    from siltstone.operators.tables import Table
+
+    staged = {}
+
+    def stage(table, df, *args, stage_refresh=Table.stage_refresh, **kw):
+        staged[table.path.rsplit("/", 1)[1]] = df
+        return stage_refresh(table, df, *args, **kw)
+
+    monkeypatch.setattr(Table, "stage_refresh", stage)
+    daily.ingest(site.layers, site.location, as_of, window=WINDOW)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "200")
+    try:
+        plans = [staged[name]._jdf.queryExecution().optimizedPlan().toString() for name in ("launches", "solar_events")]
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    for plan in plans:
+        above, below = plan.split("RebalancePartitions")
+        assert "data_layer" in above and "data_layer" not in below
+    raw = site.layers.table("raw", "launches", "_event_at")
+    assert sorted(part for part, _ in raw.current().parts) == ["2022-11", "2022-12"]
+    rows = raw.read()
+    assert rows.columns[-4:] == ["source_endpoint", "data_layer", "ingestion_timestamp", "loaded_at"]
+    assert sorted((r.id, r["links.patch.small"], r.payloads) for r in rows.collect()) == [(i, "s", '["p1", "p2"]') for i in "ab"]
+    daily.ingest(site.layers, site.location, as_of, window=WINDOW)
+    assert raw.read().columns == rows.columns and raw.read().count() == 2

@@ -101,3 +101,18 @@ def test_landed_launches_are_not_encoded_and_parsed_again(spark, tmp_path, monke
     assert "cores" not in parsed and "payloads" not in parsed
     landed = spark.read.schema("id string, payloads string, cores string").json(str(tmp_path / "landed/launches"))
     assert landed.exceptAll(roles.order_launches(spark, SF_DIR).select("id", "payloads", "cores")).isEmpty()
+
+
+def test_landing_has_more_tasks_than_row_groups(spark, tmp_path):
+    """Launches come from one row group, which only one task can scan; several encode them."""
+    from siltstone.plans import roles
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        roles.land(spark, SF_DIR, str(tmp_path / "landed"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "landed/launches").glob("*.json"))) > 1
+    landed = spark.read.schema("id string").json(str(tmp_path / "landed/launches"))
+    assert landed.exceptAll(roles.order_launches(spark, SF_DIR).select("id")).isEmpty()
+    assert landed.count() == roles.order_launches(spark, SF_DIR).count()
