@@ -13,6 +13,8 @@ MEDIUM_RISK_ABOVE = 500
 NO_EVENT = "NO_EVENT"
 LOOKBACK_DAYS = 60
 
+MICROS_PER_HOUR = 3.6e9
+
 # Null placeholder of the usual hashed surrogate key.
 NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
 
@@ -82,7 +84,7 @@ def epoch_micros(ts: Column | str) -> Column:
 
 def hours_between(a: Column | str, b: Column | str) -> Column:
     """Absolute distance of two timestamps in hours."""
-    return F.abs(F.timestamp_diff("MICROSECOND", _col(b), _col(a))) / F.lit(3.6e9)
+    return F.abs(F.timestamp_diff("MICROSECOND", _col(b), _col(a))) / F.lit(MICROS_PER_HOUR)
 
 
 def month_of(ts: Column | str) -> Column:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.casts import to_ntz
 from siltstone.functions.exprs import (
-    hours_between,
+    MICROS_PER_HOUR,
+    epoch_micros,
+    month_of,
     pair_key,
     ratio_else_null,
     ratio_else_zero,
@@ -18,6 +20,7 @@ from siltstone.functions.exprs import (
     zero_if_null,
 )
 from siltstone.operators.interval import interval_aggregate, interval_join
+from siltstone.operators.tables import PART
 from siltstone.operators.unnest import element_sums, element_values
 
 # The windows around a launch.
@@ -113,11 +116,16 @@ def roi(raw_launches: DataFrame, rockets: DataFrame, payloads: DataFrame, as_of:
     )
 
 
-def weather(launches: DataFrame, solar: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """One row per launch and event at most seven days apart, or one without event."""
+def weather(launches: DataFrame, solar: DataFrame, as_of: dt.datetime, parted: bool = False) -> DataFrame:
+    """One row per launch and event at most seven days apart, or one without event.
+
+    What follows from one side's time alone is computed there: there are many more pairs. ``parted``
+    rows carry the month they are stored in.
+    """
+    month = [month_of("launch_at_utc").alias(PART)] if parted else []
     pairs = interval_join(
-        launches.select("launch_id", "launch_name", "launch_at_utc", "is_success"),
-        solar.select("activityid", "event_at_utc", "event_description"),
+        launches.select("launch_id", "launch_name", "launch_at_utc", "is_success", epoch_micros("launch_at_utc").alias("_launch_us"), *month),
+        solar.select("activityid", "event_at_utc", "event_description", epoch_micros("event_at_utc").alias("_event_us")),
         "launch_at_utc",
         "event_at_utc",
         before=IMPACT_WINDOW,
@@ -131,7 +139,8 @@ def weather(launches: DataFrame, solar: DataFrame, as_of: dt.datetime) -> DataFr
         "is_success",
         F.col("activityid").alias("solar_event_id"),
         F.col("event_at_utc").alias("solar_event_at"),
-        hours_between("launch_at_utc", "event_at_utc").alias("hours_diff"),
+        (F.abs(F.col("_launch_us") - F.col("_event_us")) / F.lit(MICROS_PER_HOUR)).alias("hours_diff"),
         F.col("event_description").alias("nasa_note"),
         utc_literal(as_of).alias("processed_at"),
+        *(PART for _ in month),
     )

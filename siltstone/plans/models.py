@@ -156,7 +156,7 @@ FACTS = (
     ),
     Fact(
         "space_weather_impact",
-        lambda f, at: gold.weather(f["silver.launches"], f["silver.solar_events"], at),
+        lambda f, at: gold.weather(f["silver.launches"], f["silver.solar_events"], at, parted=True),
         ("silver.launches", "silver.solar_events"),
         ("incremental", "daily", "space_weather"),
         key="surrogate_key",

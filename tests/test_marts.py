@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 
+from siltstone.operators import tables
 from siltstone.plans import gold, kpi, reports, silver
 from siltstone.sources.catalog import datasets
 from tests.conftest import plan_of
@@ -162,6 +163,26 @@ def test_weather(views, as_of):
     assert failed.is_success is False and failed.nasa_note == "note at_launch"
 
 
+def test_pairs_bring_what_their_launch_alone_decides(spark, views, as_of, tmp_path, monkeypatch):
+    """The month a pair is stored in, and both times as numbers, are not computed pair by pair."""
+    whole = gold.weather(views["launches"], views["solar_events"], as_of)
+    parted = gold.weather(views["launches"], views["solar_events"], as_of, parted=True)
+    for df in (whole, parted):
+        top = df._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+        assert "timestampdiff" not in top.lower() and "date_format" not in top
+    table = tables.Table(spark, str(tmp_path / "impact"), "launch_at_utc")
+    with monkeypatch.context() as at:
+        at.setattr(tables, "month_of", None)
+        staged = table.stage_full(parted)
+    table.publish(staged)
+    assert table.read().columns == whole.columns
+    assert sorted(map(str, table.read().collect())) == sorted(map(str, whole.collect()))
+    months = {r.m for r in whole.selectExpr("coalesce(date_format(launch_at_utc, 'yyyy-MM'), 'none') AS m").distinct().collect()}
+    assert {part for part, _ in staged.parts} == months
+    table.publish(table.stage_delete_insert(parted, "surrogate_key"))
+    assert sorted(map(str, table.read().collect())) == sorted(map(str, whole.collect()))
+
+
 def test_mart_plans_have_no_nested_loops(spark, views, as_of):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
