@@ -276,7 +276,7 @@ def land(
 
     def spread(orders: DataFrame) -> DataFrame:
         # a scan has no more tasks than its file has row groups, and encoding is most of the work;
-        # ranges leave keys that lie together together, so what is landed compresses as before
+        # ranges leave keys that lie together together, so what is loaded compresses nearly as well
         return known(orders.repartitionByRange("o_orderkey"))
 
     def write(name: str, role) -> None:
